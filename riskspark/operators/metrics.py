@@ -18,6 +18,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from riskspark.functions.exact import grid_mean, grid_sq_error_mean
 from riskspark.operators.ordered import ordered_prefix, quantile_list, row_rank
 from riskspark.schema import COST_FN, COST_FP, GROUP_MIN_ROWS, LOGLOSS_EPS, PSI_SHARE_FLOOR
 
@@ -73,8 +74,10 @@ def rank_metrics(df: DataFrame, y: str = "default", s: str = "p_default",
 
 
 def prob_metrics(df: DataFrame, y: str = "default", p: str = "p_default",
-                 by: list[str] | tuple[str, ...] = ()) -> DataFrame:
-    """Per group: n, label mean, mean p, Brier and clipped log-loss (one scan)."""
+                 by: list[str] | tuple[str, ...] = (), p_decimals: int | None = None) -> DataFrame:
+    """Per group: n, label mean, mean p, Brier and clipped log-loss (one scan).
+
+    ``p_decimals``: scores lie on that decimal grid -> exact integer sums."""
     yy = F.col(y).cast("double")
     pp = F.col(p).cast("double")
     pc = F.least(F.greatest(pp, F.lit(LOGLOSS_EPS)), F.lit(1.0 - LOGLOSS_EPS))
@@ -82,15 +85,16 @@ def prob_metrics(df: DataFrame, y: str = "default", p: str = "p_default",
     return (df.filter(F.col(y).isNotNull() & F.col(p).isNotNull())
             .groupBy(*by).agg(F.count(F.lit(1)).alias("n"),
                               F.avg(yy).alias("actual_rate"),
-                              F.avg(pp).alias("mean_p"),
-                              F.avg((pp - yy) * (pp - yy)).alias("brier"),
+                              grid_mean(pp, p_decimals).alias("mean_p"),
+                              grid_sq_error_mean(pp, yy, p_decimals).alias("brier"),
                               F.avg(ll).alias("log_loss")))
 
 
-def metric_row(df: DataFrame, y: str = "default", s: str = "p_default") -> DataFrame:
+def metric_row(df: DataFrame, y: str = "default", s: str = "p_default",
+               p_decimals: int | None = None) -> DataFrame:
     """The five-metric row: roc_auc, pr_auc, brier, log_loss, ks."""
     r = rank_metrics(df, y, s).withColumn("_k", F.lit(0))
-    p = prob_metrics(df, y, s).withColumn("_k", F.lit(0))
+    p = prob_metrics(df, y, s, p_decimals=p_decimals).withColumn("_k", F.lit(0))
     return (r.join(p, on="_k")
             .select("roc_auc", "pr_auc", "brier", "log_loss", "ks"))
 
@@ -265,7 +269,7 @@ def gains_table(df: DataFrame, y: str = "default", s: str = "p_default", id_col:
     v = _valid(df, y, s).select(F.col(s).cast("double").alias("_s"), F.col(y).cast("int").alias("_y"), F.col(id_col).alias("_id"))
     g = v.groupBy("_s").agg(F.count(F.lit(1)).alias("_c"), F.sum("_y").alias("_d"))
     pre = ordered_prefix(g, "_s", {"c": "_c"}, descending=True)
-    n_tot = g.agg(F.sum("_c").alias("_n"), F.sum("_d").alias("_D")).withColumn("_k", F.lit(0))
+    n_tot = g.agg(F.sum("_c").alias("_n"), F.sum("_d").alias("_dtot")).withColumn("_k", F.lit(0))
     pre = (pre.withColumn("_k", F.lit(0)).join(F.broadcast(n_tot), on="_k").drop("_k")
            .withColumn("_r0", F.col("cum_c") - F.col("_c")))
     n = F.col("_n")
@@ -283,13 +287,13 @@ def gains_table(df: DataFrame, y: str = "default", s: str = "p_default", id_col:
     per = (whole.unionByName(split).groupBy("decile")
            .agg(F.sum("_c").alias("n"), F.sum("_d").alias("n_defaults"),
                 F.min("_smin").alias("score_min"), F.max("_smax").alias("score_max")))
-    tot = n_tot.select(F.col("_n").alias("N"), F.col("_D").alias("D"))
+    tot = n_tot.select(F.col("_n").alias("_N"), F.col("_dtot").alias("_D"))
     per = per.withColumn("_k", F.lit(0)).join(F.broadcast(tot.withColumn("_k", F.lit(0))), on="_k").drop("_k")
     cum = Window.orderBy("decile").rowsBetween(Window.unboundedPreceding, 0)  # <= n_bins rows
     return (per.withColumn("default_rate", F.col("n_defaults") / F.col("n"))
-            .withColumn("lift", F.col("default_rate") / (F.col("D") / F.col("N")))
+            .withColumn("lift", F.col("default_rate") / (F.col("_D") / F.col("_N")))
             .withColumn("cum_defaults", F.sum("n_defaults").over(cum))
-            .withColumn("cum_capture_rate", F.col("cum_defaults") / F.col("D"))
+            .withColumn("cum_capture_rate", F.col("cum_defaults") / F.col("_D"))
             .select(F.col("decile").cast("int"), F.col("n").cast("bigint"), F.col("n_defaults").cast("bigint"),
                     "default_rate", "score_min", "score_max", "lift",
                     F.col("cum_defaults").cast("bigint"), "cum_capture_rate"))
@@ -297,7 +301,8 @@ def gains_table(df: DataFrame, y: str = "default", s: str = "p_default", id_col:
 
 # -------- reliability and histograms ------------------------------------------
 
-def reliability_table(df: DataFrame, y: str = "default", p: str = "p_default", n_bins: int = 20) -> DataFrame:
+def reliability_table(df: DataFrame, y: str = "default", p: str = "p_default", n_bins: int = 20,
+                      p_decimals: int | None = None) -> DataFrame:
     """Quantile-binned reliability: per non-empty bin, n, mean predicted and
     observed fraction. Bin = number of inner edges < p (right-closed)."""
     v = _valid(df, y, p)
@@ -309,7 +314,7 @@ def reliability_table(df: DataFrame, y: str = "default", p: str = "p_default", n
     for t in terms:
         binexpr = binexpr + t
     return (v.groupBy(binexpr.alias("bin"))
-            .agg(F.count(F.lit(1)).alias("n"), F.avg(x).alias("mean_predicted"),
+            .agg(F.count(F.lit(1)).alias("n"), grid_mean(x, p_decimals).alias("mean_predicted"),
                  F.avg(F.col(y).cast("double")).alias("fraction_observed")))
 
 

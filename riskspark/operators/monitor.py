@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskspark.functions.bands import psi_band
+from riskspark.functions.exact import grid_mean, grid_sq_error_mean
 from riskspark.operators.metrics import prob_metrics, psi, rank_metrics
 from riskspark.schema import PSI_MIN_SAMPLES
 
@@ -45,20 +46,20 @@ def unlabeled_counts(predictions: DataFrame, truth: DataFrame) -> DataFrame:
             .join(unl.withColumn("_k", k), "_k").drop("_k"))
 
 
-def daily_table(predictions: DataFrame, ts: str = "ts") -> DataFrame:
+def daily_table(predictions: DataFrame, ts: str = "ts", p_decimals: int | None = None) -> DataFrame:
     """Per UTC date: n, mean p_default, reject rate."""
     return (predictions.groupBy(F.to_date(F.col(ts)).alias("date"))
             .agg(F.count(F.lit(1)).alias("n"),
-                 F.avg("p_default").alias("mean_p_default"),
+                 grid_mean("p_default", p_decimals).alias("mean_p_default"),
                  F.avg((F.col("decision") == "reject").cast("double")).alias("reject_rate")))
 
 
 def realized_metrics(joined: DataFrame, by: list[str] | tuple[str, ...] = (),
-                     y: str = "actual", p: str = "p_default") -> DataFrame:
+                     y: str = "actual", p: str = "p_default", p_decimals: int | None = None) -> DataFrame:
     """n, actual_default_rate, mean_p_default, brier, roc_auc, ks, log_loss per
     group; the rank metrics and log-loss are NULL when a class is absent."""
     by = list(by)
-    pm = prob_metrics(joined, y, p, by)
+    pm = prob_metrics(joined, y, p, by, p_decimals=p_decimals)
     rm = rank_metrics(joined, y, p, by)
     if by:
         j = pm.join(rm, on=by, how="left")
@@ -72,21 +73,22 @@ def realized_metrics(joined: DataFrame, by: list[str] | tuple[str, ...] = (),
                     F.when(both, F.col("log_loss")).alias("log_loss"))
 
 
-def realized_monthly(joined: DataFrame, ts: str = "ts") -> DataFrame:
+def realized_monthly(joined: DataFrame, ts: str = "ts", p_decimals: int | None = None) -> DataFrame:
     """Realized metrics per calendar month ('yyyy-MM' of the UTC timestamp)."""
-    return realized_metrics(joined.withColumn("month", F.date_format(F.col(ts), "yyyy-MM")), by=["month"])
+    return realized_metrics(joined.withColumn("month", F.date_format(F.col(ts), "yyyy-MM")), by=["month"],
+                            p_decimals=p_decimals)
 
 
 def headline(predictions: DataFrame, reference: DataFrame, ref_col: str = "p_default",
-             min_samples: int = PSI_MIN_SAMPLES, ts: str = "ts") -> DataFrame:
+             min_samples: int = PSI_MIN_SAMPLES, ts: str = "ts", p_decimals: int | None = None) -> DataFrame:
     """One row: n_predictions, window, PSI vs the reference scores (NULL under
     ``min_samples`` rows), its band, mean p (production, reference), reject rate."""
     stats = predictions.agg(
         F.count(F.lit(1)).alias("n_predictions"),
         F.min(ts).alias("window_start"), F.max(ts).alias("window_end"),
-        F.avg("p_default").alias("mean_p_default_prod"),
+        grid_mean("p_default", p_decimals).alias("mean_p_default_prod"),
         F.avg((F.col("decision") == "reject").cast("double")).alias("reject_rate"))
-    ref = reference.agg(F.avg(ref_col).alias("mean_p_default_train_ref"))
+    ref = reference.agg(grid_mean(ref_col, p_decimals).alias("mean_p_default_train_ref"))
     n = stats.first()["n_predictions"]
     if n >= min_samples:
         pv = psi(reference, ref_col, predictions, "p_default")
@@ -100,12 +102,13 @@ def headline(predictions: DataFrame, reference: DataFrame, ref_col: str = "p_def
                       "mean_p_default_train_ref", "reject_rate")
 
 
-def calibration_summary(df: DataFrame, y: str = "default", p: str = "p_default") -> DataFrame:
+def calibration_summary(df: DataFrame, y: str = "default", p: str = "p_default",
+                        p_decimals: int | None = None) -> DataFrame:
     """n, mean_pred, observed, gap (difference of the unrounded means), brier."""
     yy, pp = F.col(y).cast("double"), F.col(p).cast("double")
     return (df.filter(F.col(y).isNotNull() & F.col(p).isNotNull())
-            .agg(F.count(F.lit(1)).alias("n"), F.avg(pp).alias("mean_pred"), F.avg(yy).alias("observed"),
-                 F.avg((pp - yy) * (pp - yy)).alias("brier"))
+            .agg(F.count(F.lit(1)).alias("n"), grid_mean(pp, p_decimals).alias("mean_pred"),
+                 F.avg(yy).alias("observed"), grid_sq_error_mean(pp, yy, p_decimals).alias("brier"))
             .withColumn("gap", F.col("mean_pred") - F.col("observed"))
             .select("n", "mean_pred", "observed", "gap", "brier"))
 

@@ -32,7 +32,7 @@ def time_series_folds(df: DataFrame, n_splits: int = CV_FOLDS,
     n = df.count()
     ts = n // (n_splits + 1)
     first = n - n_splits * ts
-    fold = F.when(F.col("rank") >= first, ((F.col("rank") - first) / F.lit(max(ts, 1))).cast("int"))
+    fold = ((F.col("pos") - first) / F.lit(max(ts, 1))).cast("int")
     return (ranked.withColumnRenamed("rank", "pos").withColumn("n", F.lit(n))
             .withColumn("test_fold", F.when(F.col("pos") >= first, fold.cast("int"))))
 

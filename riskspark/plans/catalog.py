@@ -22,6 +22,7 @@ from riskspark.operators.ordered import row_rank
 from riskspark.operators.prepare import curate_counts, recent_years, time_split
 from riskspark.operators.scoring import FROZEN_SCORECARD
 from riskspark.functions.bands import risk_band
+from riskspark.functions.exact import grid_mean
 from riskspark.plans import tables as TB
 from riskspark.plans.sqlbase import dbl, linspace, quantile_ctes, unpivot, with_base
 from riskspark.schema import (
@@ -34,12 +35,18 @@ QueryFn = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, tuple[QueryFn, str | None]] = {}
 
 
+def round6(x):
+    """floor(x * 1e6 + 0.5) / 1e6: the same IEEE operations in both engines,
+    so equal inputs round equally (built-in round() differs at ties)."""
+    return F.when(F.abs(x) < 1e12, F.floor(x * 1e6 + 0.5).cast("double") / 1e6).otherwise(x)
+
+
 def finish(df: DataFrame, digits: int = 6) -> DataFrame:
     """Round double columns at the end (engines differ in the last bits)."""
     cols = []
     for f in df.schema.fields:
         if isinstance(f.dataType, T.DoubleType):
-            cols.append(F.round(F.col(f.name), digits).alias(f.name))
+            cols.append(round6(F.col(f.name)).alias(f.name))
         else:
             cols.append(F.col(f.name))
     return df.select(*cols)
@@ -52,8 +59,22 @@ def register(name: str, sql: str | None):
     return deco
 
 
+P_DEC = FROZEN_SCORECARD.round_digits
+
+
+def GM(p: str) -> str:
+    """Exact mean of a 4-decimal score (integer sum), as in ``grid_mean``."""
+    return f"(cast(sum(cast(round({p} * 1e4) as bigint)) as double) / (count({p}) * 1e4))"
+
+
+def GB(p: str, y: str) -> str:
+    """Exact Brier score of a 4-decimal score, as in ``grid_sq_error_mean``."""
+    d = f"(cast(round({p} * 1e4) as bigint) - cast({y} * 1e4 as bigint))"
+    return f"(cast(sum({d} * {d}) as double) / (count(*) * 1e8))"
+
+
 def R(x: str) -> str:
-    return f"round({x}, 6)"
+    return f"(case when abs({x}) < 1e12 then floor(({x}) * 1e6 + 0.5) / 1e6 else ({x}) end)"
 
 
 # ---------------------------------------------------------------- profiling --
@@ -83,7 +104,7 @@ def _miss_sql():
     for c, t in _RAW_TYPES.items():
         m = f"{c} is null" + (f" or isnan({c})" if t == "double" else "")
         parts.append(f"select '{c}' as column_name, avg(case when {m} then 1e0 else 0e0 end) * 100 as missing_pct from loans")
-    return with_base("select column_name, round(missing_pct, 6) as missing_pct from (\n  "
+    return with_base(f"select column_name, {R('missing_pct')} as missing_pct from (\n  "
                      + "\n  union all ".join(parts) + ") m where missing_pct > 0")
 
 
@@ -141,7 +162,7 @@ def q_numeric_describe(spark, d):
 
 def _ew_bin_sql(src: str, x: str, lo: str, hi: str, n_bins: int, keep: str) -> str:
     """Equal-width bin with the same edge checks as the Spark expression."""
-    step = f"(({hi}) - ({lo})) / {n_bins}e0"
+    step = f"((({hi}) - ({lo})) / {n_bins}e0)"
     edge = lambda i: f"(case when ({i}) = {n_bins} then ({hi}) else cast({i} as double) * {step} + ({lo}) end)"
     guess = f"cast(least(greatest(floor((({x}) - ({lo})) / {step}), 0), {n_bins - 1}) as int)"
     return f"""(select {keep}, case when ({hi}) > ({lo}) then up else 0 end as bin from (
@@ -306,8 +327,8 @@ def _violation_sql():
 @register("row_violations", _violation_sql())
 def q_row_violations(spark, d):
     apps = TB.cleaned(spark, d).select(*APPLICATION_FIELDS)
-    _, bad = C.split_valid(apps)
-    return bad.select("application_id", F.explode("violations").alias("violation"))
+    # explode emits nothing for an empty array: only quarantined rows remain
+    return C.with_violations(apps).select("application_id", F.explode("violations").alias("violation"))
 
 
 @register("quarantine_summary", with_base(f"""
@@ -332,9 +353,9 @@ def q_scored_loans(spark, d):
     return s.select("application_id", "p_default", "decision")
 
 
-@register("batch_summary", with_base("""
+@register("batch_summary", with_base(f"""
 select count(*) as n_rows, count(*) filter (where p_default >= 0.13e0) as n_reject,
-       round(100.0e0 * avg(case when p_default >= 0.13e0 then 1e0 else 0e0 end), 6) as reject_pct from scored"""))
+       {R('100.0e0 * avg(case when p_default >= 0.13e0 then 1e0 else 0e0 end)')} as reject_pct from scored"""))
 def q_batch_summary(spark, d):
     from riskspark.operators.scoring import score_batch
     return MON.batch_summary(score_batch(TB.cleaned(spark, d), FROZEN_SCORECARD, threshold=0.13))
@@ -343,11 +364,11 @@ def q_batch_summary(spark, d):
 @register("risk_bands", with_base(f"""
 select case when p_default < 0.10e0 then 'Low risk' when p_default < 0.25e0 then 'Moderate risk'
             when p_default < 0.50e0 then 'Elevated risk' else 'High risk' end as risk_band,
-       count(*) as n, {R('avg(p_default)')} as mean_p_default
+       count(*) as n, {R(GM('p_default'))} as mean_p_default
 from scored group by 1"""))
 def q_risk_bands(spark, d):
     return (TB.scored(spark, d).groupBy(risk_band("p_default").alias("risk_band"))
-            .agg(F.count(F.lit(1)).alias("n"), F.avg("p_default").alias("mean_p_default")))
+            .agg(F.count(F.lit(1)).alias("n"), grid_mean("p_default", P_DEC).alias("mean_p_default")))
 
 
 @register("grade_gap", with_base(f"""
@@ -381,14 +402,14 @@ _EPS = "2.220446049250313e-16"
 r as (select sum(pos * (cn - 0.5 * neg)) / (max(P) * max(N)) as roc_auc,
              sum(case when pos > 0 then pos * ((P - cp + pos) / ((P - cp + pos) + (N - cn + neg))) end) / max(P) as pr_auc,
              max(abs(cp / P - cn / N)) as ks from c),
-pm as (select avg((p_default - "default") * (p_default - "default")) as brier,
+pm as (select {GB('p_default', '"default"')} as brier,
               avg(-("default" * ln(least(greatest(p_default, {_EPS}), 1 - {_EPS}))
                     + (1 - "default") * ln(1 - least(greatest(p_default, {_EPS}), 1 - {_EPS})))) as log_loss
        from test_scored)
 select {R('roc_auc')} as roc_auc, {R('pr_auc')} as pr_auc, {R('brier')} as brier, {R('log_loss')} as log_loss,
        {R('ks')} as ks from r cross join pm"""))
 def q_metric_row(spark, d):
-    return M.metric_row(TB.test_scored(spark, d))
+    return M.metric_row(TB.test_scored(spark, d), p_decimals=P_DEC)
 
 
 @register("metrics_by_group", with_base(f"""
@@ -522,10 +543,10 @@ _REL_PROBS = [float(q) for q in (__import__("numpy").linspace(0, 1, 21) * 100) /
 b as (select p_default, "default" as y,
              {' + '.join(f'case when p_default > (select quantile from qr where qi = {i}) then 1 else 0 end' for i in range(len(_REL_PROBS)))} as bin
       from test_scored)
-select bin, count(*) as n, {R('avg(p_default)')} as mean_predicted, {R('avg(y)')} as fraction_observed
+select bin, count(*) as n, {R(GM('p_default'))} as mean_predicted, {R('avg(y)')} as fraction_observed
 from b group by bin"""))
 def q_reliability_table(spark, d):
-    return M.reliability_table(TB.test_scored(spark, d))
+    return M.reliability_table(TB.test_scored(spark, d), p_decimals=P_DEC)
 
 
 def _score_hist_sql():
@@ -638,11 +659,11 @@ def q_unlabeled(spark, d):
 
 
 @register("daily_monitor", with_base(f"""
-select strftime(cast(ts_raw as date), '%Y-%m-%d') as date, count(*) as n, {R('avg(p_default)')} as mean_p_default,
+select strftime(cast(ts_raw as date), '%Y-%m-%d') as date, count(*) as n, {R(GM('p_default'))} as mean_p_default,
        {R("avg(case when decision = 'reject' then 1e0 else 0e0 end)")} as reject_rate
 from predlog group by 1"""))
 def q_daily_monitor(spark, d):
-    t = MON.daily_table(TB.prediction_log(spark, d))
+    t = MON.daily_table(TB.prediction_log(spark, d), p_decimals=P_DEC)
     return t.withColumn("date", F.date_format("date", "yyyy-MM-dd"))
 
 
@@ -664,13 +685,13 @@ select (select count(*) from prod) as n_predictions,
        case when (select count(*) from prod) >= 1000 then {R('psi')} end as psi,
        case when (select count(*) from prod) < 1000 then 'INSUFFICIENT_DATA' when psi >= 0.25 then 'SIGNIFICANT'
             when psi >= 0.10 then 'MODERATE' else 'STABLE' end as psi_band,
-       (select {R('avg(p_default)')} from prod) as mean_p_default_prod,
-       (select {R('avg(p_default)')} from train_scored) as mean_p_default_train_ref,
+       (select {R(GM('p_default'))} from prod) as mean_p_default_prod,
+       (select {R(GM('p_default'))} from train_scored) as mean_p_default_train_ref,
        (select {R("avg(case when decision = 'reject' then 1e0 else 0e0 end)")} from prod) as reject_rate
 from psi"""))
 def q_monitor_headline(spark, d):
     prod = TB.prediction_log(spark, d).filter(F.col("ts") >= F.lit(TB.PROD_START).cast("timestamp"))
-    h = MON.headline(prod, TB.train_scored(spark, d))
+    h = MON.headline(prod, TB.train_scored(spark, d), p_decimals=P_DEC)
     return h.withColumns({"window_start": F.date_format("window_start", "yyyy-MM-dd HH:mm:ss"),
                           "window_end": F.date_format("window_end", "yyyy-MM-dd HH:mm:ss")})
 
@@ -685,8 +706,8 @@ c as (select month, s, pos, neg,
              sum(pos) over (partition by month) as P, sum(neg) over (partition by month) as N from g),
 rk as (select month, case when max(P) > 0 and max(N) > 0 then sum(pos * (cn - 0.5 * neg)) / (max(P) * max(N)) end as roc_auc,
               case when max(P) > 0 and max(N) > 0 then max(abs(cp / P - cn / N)) end as ks from c group by month),
-pm as (select month, count(*) as n, avg(y) as actual_default_rate, avg(p_default) as mean_p_default,
-              avg((p_default - y) * (p_default - y)) as brier,
+pm as (select month, count(*) as n, avg(y) as actual_default_rate, {GM('p_default')} as mean_p_default,
+              {GB('p_default', 'y')} as brier,
               avg(-(y * ln(least(greatest(p_default, {_EPS}), 1 - {_EPS}))
                     + (1 - y) * ln(1 - least(greatest(p_default, {_EPS}), 1 - {_EPS})))) as ll from j group by month)
 select pm.month, pm.n, {R('actual_default_rate')} as actual_default_rate, {R('mean_p_default')} as mean_p_default,
@@ -695,7 +716,7 @@ select pm.month, pm.n, {R('actual_default_rate')} as actual_default_rate, {R('me
 from pm left join rk using (month)"""))
 def q_realized_monthly(spark, d):
     j = MON.join_outcomes(TB.prediction_log(spark, d), TB.outcomes(spark, d))
-    return MON.realized_monthly(j)
+    return MON.realized_monthly(j, p_decimals=P_DEC)
 
 
 @register("realized_overall", with_base(f"""
@@ -703,8 +724,8 @@ j as (select p.p_default, o.actual as y from predlog p join outcomes o on o.appl
 jj as (select p_default, y as "default" from j),
 {_RANK_SQL.format(src='jj')},
 rk as (select sum(pos * (cn - 0.5 * neg)) / (max(P) * max(N)) as roc_auc, max(abs(cp / P - cn / N)) as ks from c),
-pm as (select count(*) as n, avg(y) as actual_default_rate, avg(p_default) as mean_p_default,
-              avg((p_default - y) * (p_default - y)) as brier,
+pm as (select count(*) as n, avg(y) as actual_default_rate, {GM('p_default')} as mean_p_default,
+              {GB('p_default', 'y')} as brier,
               avg(-(y * ln(least(greatest(p_default, {_EPS}), 1 - {_EPS}))
                     + (1 - y) * ln(1 - least(greatest(p_default, {_EPS}), 1 - {_EPS})))) as log_loss from j)
 select n, {R('actual_default_rate')} as actual_default_rate, {R('mean_p_default')} as mean_p_default,
@@ -712,15 +733,15 @@ select n, {R('actual_default_rate')} as actual_default_rate, {R('mean_p_default'
 from pm cross join rk"""))
 def q_realized_overall(spark, d):
     j = MON.join_outcomes(TB.prediction_log(spark, d), TB.outcomes(spark, d))
-    return MON.realized_metrics(j)
+    return MON.realized_metrics(j, p_decimals=P_DEC)
 
 
 @register("calibration_summary", with_base(f"""
-select count(*) as n, {R('avg(p_default)')} as mean_pred, {R('avg("default")')} as observed,
-       {R('avg(p_default) - avg("default")')} as gap, {R('avg((p_default - "default") * (p_default - "default"))')} as brier
+select count(*) as n, {R(GM('p_default'))} as mean_pred, {R('avg("default")')} as observed,
+       {R(GM('p_default') + ' - avg("default")')} as gap, {R(GB('p_default', '"default"'))} as brier
 from test_scored"""))
 def q_calibration_summary(spark, d):
-    return MON.calibration_summary(TB.test_scored(spark, d))
+    return MON.calibration_summary(TB.test_scored(spark, d), p_decimals=P_DEC)
 
 
 def queries() -> dict[str, QueryFn]:

@@ -17,6 +17,9 @@ BASE_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
+    # Rule tables (row validation, level maps) build large CASE trees; the
+    # optimizer's constraint inference over them grows combinatorially.
+    "spark.sql.constraintPropagation.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
 
@@ -54,4 +57,5 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 def apply_session_defaults(spark: SparkSession) -> SparkSession:
     """Pin the settings results depend on (time zone) on a caller's session."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+    spark.conf.set("spark.sql.constraintPropagation.enabled", "false")
     return spark
