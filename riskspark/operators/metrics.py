@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskspark.functions.exact import grid_mean, grid_sq_error_mean
-from riskspark.operators.ordered import ordered_prefix, quantile_list, row_rank
+from riskspark.operators.ordered import ordered_prefix, quantile_list
 from riskspark.schema import COST_FN, COST_FP, GROUP_MIN_ROWS, LOGLOSS_EPS, PSI_SHARE_FLOOR
 
 
@@ -37,10 +37,10 @@ def score_groups(df: DataFrame, y: str = "default", s: str = "p_default",
                  F.sum(1 - yy).cast("double").alias("_neg")))
 
 
-def _ranked(df: DataFrame, y: str, s: str, by) -> DataFrame:
+def _ranked(df: DataFrame, y: str, s: str, by, checkpoint: bool = True) -> DataFrame:
     """Distinct scores with ascending running pos/neg and group totals P/N."""
     g = score_groups(df, y, s, by)
-    pre = ordered_prefix(g, "_s", {"pos": "_pos", "neg": "_neg"}, by=by)
+    pre = ordered_prefix(g, "_s", {"pos": "_pos", "neg": "_neg"}, by=by, checkpoint=checkpoint)
     tot = g.groupBy(*by).agg(F.sum("_pos").alias("_P"), F.sum("_neg").alias("_N"))
     if by:
         return pre.join(tot, on=list(by), how="inner")
@@ -50,13 +50,15 @@ def _ranked(df: DataFrame, y: str, s: str, by) -> DataFrame:
 
 
 def rank_metrics(df: DataFrame, y: str = "default", s: str = "p_default",
-                 by: list[str] | tuple[str, ...] = ()) -> DataFrame:
+                 by: list[str] | tuple[str, ...] = (), checkpoint: bool = True) -> DataFrame:
     """Per group: n_pos, n_neg, roc_auc, pr_auc (average precision), ks.
 
-    AUC, AP and KS are NULL when a class is absent.
+    AUC, AP and KS are NULL when a class is absent. ``checkpoint=False`` when
+    ``df`` is already materialized (the grouped scores are then cheap to
+    recompute for the cut-point pass).
     """
     by = list(by)
-    r = _ranked(df, y, s, by)
+    r = _ranked(df, y, s, by, checkpoint)
     P, N = F.col("_P"), F.col("_N")
     auc_term = F.col("_pos") * (F.col("cum_neg") - 0.5 * F.col("_neg"))
     tp = P - F.col("cum_pos") + F.col("_pos")          # rows with score >= s that are positive
@@ -91,16 +93,16 @@ def prob_metrics(df: DataFrame, y: str = "default", p: str = "p_default",
 
 
 def metric_row(df: DataFrame, y: str = "default", s: str = "p_default",
-               p_decimals: int | None = None) -> DataFrame:
+               p_decimals: int | None = None, checkpoint: bool = True) -> DataFrame:
     """The five-metric row: roc_auc, pr_auc, brier, log_loss, ks."""
-    r = rank_metrics(df, y, s).withColumn("_k", F.lit(0))
+    r = rank_metrics(df, y, s, checkpoint=checkpoint).withColumn("_k", F.lit(0))
     p = prob_metrics(df, y, s, p_decimals=p_decimals).withColumn("_k", F.lit(0))
     return (r.join(p, on="_k")
             .select("roc_auc", "pr_auc", "brier", "log_loss", "ks"))
 
 
 def metrics_by_group(df: DataFrame, s: str = "p_default", y: str = "default",
-                     group: str = "grade", min_rows: int = GROUP_MIN_ROWS) -> DataFrame:
+                     group: str = "grade", min_rows: int = GROUP_MIN_ROWS, checkpoint: bool = True) -> DataFrame:
     """Per group: n, default_rate, roc_auc, ks; groups under ``min_rows`` rows or
     with one class are omitted (an empty result is an empty DataFrame)."""
     valid = _valid(df, y, s)
@@ -108,15 +110,16 @@ def metrics_by_group(df: DataFrame, s: str = "p_default", y: str = "default",
                                      F.avg(F.col(y).cast("double")).alias("default_rate"),
                                      F.countDistinct(y).alias("_k"))
     keep = stats.filter((F.col("n") >= min_rows) & (F.col("_k") == 2)).drop("_k")
-    ranks = rank_metrics(valid.join(keep.select(group), on=group, how="left_semi"), y, s, by=[group])
+    ranks = rank_metrics(valid.join(keep.select(group), on=group, how="left_semi"), y, s, by=[group],
+                         checkpoint=checkpoint)
     return (keep.join(ranks.select(group, "roc_auc", "ks"), on=group, how="inner")
             .select(group, "n", "default_rate", "roc_auc", "ks")
             .orderBy(group))
 
 
-def roc_points(df: DataFrame, y: str = "default", s: str = "p_default") -> DataFrame:
+def roc_points(df: DataFrame, y: str = "default", s: str = "p_default", checkpoint: bool = True) -> DataFrame:
     """Every distinct score as a threshold: tp, fp, tpr, fpr, precision, recall."""
-    r = _ranked(df, y, s, [])
+    r = _ranked(df, y, s, [], checkpoint)
     P, N = F.col("_P"), F.col("_N")
     tp = P - F.col("cum_pos") + F.col("_pos")
     fp = N - F.col("cum_neg") + F.col("_neg")
@@ -205,20 +208,20 @@ def nearest_threshold(curve: DataFrame, t: float = 0.5) -> DataFrame:
 
 # -------- PSI ------------------------------------------------------------------
 
-def psi_edges(expected: DataFrame, e: str, n_bins: int = 10) -> list[float]:
+def psi_edges(expected: DataFrame, e: str, n_bins: int = 10, checkpoint: bool = True) -> list[float]:
     """Inner quantile edges of the expected distribution (n_bins - 1 values)."""
     probs = [float(q) for q in np.linspace(0, 1, n_bins + 1)[1:-1]]
-    return quantile_list(expected, e, probs)
+    return quantile_list(expected, e, probs, checkpoint=checkpoint)
 
 
 def psi_table(expected: DataFrame, e: str, actual: DataFrame, a: str,
-              n_bins: int = 10, edges: list[float] | None = None) -> DataFrame:
+              n_bins: int = 10, edges: list[float] | None = None, checkpoint: bool = True) -> DataFrame:
     """Per bin: expected and actual shares (floored) and the PSI term.
 
     Bin = number of inner edges <= x (left-closed bins, outer edges at
     +-infinity); all bins are present even when empty.
     """
-    edges = edges if edges is not None else psi_edges(expected, e, n_bins)
+    edges = edges if edges is not None else psi_edges(expected, e, n_bins, checkpoint)
     spark = expected.sparkSession
 
     def counts(df, col, name):
@@ -240,9 +243,9 @@ def psi_table(expected: DataFrame, e: str, actual: DataFrame, a: str,
 
 
 def psi(expected: DataFrame, e: str, actual: DataFrame, a: str, n_bins: int = 10,
-        edges: list[float] | None = None) -> DataFrame:
+        edges: list[float] | None = None, checkpoint: bool = True) -> DataFrame:
     """Population stability index between two score distributions (one row)."""
-    return psi_table(expected, e, actual, a, n_bins, edges).agg(F.sum("psi_term").alias("psi"))
+    return psi_table(expected, e, actual, a, n_bins, edges, checkpoint).agg(F.sum("psi_term").alias("psi"))
 
 
 # -------- gains ----------------------------------------------------------------
@@ -258,7 +261,7 @@ def _decile_of(rank: Column, n: Column, n_bins: int) -> Column:
 
 
 def gains_table(df: DataFrame, y: str = "default", s: str = "p_default", id_col: str = "application_id",
-                n_bins: int = 10) -> DataFrame:
+                n_bins: int = 10, checkpoint: bool = True) -> DataFrame:
     """Per decile (1 = highest scores): n, n_defaults, default_rate, score_min,
     score_max, lift, cum_defaults, cum_capture_rate.
 
@@ -268,7 +271,7 @@ def gains_table(df: DataFrame, y: str = "default", s: str = "p_default", id_col:
     """
     v = _valid(df, y, s).select(F.col(s).cast("double").alias("_s"), F.col(y).cast("int").alias("_y"), F.col(id_col).alias("_id"))
     g = v.groupBy("_s").agg(F.count(F.lit(1)).alias("_c"), F.sum("_y").alias("_d"))
-    pre = ordered_prefix(g, "_s", {"c": "_c"}, descending=True)
+    pre = ordered_prefix(g, "_s", {"c": "_c"}, descending=True, checkpoint=checkpoint)
     n_tot = g.agg(F.sum("_c").alias("_n"), F.sum("_d").alias("_dtot")).withColumn("_k", F.lit(0))
     pre = (pre.withColumn("_k", F.lit(0)).join(F.broadcast(n_tot), on="_k").drop("_k")
            .withColumn("_r0", F.col("cum_c") - F.col("_c")))
@@ -280,8 +283,9 @@ def gains_table(df: DataFrame, y: str = "default", s: str = "p_default", id_col:
     straddle = pre.filter(F.col("_dlo") != F.col("_dhi")).select("_s", "_r0", "_n")
     # at most n_bins - 1 straddling score values
     rows = v.join(F.broadcast(straddle), on="_s", how="inner")
-    ranked = row_rank(rows.withColumn("_z", F.lit(0.0)), "_z", "_id", by=["_s"])
-    split = (ranked.withColumn("decile", _decile_of(F.col("_r0") + F.col("rank"), F.col("_n"), n_bins))
+    # rank inside each straddling tie group by id, spread over id buckets
+    ranked = ordered_prefix(rows, "_id", {"one": F.lit(1)}, by=["_s"], checkpoint=checkpoint)
+    split = (ranked.withColumn("decile", _decile_of(F.col("_r0") + F.col("cum_one") - 1, F.col("_n"), n_bins))
              .groupBy("decile", "_s").agg(F.count(F.lit(1)).alias("_c"), F.sum("_y").alias("_d"))
              .select("decile", "_c", "_d", F.col("_s").alias("_smin"), F.col("_s").alias("_smax")))
     per = (whole.unionByName(split).groupBy("decile")
@@ -302,12 +306,12 @@ def gains_table(df: DataFrame, y: str = "default", s: str = "p_default", id_col:
 # -------- reliability and histograms ------------------------------------------
 
 def reliability_table(df: DataFrame, y: str = "default", p: str = "p_default", n_bins: int = 20,
-                      p_decimals: int | None = None) -> DataFrame:
+                      p_decimals: int | None = None, checkpoint: bool = True) -> DataFrame:
     """Quantile-binned reliability: per non-empty bin, n, mean predicted and
     observed fraction. Bin = number of inner edges < p (right-closed)."""
     v = _valid(df, y, p)
     probs = [float(q) for q in (np.linspace(0, 1, n_bins + 1) * 100) / 100][1:-1]
-    edges = quantile_list(v, p, probs)
+    edges = quantile_list(v, p, probs, checkpoint=checkpoint)
     x = F.col(p).cast("double")
     terms = [F.when(x > F.lit(float(e)), 1).otherwise(0) for e in edges]
     binexpr = F.lit(0)

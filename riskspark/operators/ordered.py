@@ -63,16 +63,16 @@ def range_cuts(df: DataFrame, key: str, n_buckets: int | None = None) -> list[fl
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into ``spark.checkpoint.dir`` (shared storage on a
-    cluster): later passes read the files, and a lost executor does not send
-    them back through the whole upstream plan. Cached first so the data is
-    computed once."""
+    """Write ``df`` as Parquet under ``spark.checkpoint.dir`` (shared storage on
+    a cluster) and read it back: one job, the lineage is cut, later passes
+    read columnar files (with column pruning) instead of re-running the
+    upstream plan, and a lost executor does not send them back through it."""
+    import uuid
     from riskspark.session import ensure_checkpoint_dir
-    ensure_checkpoint_dir(df.sparkSession)
-    cached = df.persist()
-    out = cached.checkpoint(eager=True)
-    cached.unpersist()
-    return out
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/mat-{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
 
 
 def bucketize(df: DataFrame, key: str, cuts: list[float], out: str = "_bucket") -> DataFrame:
@@ -146,7 +146,8 @@ def _lerp(a: Column, b: Column, t: Column) -> Column:
 
 
 def exact_quantiles(df: DataFrame, value: str, probs: list[float],
-                    by: list[str] | tuple[str, ...] = (), n_buckets: int | None = None) -> DataFrame:
+                    by: list[str] | tuple[str, ...] = (), n_buckets: int | None = None,
+                    checkpoint: bool = True) -> DataFrame:
     """Exact linear-interpolation quantiles (numpy's default method).
 
     Returns one row per (group, q) with column ``quantile``. NULL and NaN
@@ -158,7 +159,7 @@ def exact_quantiles(df: DataFrame, value: str, probs: list[float],
     v = F.col(value)
     clean = df.select(*by, v.cast("double").alias("_x")).filter(F.col("_x").isNotNull() & ~F.isnan("_x"))
     g = clean.groupBy(*by, "_x").agg(F.count(F.lit(1)).alias("_c"))
-    pre = ordered_prefix(g, "_x", {"c": "_c"}, by=by, n_buckets=n_buckets)
+    pre = ordered_prefix(g, "_x", {"c": "_c"}, by=by, n_buckets=n_buckets, checkpoint=checkpoint)
     pre = pre.withColumn("_start", F.col("cum_c") - F.col("_c"))
     # Without groups every table joins on one constant key (equi-joins on
     # tables of at most 2*len(probs) rows, never a cross product of big sides).
@@ -191,9 +192,10 @@ def exact_quantiles(df: DataFrame, value: str, probs: list[float],
     return res.select(*by, "qi", "q", _lerp(F.col("_a"), F.col("_b"), F.col("_t")).alias("quantile"))
 
 
-def quantile_list(df: DataFrame, value: str, probs: list[float], n_buckets: int | None = None) -> list[float]:
+def quantile_list(df: DataFrame, value: str, probs: list[float], n_buckets: int | None = None,
+                  checkpoint: bool = True) -> list[float]:
     """Exact quantiles of one column as a Python list (len(probs) scalars)."""
-    rows = exact_quantiles(df, value, probs, n_buckets=n_buckets).orderBy("qi").collect()
+    rows = exact_quantiles(df, value, probs, n_buckets=n_buckets, checkpoint=checkpoint).orderBy("qi").collect()
     if len(rows) != len(probs):
         return [math.nan] * len(probs)
     return [float(r["quantile"]) for r in rows]

@@ -382,8 +382,9 @@ select application_id, grade, p_default, {R('grade_rate')} as grade_rate,
             when p_default - grade_rate > 0 then 'pessimistic' else 'optimistic' end as verdict
 from j"""))
 def q_grade_gap(spark, d):
+    S = TB.scored_table(spark, d)
     from riskspark.operators.explain import grade_gap
-    return grade_gap(TB.test_scored(spark, d), TB.train_scored(spark, d))
+    return grade_gap(TB.test_scored(spark, d, S), TB.train_scored(spark, d, S))
 
 
 # --------------------------------------------------------------- metrics --
@@ -409,7 +410,8 @@ pm as (select {GB('p_default', '"default"')} as brier,
 select {R('roc_auc')} as roc_auc, {R('pr_auc')} as pr_auc, {R('brier')} as brier, {R('log_loss')} as log_loss,
        {R('ks')} as ks from r cross join pm"""))
 def q_metric_row(spark, d):
-    return M.metric_row(TB.test_scored(spark, d), p_decimals=P_DEC)
+    S = TB.scored_table(spark, d)
+    return M.metric_row(TB.test_scored(spark, d, S), p_decimals=P_DEC, checkpoint=False)
 
 
 @register("metrics_by_group", with_base(f"""
@@ -425,7 +427,8 @@ r as (select grade, sum(pos * (cn - 0.5 * neg)) / (max(P) * max(N)) as roc_auc,
 select grade, cast(n as bigint) as n, {R('default_rate')} as default_rate, {R('roc_auc')} as roc_auc, {R('ks')} as ks
 from r where n >= 100 and (select count(distinct "default") from test_scored t where t.grade = r.grade) = 2"""))
 def q_metrics_by_group(spark, d):
-    return M.metrics_by_group(TB.test_scored(spark, d), "p_default", "default", "grade")
+    S = TB.scored_table(spark, d)
+    return M.metrics_by_group(TB.test_scored(spark, d, S), "p_default", "default", "grade", checkpoint=False)
 
 
 @register("roc_points", with_base(f"""{_RANK_SQL.format(src='test_scored')}
@@ -434,7 +437,8 @@ select s as threshold, cast(P - cp + pos as bigint) as tp, cast(N - cn + neg as
        {R('(P - cp + pos) / ((P - cp + pos) + (N - cn + neg))')} as precision, {R('(P - cp + pos) / P')} as recall
 from c"""))
 def q_roc_points(spark, d):
-    return M.roc_points(TB.test_scored(spark, d))
+    S = TB.scored_table(spark, d)
+    return M.roc_points(TB.test_scored(spark, d, S), checkpoint=False)
 
 
 @register("confusion_matrix", with_base(f"""
@@ -467,7 +471,7 @@ select {R('threshold')} as threshold, {R('fn')} as fn, {R('fp')} as fp, {R('cost
 
 
 def _curve(spark, d, weight=None):
-    return M.cost_curve(TB.test_scored(spark, d), weight=weight)
+    return M.cost_curve(TB.test_scored(spark, d), weight=weight)    # one aggregation pass
 
 
 @register("cost_curve", _cost_sql("1e0"))
@@ -510,7 +514,8 @@ psi as (select sum((a - e) * ln(a / e)) as psi from sh)"""
 
 @register("psi", with_base(_psi_sql("train_scored", "test_scored") + f"\nselect {R('psi')} as psi from psi"))
 def q_psi(spark, d):
-    return M.psi(TB.train_scored(spark, d), "p_default", TB.test_scored(spark, d), "p_default")
+    S = TB.scored_table(spark, d)
+    return M.psi(TB.train_scored(spark, d, S), "p_default", TB.test_scored(spark, d, S), "p_default", checkpoint=False)
 
 
 def _decile_sql(rk: str, n: str) -> str:
@@ -533,7 +538,8 @@ select cast(decile as int) as decile, cast(n as bigint) as n, cast(n_defaults as
        {R('sum(n_defaults) over (order by decile) / D')} as cum_capture_rate
 from g cross join t"""))
 def q_gains_table(spark, d):
-    return M.gains_table(TB.test_scored(spark, d), id_col="loan_id")
+    S = TB.scored_table(spark, d)
+    return M.gains_table(TB.test_scored(spark, d, S), id_col="loan_id", checkpoint=False)
 
 
 _REL_PROBS = [float(q) for q in (__import__("numpy").linspace(0, 1, 21) * 100) / 100][1:-1]
@@ -546,7 +552,8 @@ b as (select p_default, "default" as y,
 select bin, count(*) as n, {R(GM('p_default'))} as mean_predicted, {R('avg(y)')} as fraction_observed
 from b group by bin"""))
 def q_reliability_table(spark, d):
-    return M.reliability_table(TB.test_scored(spark, d), p_decimals=P_DEC)
+    S = TB.scored_table(spark, d)
+    return M.reliability_table(TB.test_scored(spark, d, S), p_decimals=P_DEC, checkpoint=False)
 
 
 def _score_hist_sql():
@@ -562,7 +569,8 @@ from {binned} b group by cls, bin""")
 
 @register("score_histogram", _score_hist_sql())
 def q_score_histogram(spark, d):
-    return M.score_histogram(TB.test_scored(spark, d), "p_default", "default")
+    S = TB.scored_table(spark, d)
+    return M.score_histogram(TB.test_scored(spark, d, S), "p_default", "default")
 
 
 # ------------------------------------------------------------- models ------
@@ -629,9 +637,10 @@ from r where rank <= 5""")
 
 @register("linear_reason_codes", _reason_sql())
 def q_linear_reason_codes(spark, d):
+    S = TB.scored_table(spark, d)
     from riskspark.operators.explain import linear_reason_codes, scorecard_contributions
-    test = TB.test_scored(spark, d)
-    contrib = scorecard_contributions(FROZEN_SCORECARD, test, TB.train_scored(spark, d))
+    test = TB.test_scored(spark, d, S)
+    contrib = scorecard_contributions(FROZEN_SCORECARD, test, TB.train_scored(spark, d, S))
     rc = linear_reason_codes(contrib, top_n=5, positive_only=True)
     return rc.select("application_id", F.posexplode("reasons").alias("rank", "r")) \
         .select("application_id", (F.col("rank") + 1).cast("int").alias("rank"), "r.feature", "r.label",
@@ -741,7 +750,8 @@ select count(*) as n, {R(GM('p_default'))} as mean_pred, {R('avg("default")')} a
        {R(GM('p_default') + ' - avg("default")')} as gap, {R(GB('p_default', '"default"'))} as brier
 from test_scored"""))
 def q_calibration_summary(spark, d):
-    return MON.calibration_summary(TB.test_scored(spark, d), p_decimals=P_DEC)
+    S = TB.scored_table(spark, d)
+    return MON.calibration_summary(TB.test_scored(spark, d, S), p_decimals=P_DEC)
 
 
 def queries() -> dict[str, QueryFn]:

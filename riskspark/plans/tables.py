@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from riskspark.operators.ordered import materialize
 from riskspark.operators.prepare import add_interactions, clean, curate
 from riskspark.operators.scoring import FROZEN_SCORECARD, with_fico_mean
 from riskspark.functions.bands import decision
@@ -43,12 +44,19 @@ def scored(spark: SparkSession, d: str) -> DataFrame:
             .withColumn("loan_id", F.col("application_id").cast("bigint")))
 
 
-def test_scored(spark, d):
-    return scored(spark, d).filter(F.col("issue_year") >= TEST_MIN)
+def scored_table(spark: SparkSession, d: str) -> DataFrame:
+    """The scored loans written once to the checkpoint folder: multi-pass
+    queries (rank metrics, quantiles, tables) read this instead of re-running
+    the join and scoring plan for every pass."""
+    return materialize(scored(spark, d))
 
 
-def train_scored(spark, d):
-    return scored(spark, d).filter(F.col("issue_year") <= TRAIN_MAX)
+def test_scored(spark, d, base: DataFrame | None = None):
+    return (base if base is not None else scored(spark, d)).filter(F.col("issue_year") >= TEST_MIN)
+
+
+def train_scored(spark, d, base: DataFrame | None = None):
+    return (base if base is not None else scored(spark, d)).filter(F.col("issue_year") <= TRAIN_MAX)
 
 
 def prediction_log(spark: SparkSession, d: str) -> DataFrame:

@@ -21,6 +21,8 @@ BASE_CONF = {
     # optimizer's constraint inference over them grows combinatorially.
     "spark.sql.constraintPropagation.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # checkpoint files of unreachable DataFrames are deleted by the cleaner
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
