@@ -62,6 +62,8 @@ class CalibratedModel:
     name: str = "calibrated"
 
     def raw(self, df: DataFrame) -> DataFrame:
+        # a previous score on the input is replaced, not duplicated
+        df = df.drop(*[c for c in ("p_raw", "p_default", "decision") if c in df.columns])
         out = self.base.transform(df)
         out = out.withColumn("p_raw", vector_to_array(F.col("probability"))[1])
         drop = [c for c in ("rawPrediction", "probability", "prediction", "features") if c in out.columns]

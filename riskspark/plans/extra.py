@@ -1 +1,179 @@
-"""Model-fitting and streaming queries (rows-only checks: no SQL oracle)."""
+"""Model-fitting and streaming queries.
+
+Model queries have no SQL oracle (fits are iterative); the driver records a
+rows-only check and the tests check their invariants. Streaming queries read
+files that Spark derives from the driver tables, run with
+``trigger(availableNow=True)`` and return the sink as a batch DataFrame.
+"""
+
+from __future__ import annotations
+
+import uuid
+
+from pyspark.sql import functions as F
+
+from riskspark import streaming as ST
+from riskspark.operators import metrics as M
+from riskspark.operators import monitor as MON
+from riskspark.operators.calibration import CalibratedModel, fit_calibrated, recalibrate
+from riskspark.operators.models import feature_importance, fit_gbt, fit_lr
+from riskspark.operators.prepare import recent_years
+from riskspark.operators.scoring import FROZEN_SCORECARD, score_batch
+from riskspark.plans import tables as TB
+from riskspark.plans.catalog import register
+from riskspark.schema import CLEAN_FEATURES_V2
+from riskspark.session import ensure_checkpoint_dir
+from riskspark.sources.files import append_log, load_predictions, read_any, to_log_records, write_any
+
+_MODELS: dict[tuple[str, str], str] = {}
+
+
+def _scratch(spark, name: str) -> str:
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def _splits(spark, d):
+    s = TB.scored_table(spark, d)
+    y = F.col("issue_year")
+    return s, s.filter(y <= TB.BASE_MAX), s.filter(y == TB.CALIB), s.filter(y >= TB.TEST_MIN)
+
+
+def calibrated_gbt(spark, d) -> CalibratedModel:
+    """GBT on base years + isotonic on the calibration year, saved once per
+    table folder (Spark ML save/load) and reloaded by later queries."""
+    key = ("gbt", d)
+    if key in _MODELS:
+        return CalibratedModel.load(_MODELS[key])
+    _, base, calib, _ = _splits(spark, d)
+    model = fit_calibrated(base, calib, lambda df: fit_gbt(df, CLEAN_FEATURES_V2))
+    path = _scratch(spark, "model-gbt")
+    model.save(path)
+    _MODELS[key] = path
+    return model
+
+
+def _metric_row(scored):
+    return M.metric_row(scored.select("default", "p_default"))
+
+
+@register("lr_test_metrics", None)
+def q_lr_test_metrics(spark, d):
+    _, base, _, test = _splits(spark, d)
+    lr = fit_lr(base, CLEAN_FEATURES_V2)
+    return _metric_row(CalibratedModel(lr, None).score(test))
+
+
+@register("gbt_calibrated_metrics", None)
+def q_gbt_calibrated_metrics(spark, d):
+    _, _, _, test = _splits(spark, d)
+    return _metric_row(calibrated_gbt(spark, d).score(test))
+
+
+@register("gbt_feature_importance", None)
+def q_gbt_feature_importance(spark, d):
+    return feature_importance(calibrated_gbt(spark, d).base, top_n=15)
+
+
+@register("recalibration_report", None)
+def q_recalibration_report(spark, d):
+    """Frozen base, isotonic refit on the most recent labelled year before the
+    evaluation year; calibration summary before and after."""
+    s, _, _, _ = _splits(spark, d)
+    model = calibrated_gbt(spark, d)
+    window = recent_years(s.filter(F.col("issue_year") <= TB.TEST_MIN), years=1, max_year=TB.TEST_MIN)
+    new = recalibrate(model, window)
+    ev = s.filter(F.col("issue_year") > TB.TEST_MIN)
+    before = MON.calibration_summary(model.score(ev)).withColumn("stage", F.lit("before"))
+    after = MON.calibration_summary(new.score(ev)).withColumn("stage", F.lit("after"))
+    return before.unionByName(after)
+
+
+@register("gbt_batch_scoring", None)
+def q_gbt_batch_scoring(spark, d):
+    """Batch path: write the test slice as CSV, read it back by suffix, check
+    columns, derive interactions, pin levels, score, decide, write Parquet."""
+    _, _, _, test = _splits(spark, d)
+    src = _scratch(spark, "batch-in") + ".csv"
+    write_any(test.select(*[c for c in CLEAN_FEATURES_V2 if c not in ("loan_to_income",)], "application_id"), src)
+    df = read_any(spark, src)
+    out = score_batch(df, calibrated_gbt(spark, d), threshold=0.13)
+    dst = _scratch(spark, "batch-out") + ".parquet"
+    write_any(out.select("application_id", "p_default", "decision"), dst)
+    return MON.batch_summary(read_any(spark, dst))
+
+
+# ----------------------------------------------------------------- streaming --
+
+def _event_stream(spark, d):
+    ev = TB.table(spark, d, "events")
+    st = spark.readStream.schema(ev.schema).parquet(f"{d.rstrip('/')}/events.parque[t]")
+    p = F.least(F.col("value") / 500.0, F.lit(1.0))
+    return st.select(F.col("ts").cast("timestamp").alias("ts"), F.col("event_id").cast("string").alias("application_id"),
+                     F.col("user_id"), p.alias("p_default"),
+                     F.when(p >= 0.13, "reject").otherwise("approve").alias("decision"))
+
+
+@register("stream_daily_events", """
+select strftime(cast(ts as date), '%Y-%m-%d') as date, count(*) as n,
+       (case when abs(avg(least(value / 500e0, 1e0))) < 1e12
+             then floor(avg(least(value / 500e0, 1e0)) * 1e6 + 0.5) / 1e6 end) as mean_p_default,
+       floor(avg(case when least(value / 500e0, 1e0) >= 0.13e0 then 1e0 else 0e0 end) * 1e6 + 0.5) / 1e6 as reject_rate
+from events
+where cast(ts as date) + interval 2 day <= (select max(ts) from events)
+group by 1""")
+def q_stream_daily_events(spark, d):
+    """Closed 1-day windows (append mode, 1-day watermark) over the events feed."""
+    return ST.run_available(ST.daily_windows(_event_stream(spark, d)), name="daily")
+
+
+@register("stream_dedup_users", None)
+def q_stream_dedup_users(spark, d):
+    """First event per user within the watermark (bounded dedup state)."""
+    s = _event_stream(spark, d).drop("application_id").withColumnRenamed("user_id", "application_id")
+    return ST.run_available(ST.dedup_predictions(s.withColumn("application_id", F.col("application_id").cast("string"))),
+                            name="dedup")
+
+
+@register("stream_scored_log", None)
+def q_stream_scored_log(spark, d):
+    """Applications arrive as Parquet files -> field rules -> valid rows scored
+    with the frozen scorecard into the JSON prediction log, broken rows into
+    a quarantine sink (both checkpointed) -> both read back."""
+    apps = TB.cleaned(spark, d).drop("default", "issue_year")
+    src = _scratch(spark, "apps")
+    apps.repartition(4).write.parquet(src)
+    stream = spark.readStream.schema(apps.schema).parquet(src)
+    scored = ST.score_stream(stream, FROZEN_SCORECARD, 0.13, FROZEN_SCORECARD.name)
+    log = ST.run_available(to_log_records(scored, 0.13, FROZEN_SCORECARD.name), fmt="json", name="scorelog")
+    quar = ST.run_available(ST.quarantine_stream(stream).select("application_id", "violations"), name="quarantine")
+    return (log.select("application_id", F.lit("scored").alias("status"), "p_default",
+                       F.lit(None).cast("string").alias("violation"))
+            .unionByName(quar.select("application_id", F.lit("quarantined").alias("status"),
+                                     F.lit(None).cast("double").alias("p_default"),
+                                     F.array_join("violations", ",").alias("violation"))))
+
+
+@register("stream_outcome_join", None)
+def q_stream_outcome_join(spark, d):
+    """Logged predictions (JSON log written by the batch sink) streamed and
+    joined to the static outcome table."""
+    log_dir = _scratch(spark, "predlog")
+    plog = TB.prediction_log(spark, d)
+    append_log(to_log_records(plog, 0.13, FROZEN_SCORECARD.name, ts="ts"), log_dir)
+    batch = load_predictions(spark, log_dir)
+    stream = spark.readStream.schema(batch.schema).json(log_dir)
+    joined = ST.join_outcomes_stream(stream.select("ts", "application_id", "p_default", "decision"),
+                                     TB.outcomes(spark, d))
+    return ST.run_available(joined, name="outjoin")
+
+
+@register("stream_psi_daily", None)
+def q_stream_psi_daily(spark, d):
+    """Daily PSI of the events feed against static edges of the training
+    scores (suppressed under 1,000 rows per day)."""
+    ref = TB.train_scored(spark, d, TB.scored_table(spark, d))
+    edges = M.psi_edges(ref, "p_default", checkpoint=False)
+    shares = M.psi_table(ref, "p_default", ref, "p_default", edges=edges, checkpoint=False) \
+        .orderBy("bin").select("e_share").collect()
+    counts = ST.run_available(ST.psi_bin_counts(_event_stream(spark, d), edges), name="psibins")
+    return ST.psi_by_window(counts, [r["e_share"] for r in shares])
