@@ -64,7 +64,8 @@ def rank_metrics(df: DataFrame, y: str = "default", s: str = "p_default",
     tp = P - F.col("cum_pos") + F.col("_pos")          # rows with score >= s that are positive
     fp = N - F.col("cum_neg") + F.col("_neg")
     ap_term = F.when(F.col("_pos") > 0, F.col("_pos") * (tp / (tp + fp)))
-    ks_term = F.abs(F.col("cum_pos") / P - F.col("cum_neg") / N)
+    # guarded per row: a one-class group must not divide by zero under ANSI
+    ks_term = F.when((P > 0) & (N > 0), F.abs(F.col("cum_pos") / P - F.col("cum_neg") / N))
     both = (F.first("_P") > 0) & (F.first("_N") > 0)
     return r.groupBy(*by).agg(
         F.first("_P").cast("bigint").alias("n_pos"),

@@ -77,6 +77,8 @@ def materialize(df: DataFrame) -> DataFrame:
 
 def bucketize(df: DataFrame, key: str, cuts: list[float], out: str = "_bucket") -> DataFrame:
     """Append ``out`` = number of cut points <= key (0 .. len(cuts))."""
+    if not cuts:
+        return df.withColumn(out, F.lit(0))
     splits = [-math.inf, *cuts, math.inf]
     tmp = f"{out}_in"
     b = Bucketizer(splits=splits, inputCol=tmp, outputCol=out, handleInvalid="keep")
