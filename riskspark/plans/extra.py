@@ -177,3 +177,47 @@ def q_stream_psi_daily(spark, d):
         .orderBy("bin").select("e_share").collect()
     counts = ST.run_available(ST.psi_bin_counts(_event_stream(spark, d), edges), name="psibins")
     return ST.psi_by_window(counts, [r["e_share"] for r in shares])
+
+
+# ------------------------------------------------------------ file sources --
+
+@register("raw_csv_scan", """with """ + __import__("riskspark.plans.sqlbase", fromlist=["BASE_CTES"]).BASE_CTES + """
+select loan_status, count(*) as n from loans group by loan_status""")
+def q_raw_csv_scan(spark, d):
+    """Loans written as a raw CSV file set, scanned back with the declared
+    schema and only the selected columns parsed."""
+    from riskspark.sources.files import load_raw
+    path = _scratch(spark, "raw") + ".csv"
+    TB.raw(spark, d).drop("application_id").write.option("header", True).csv(path)
+    raw = load_raw(spark, path, usecols=["grade", "loan_status"])
+    return raw.groupBy("loan_status").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("curated_table_roundtrip", """with """ + __import__("riskspark.plans.sqlbase", fromlist=["BASE_CTES"]).BASE_CTES + """
+select issue_year, count(*) as n, count(*) filter (where "default" = 1) as n_default
+from curated where issue_year <= 1999 group by issue_year""")
+def q_curated_table_roundtrip(spark, d):
+    """Curated table written partitioned by issue_year; reading the training
+    years back prunes partitions instead of filtering rows."""
+    from riskspark.operators.prepare import write_cleaned
+    from riskspark.sources.files import load_curated
+    path = _scratch(spark, "curated")
+    write_cleaned(TB.curated(spark, d), path)
+    back = load_curated(spark, path).filter(F.col("issue_year") <= TB.TRAIN_MAX)
+    return back.groupBy("issue_year").agg(F.count(F.lit(1)).alias("n"),
+                                          F.count_if(F.col("default") == 1).alias("n_default"))
+
+
+@register("ground_truth_file_join", """with """ + __import__("riskspark.plans.sqlbase", fromlist=["BASE_CTES"]).BASE_CTES + """
+select count(*) as n_matched, sum(o.actual) as n_default
+from predlog p join outcomes o on o.application_id = p.application_id""")
+def q_ground_truth_file_join(spark, d):
+    """Outcomes delivered as a CSV file with their own column names, read by
+    the outcome reader and joined to the prediction log."""
+    from riskspark.sources.files import load_ground_truth
+    path = _scratch(spark, "truth") + ".csv"
+    (TB.curated(spark, d).select(F.col("application_id").alias("app"), F.col("default").alias("label"))
+     .write.option("header", True).csv(path))
+    truth = load_ground_truth(spark, path, id_col="app", label_col="label")
+    j = MON.join_outcomes(TB.prediction_log(spark, d), truth)
+    return j.agg(F.count(F.lit(1)).alias("n_matched"), F.sum("actual").cast("bigint").alias("n_default"))
