@@ -55,12 +55,13 @@ def daily_table(predictions: DataFrame, ts: str = "ts", p_decimals: int | None =
 
 
 def realized_metrics(joined: DataFrame, by: list[str] | tuple[str, ...] = (),
-                     y: str = "actual", p: str = "p_default", p_decimals: int | None = None) -> DataFrame:
+                     y: str = "actual", p: str = "p_default", p_decimals: int | None = None,
+                     checkpoint: bool = True) -> DataFrame:
     """n, actual_default_rate, mean_p_default, brier, roc_auc, ks, log_loss per
     group; the rank metrics and log-loss are NULL when a class is absent."""
     by = list(by)
     pm = prob_metrics(joined, y, p, by, p_decimals=p_decimals)
-    rm = rank_metrics(joined, y, p, by)
+    rm = rank_metrics(joined, y, p, by, checkpoint=checkpoint)
     if by:
         j = pm.join(rm, on=by, how="left")
     else:
@@ -73,14 +74,16 @@ def realized_metrics(joined: DataFrame, by: list[str] | tuple[str, ...] = (),
                     F.when(both, F.col("log_loss")).alias("log_loss"))
 
 
-def realized_monthly(joined: DataFrame, ts: str = "ts", p_decimals: int | None = None) -> DataFrame:
+def realized_monthly(joined: DataFrame, ts: str = "ts", p_decimals: int | None = None,
+                     checkpoint: bool = True) -> DataFrame:
     """Realized metrics per calendar month ('yyyy-MM' of the UTC timestamp)."""
     return realized_metrics(joined.withColumn("month", F.date_format(F.col(ts), "yyyy-MM")), by=["month"],
-                            p_decimals=p_decimals)
+                            p_decimals=p_decimals, checkpoint=checkpoint)
 
 
 def headline(predictions: DataFrame, reference: DataFrame, ref_col: str = "p_default",
-             min_samples: int = PSI_MIN_SAMPLES, ts: str = "ts", p_decimals: int | None = None) -> DataFrame:
+             min_samples: int = PSI_MIN_SAMPLES, ts: str = "ts", p_decimals: int | None = None,
+             checkpoint: bool = True) -> DataFrame:
     """One row: n_predictions, window, PSI vs the reference scores (NULL under
     ``min_samples`` rows), its band, mean p (production, reference), reject rate."""
     stats = predictions.agg(
@@ -91,7 +94,7 @@ def headline(predictions: DataFrame, reference: DataFrame, ref_col: str = "p_def
     ref = reference.agg(grid_mean(ref_col, p_decimals).alias("mean_p_default_train_ref"))
     n = stats.first()["n_predictions"]
     if n >= min_samples:
-        pv = psi(reference, ref_col, predictions, "p_default")
+        pv = psi(reference, ref_col, predictions, "p_default", checkpoint=checkpoint)
     else:
         pv = predictions.sparkSession.createDataFrame([(None,)], "psi double")
     k = F.lit(0)

@@ -123,7 +123,8 @@ def ordered_prefix(df: DataFrame, key: str, sums: dict[str, Column | str],
 
 
 def row_rank(df: DataFrame, key: str, id_col: str, descending: bool = False,
-             by: list[str] | tuple[str, ...] = (), n_buckets: int | None = None) -> DataFrame:
+             by: list[str] | tuple[str, ...] = (), n_buckets: int | None = None,
+             checkpoint: bool = True) -> DataFrame:
     """Append 0-based ``rank`` in (key [desc], id asc) order within ``by``.
 
     Ties on ``key`` are ranked by the unique ``id_col``. Each key value is one
@@ -134,9 +135,10 @@ def row_rank(df: DataFrame, key: str, id_col: str, descending: bool = False,
     kcol = "_rk"
     work = df.withColumn(kcol, (-F.col(key) if descending else F.col(key)).cast("double"))
     counts = work.groupBy(*by, kcol).agg(F.count(F.lit(1)).alias("_c"))
-    starts = ordered_prefix(counts, kcol, {"c": "_c"}, by=by, n_buckets=n_buckets)
+    starts = ordered_prefix(counts, kcol, {"c": "_c"}, by=by, n_buckets=n_buckets, checkpoint=checkpoint)
     starts = starts.select(*by, kcol, (F.col("cum_c") - F.col("_c")).alias("_start"))
-    within = ordered_prefix(work, id_col, {"one": F.lit(1)}, by=[*by, kcol], n_buckets=n_buckets)
+    within = ordered_prefix(work, id_col, {"one": F.lit(1)}, by=[*by, kcol], n_buckets=n_buckets,
+                            checkpoint=checkpoint)
     out = within.join(starts, on=[*by, kcol], how="inner")
     return out.withColumn("rank", F.col("_start") + F.col("cum_one") - 1).drop(kcol, "_start", "cum_one")
 

@@ -78,13 +78,14 @@ def fico_bucket_rate(df: DataFrame, y: str = TARGET) -> DataFrame:
 DESCRIBE_PROBS = [0.01, 0.25, 0.5, 0.75, 0.99]
 
 
-def describe(df: DataFrame, cols: list[str], probs: list[float] = DESCRIBE_PROBS) -> DataFrame:
+def describe(df: DataFrame, cols: list[str], probs: list[float] = DESCRIBE_PROBS,
+             checkpoint: bool = True) -> DataFrame:
     """count, mean, sample std, min, exact percentiles, max per column (long)."""
     lv = long_values(df, cols).filter(F.col("value").isNotNull() & ~F.isnan("value"))
     basic = lv.groupBy("column_name").agg(F.count(F.lit(1)).alias("count"), F.avg("value").alias("mean"),
                                           F.stddev_samp("value").alias("std"), F.min("value").alias("min"),
                                           F.max("value").alias("max"))
-    q = exact_quantiles(lv, "value", probs, by=["column_name"])
+    q = exact_quantiles(lv, "value", probs, by=["column_name"], checkpoint=checkpoint)
     names = {i: f"p{int(round(p * 100)):02d}" for i, p in enumerate(probs)}
     wide = q.groupBy("column_name").pivot("qi", list(names)).agg(F.first("quantile"))
     wide = wide.select("column_name", *[F.col(str(i)).alias(n) for i, n in names.items()])
@@ -92,11 +93,11 @@ def describe(df: DataFrame, cols: list[str], probs: list[float] = DESCRIBE_PROBS
 
 
 def clipped_histogram(df: DataFrame, cols: list[str], n_bins: int = 50, lo_q: float = 0.01,
-                      hi_q: float = 0.99) -> DataFrame:
+                      hi_q: float = 0.99, checkpoint: bool = True) -> DataFrame:
     """Per column: values clipped to their [1 %, 99 %] quantiles, then
     ``n_bins`` equal-width bins over [lo, hi]: column_name, bin, n."""
     lv = long_values(df, cols).filter(F.col("value").isNotNull() & ~F.isnan("value"))
-    q = exact_quantiles(lv, "value", [lo_q, hi_q], by=["column_name"])
+    q = exact_quantiles(lv, "value", [lo_q, hi_q], by=["column_name"], checkpoint=checkpoint)
     bounds = q.groupBy("column_name").agg(F.min("quantile").alias("_lo"), F.max("quantile").alias("_hi"))
     # a degenerate range [v, v] is widened by 0.5 on both sides
     bounds = bounds.select("column_name",

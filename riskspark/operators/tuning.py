@@ -24,11 +24,11 @@ from riskspark.schema import CV_FOLDS, DEFAULT_PARAMS, N_TRIALS, RANDOM_STATE, S
 
 
 def time_series_folds(df: DataFrame, n_splits: int = CV_FOLDS,
-                      order: tuple[str, str] = ("issue_year", "loan_id")) -> DataFrame:
+                      order: tuple[str, str] = ("issue_year", "loan_id"), checkpoint: bool = True) -> DataFrame:
     """Append ``pos`` (0-based chronological position), ``n`` and ``test_fold``
     (the fold whose test block holds the row, NULL if none)."""
     lead, rid = order
-    ranked = row_rank(df, lead, rid)
+    ranked = row_rank(df, lead, rid, checkpoint=checkpoint)
     n = df.count()
     ts = n // (n_splits + 1)
     first = n - n_splits * ts

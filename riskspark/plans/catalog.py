@@ -18,7 +18,7 @@ from riskspark.operators import contracts as C
 from riskspark.operators import metrics as M
 from riskspark.operators import monitor as MON
 from riskspark.operators import profile as PR
-from riskspark.operators.ordered import row_rank
+from riskspark.operators.ordered import materialize, row_rank
 from riskspark.operators.prepare import curate_counts, recent_years, time_split
 from riskspark.operators.scoring import FROZEN_SCORECARD
 from riskspark.functions.bands import risk_band
@@ -157,7 +157,7 @@ from b left join w using (column_name)""")
 
 @register("numeric_describe", _describe_sql())
 def q_numeric_describe(spark, d):
-    return PR.describe(TB.cleaned2(spark, d), _DESCRIBE_COLS)
+    return PR.describe(materialize(TB.cleaned2(spark, d)), _DESCRIBE_COLS, checkpoint=False)
 
 
 def _ew_bin_sql(src: str, x: str, lo: str, hi: str, n_bins: int, keep: str) -> str:
@@ -186,7 +186,7 @@ select column_name, bin, count(*) as n from {binned} t group by column_name, bin
 
 @register("clipped_histogram", _hist_sql())
 def q_clipped_histogram(spark, d):
-    return PR.clipped_histogram(TB.cleaned2(spark, d), _DESCRIBE_COLS)
+    return PR.clipped_histogram(materialize(TB.cleaned2(spark, d)), _DESCRIBE_COLS, checkpoint=False)
 
 
 @register("interaction_stats", with_base(f"""lv as ({unpivot('cleaned2', INTERACTION_COLS, keep=['"default"'])})
@@ -602,7 +602,8 @@ select application_id, pos,
 from f"""))
 def q_time_folds(spark, d):
     from riskspark.operators.tuning import time_series_folds
-    return time_series_folds(TB.train_scored(spark, d), n_splits=2, order=("issue_year", "loan_id")) \
+    train = TB.train_scored(spark, d, TB.scored_table(spark, d))
+    return time_series_folds(train, n_splits=2, order=("issue_year", "loan_id"), checkpoint=False) \
         .select("application_id", "pos", "test_fold")
 
 
@@ -699,8 +700,8 @@ select (select count(*) from prod) as n_predictions,
        (select {R("avg(case when decision = 'reject' then 1e0 else 0e0 end)")} from prod) as reject_rate
 from psi"""))
 def q_monitor_headline(spark, d):
-    prod = TB.prediction_log(spark, d).filter(F.col("ts") >= F.lit(TB.PROD_START).cast("timestamp"))
-    h = MON.headline(prod, TB.train_scored(spark, d), p_decimals=P_DEC)
+    prod = materialize(TB.prediction_log(spark, d).filter(F.col("ts") >= F.lit(TB.PROD_START).cast("timestamp")))
+    h = MON.headline(prod, TB.train_scored(spark, d, TB.scored_table(spark, d)), p_decimals=P_DEC, checkpoint=False)
     return h.withColumns({"window_start": F.date_format("window_start", "yyyy-MM-dd HH:mm:ss"),
                           "window_end": F.date_format("window_end", "yyyy-MM-dd HH:mm:ss")})
 
@@ -724,8 +725,8 @@ select pm.month, pm.n, {R('actual_default_rate')} as actual_default_rate, {R('me
        case when rk.roc_auc is not null then {R('ll')} end as log_loss
 from pm left join rk using (month)"""))
 def q_realized_monthly(spark, d):
-    j = MON.join_outcomes(TB.prediction_log(spark, d), TB.outcomes(spark, d))
-    return MON.realized_monthly(j, p_decimals=P_DEC)
+    j = materialize(MON.join_outcomes(TB.prediction_log(spark, d), TB.outcomes(spark, d)))
+    return MON.realized_monthly(j, p_decimals=P_DEC, checkpoint=False)
 
 
 @register("realized_overall", with_base(f"""
@@ -741,8 +742,8 @@ select n, {R('actual_default_rate')} as actual_default_rate, {R('mean_p_default'
        {R('brier')} as brier, {R('roc_auc')} as roc_auc, {R('ks')} as ks, {R('log_loss')} as log_loss
 from pm cross join rk"""))
 def q_realized_overall(spark, d):
-    j = MON.join_outcomes(TB.prediction_log(spark, d), TB.outcomes(spark, d))
-    return MON.realized_metrics(j, p_decimals=P_DEC)
+    j = materialize(MON.join_outcomes(TB.prediction_log(spark, d), TB.outcomes(spark, d)))
+    return MON.realized_metrics(j, p_decimals=P_DEC, checkpoint=False)
 
 
 @register("calibration_summary", with_base(f"""
