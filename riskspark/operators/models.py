@@ -161,7 +161,8 @@ def fit_gbt(train: DataFrame, features: list[str], y: str = TARGET, params: dict
     data = data.persist()
     try:
         med = exact_medians(data, nums)
-        nullable = [c for c in nums if data.filter(F.col(c).isNull()).limit(1).count() > 0]
+        nulls = data.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in nums]).first() if nums else {}
+        nullable = [c for c in nums if nulls[c] > 0]          # one aggregate for all columns
         levels = data.agg(*[F.countDistinct(c).alias(c) for c in cats]).first() if cats else {}
         max_levels = max([levels[c] for c in cats] + [0]) + 2
         stages = [_fill_stage(med, {c: "__missing__" for c in cats}, nullable)]
