@@ -351,3 +351,30 @@ def score_histogram(df: DataFrame, s: str = "p_default", by: str | None = "defau
 
 def _is_nan(v) -> bool:
     return v is None or (isinstance(v, float) and math.isnan(v))
+
+
+# -------- model-to-model comparison --------------------------------------------
+
+LOWER_IS_BETTER = ("brier", "log_loss")
+
+
+def compare_metric_rows(a: DataFrame, b: DataFrame, name_a: str = "a", name_b: str = "b") -> DataFrame:
+    """Long comparison of two one-row metric tables: metric, value_a, value_b,
+    delta (b - a) and whether b is better (lower is better for Brier and
+    log-loss, higher for the rest)."""
+    cols = [c for c in a.columns if c in b.columns]
+    stack = lambda df, v: df.selectExpr(
+        f"stack({len(cols)}, {', '.join(f'{chr(39)}{c}{chr(39)}, cast(`{c}` as double)' for c in cols)}) as (metric, {v})")
+    j = stack(a, f"value_{name_a}").join(stack(b, f"value_{name_b}"), "metric", "inner")
+    d = F.col(f"value_{name_b}") - F.col(f"value_{name_a}")
+    return j.withColumn("delta", d).withColumn(
+        f"{name_b}_better", F.when(F.col("metric").isin(*LOWER_IS_BETTER), d < 0).otherwise(d > 0))
+
+
+def compare_gains(a: DataFrame, b: DataFrame, name_a: str = "a", name_b: str = "b") -> DataFrame:
+    """Decile-by-decile comparison of two gains tables (lift and capture)."""
+    sel = lambda df, n: df.select("decile", F.col("lift").alias(f"lift_{n}"),
+                                  F.col("cum_capture_rate").alias(f"capture_{n}"))
+    j = sel(a, name_a).join(sel(b, name_b), "decile", "inner")
+    return j.withColumn("lift_delta", F.col(f"lift_{name_b}") - F.col(f"lift_{name_a}")) \
+            .withColumn("capture_delta", F.col(f"capture_{name_b}") - F.col(f"capture_{name_a}"))

@@ -221,3 +221,18 @@ def q_ground_truth_file_join(spark, d):
     truth = load_ground_truth(spark, path, id_col="app", label_col="label")
     j = MON.join_outcomes(TB.prediction_log(spark, d), truth)
     return j.agg(F.count(F.lit(1)).alias("n_matched"), F.sum("actual").cast("bigint").alias("n_default"))
+
+
+@register("model_comparison", None)
+def q_model_comparison(spark, d):
+    """Frozen scorecard vs the same scorecard recalibrated (isotonic on the
+    calibration year): metric by metric with delta and a better flag."""
+    from riskspark.operators.calibration import fit_isotonic
+    s = TB.scored_table(spark, d)
+    calib = s.filter(F.col("issue_year") == TB.CALIB)
+    test = s.filter(F.col("issue_year") >= TB.TEST_MIN)
+    iso = fit_isotonic(calib, "p_default", "default", "p_cal")
+    cal = iso.transform(test).drop("p_default").withColumnRenamed("p_cal", "p_default")
+    a = M.metric_row(test, checkpoint=False)
+    b = M.metric_row(cal, checkpoint=False)
+    return M.compare_metric_rows(a, b, "scorecard", "calibrated")
