@@ -183,7 +183,7 @@ def feature_names(model: PipelineModel) -> list[str]:
     names = []
     for c in va.getInputCols():
         base = c.split("__")[0]
-        names.append(base + ("_missing" if c.endswith("__missing") else ""))
+        names.append(base + ("_is_null" if c.endswith("__missing") else ""))
     return names
 
 
