@@ -89,7 +89,7 @@ def bucketize(df: DataFrame, key: str, cuts: list[float], out: str = "_bucket")
 def ordered_prefix(df: DataFrame, key: str, sums: dict[str, Column | str],
                    by: list[str] | tuple[str, ...] = (), descending: bool = False,
                    tiebreak: str | None = None, n_buckets: int | None = None,
-                   checkpoint: bool = True) -> DataFrame:
+                   checkpoint: bool = True, bucket_key: Column | None = None) -> DataFrame:
     """Append ``cum_<name>``: inclusive running sum of each ``sums`` column in
     (``key`` [desc], ``tiebreak``) order, restarting for every ``by`` group.
 
@@ -102,10 +102,15 @@ def ordered_prefix(df: DataFrame, key: str, sums: dict[str, Column | str],
     work = df.withColumn(order_key, (-F.col(key) if descending else F.col(key)).cast("double"))
     for name, c in sums.items():
         work = work.withColumn(f"_v_{name}", F.col(c) if isinstance(c, str) else c)
+    # ``bucket_key`` (optional) must be non-decreasing in the order key within
+    # each group; it only steers balance (e.g. a per-group normalized value)
+    if bucket_key is not None:
+        work = work.withColumn("_bkey", bucket_key)
     if checkpoint:
         work = materialize(work)
-    cuts = range_cuts(work, order_key, n_buckets)
-    work = bucketize(work, order_key, cuts)
+    bk = "_bkey" if bucket_key is not None else order_key
+    cuts = range_cuts(work, bk, n_buckets)
+    work = bucketize(work, bk, cuts)
 
     totals = work.groupBy(*by, "_bucket").agg(*[F.sum(f"_v_{n}").alias(f"_t_{n}") for n in sums])
     before = Window.partitionBy(*by).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
@@ -119,7 +124,7 @@ def ordered_prefix(df: DataFrame, key: str, sums: dict[str, Column | str],
     order = [F.col(order_key)] + ([F.col(tiebreak)] if tiebreak else [])
     w = Window.partitionBy(*by, "_bucket").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     work = work.withColumns({f"cum_{n}": F.sum(f"_v_{n}").over(w) + F.col(f"_o_{n}") for n in sums})
-    return work.drop(order_key, "_bucket", *[f"_v_{n}" for n in sums], *[f"_o_{n}" for n in sums])
+    return work.drop(order_key, "_bucket", "_bkey", *[f"_v_{n}" for n in sums], *[f"_o_{n}" for n in sums])
 
 
 def row_rank(df: DataFrame, key: str, id_col: str, descending: bool = False,
@@ -163,7 +168,17 @@ def exact_quantiles(df: DataFrame, value: str, probs: list[float],
     v = F.col(value)
     clean = df.select(*by, v.cast("double").alias("_x")).filter(F.col("_x").isNotNull() & ~F.isnan("_x"))
     g = clean.groupBy(*by, "_x").agg(F.count(F.lit(1)).alias("_c"))
-    pre = ordered_prefix(g, "_x", {"c": "_c"}, by=by, n_buckets=n_buckets, checkpoint=checkpoint)
+    bkey = None
+    if by:
+        # groups (e.g. columns of a profile) live on unrelated scales: bucket on
+        # the value rescaled to [0, 1] within its group so every group spreads
+        # over all buckets; the order inside a bucket stays the exact value
+        rng = g.groupBy(*by).agg(F.min("_x").alias("_lo"), F.max("_x").alias("_hi"))
+        g = g.join(rng, on=by, how="inner")
+        span = F.col("_hi") - F.col("_lo")
+        bkey = F.when(span > 0, (F.col("_x") - F.col("_lo")) / span).otherwise(F.lit(0.0))
+    pre = ordered_prefix(g, "_x", {"c": "_c"}, by=by, n_buckets=n_buckets, checkpoint=checkpoint,
+                         bucket_key=bkey)
     pre = pre.withColumn("_start", F.col("cum_c") - F.col("_c"))
     # Without groups every table joins on one constant key (equi-joins on
     # tables of at most 2*len(probs) rows, never a cross product of big sides).
