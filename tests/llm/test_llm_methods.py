@@ -215,7 +215,7 @@ def test_toxicity_held_out():
     rng = np.random.default_rng(0)
     x = (rng.random((400, 30)) < 0.3).astype(np.float32)
     y = np.stack([x[:, 0] > 0, (x[:, 1] > 0) | (x[:, 0] * x[:, 2] > 0)], axis=1).astype(float)
-    chain = toxicity.fit_chain(x[:200], y[:200], np.arange(200) % toxicity.FOLDS, ("a", "b"), {str(i): i for i in range(30)})
+    chain = toxicity.fit_chain([np.flatnonzero(r) for r in x[:200]], y[:200], np.arange(200) % toxicity.FOLDS, ("a", "b"), {str(i): i for i in range(30)})
     p = chain.predict([np.flatnonzero(r).tolist() for r in x[200:]])
     assert ((p[:, 0] > 0.5) == y[200:, 0]).mean() > 0.97 and ((p[:, 1] > 0.5) == y[200:, 1]).mean() > 0.9
     assert len(chain.models[1][2]) == 1 and chain.models[1][2][0] != 0  # the second model weighs the first's probability
