@@ -6,7 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -85,16 +85,19 @@ class CalibratedModel:
     def load(cls, path: str, name: str = "calibrated"):
         from pyspark.ml import PipelineModel
         base = PipelineModel.load(f"{path}/base")
-        try:
-            iso = IsotonicCalibrator.load(f"{path}/isotonic", "p_raw", "p_default")
-        except Exception:  # a bare base model has no isotonic layer
-            iso = None
+        spark = SparkSession.active()
+        layer = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/isotonic")
+        # a bare base model has no such folder; a folder that can't be read is an error
+        there = layer.getFileSystem(spark._jsc.hadoopConfiguration()).exists(layer)
+        iso = IsotonicCalibrator.load(f"{path}/isotonic", "p_raw", "p_default") if there else None
         return cls(base, iso, name)
 
 
 def base_of(model):
-    """The frozen base of a calibrated model, or the model itself."""
-    return getattr(model, "base", model)
+    """What recalibration leaves as it is: the uncalibrated part of ``model``."""
+    if isinstance(model, CalibratedModel):
+        return model.base
+    return model
 
 
 def fit_calibrated(base_df: DataFrame, calib_df: DataFrame, build_base, label_col: str = "default") -> CalibratedModel:

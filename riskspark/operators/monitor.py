@@ -31,19 +31,12 @@ def duplicate_outcome_ids(truth: DataFrame) -> DataFrame:
 
 
 def unlabeled_counts(predictions: DataFrame, truth: DataFrame) -> DataFrame:
-    """n_predictions, n_labelled (matched), n_unlabeled (no outcome yet).
-
-    Counted with a semi / anti join, so duplicate outcome ids cannot make the
-    unlabeled count negative.
-    """
-    preds = predictions.filter(F.col("application_id").isNotNull())
-    ids = truth.select("application_id").distinct()
-    lab = preds.join(ids, "application_id", "left_semi").agg(F.count(F.lit(1)).alias("n_labelled"))
-    unl = preds.join(ids, "application_id", "left_anti").agg(F.count(F.lit(1)).alias("n_unlabeled"))
-    tot = predictions.agg(F.count(F.lit(1)).alias("n_predictions"))
-    k = F.lit(0)
-    return (tot.withColumn("_k", k).join(lab.withColumn("_k", k), "_k")
-            .join(unl.withColumn("_k", k), "_k").drop("_k"))
+    """n_predictions, n_labelled (matched), n_unlabeled (no outcome yet; a NULL id
+    has none), from one join against the distinct outcome ids."""
+    ids = truth.select("application_id").distinct().withColumn("_hit", F.lit(1))
+    matched = predictions.select("application_id").join(ids, "application_id", "left")
+    return matched.agg(F.count(F.lit(1)).alias("n_predictions"), F.count("_hit").alias("n_labelled"),
+                       F.count_if(F.col("_hit").isNull()).alias("n_unlabeled"))
 
 
 def daily_table(predictions: DataFrame, ts: str = "ts", p_decimals: int | None = None) -> DataFrame:

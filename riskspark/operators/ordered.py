@@ -6,8 +6,8 @@ folds and exact quantiles all need a running sum in a global order. A window
 never used on row-level data here. Instead:
 
 1. the caller collapses ties first (``groupBy(key)``) where the semantics allow;
-2. cut points come from ``percentile_approx`` (a bounded list of about
-   ``n_buckets`` values collected to the driver);
+2. cut points come from ``percentile_approx`` over a bounded sample (a list of
+   about ``n_buckets`` values collected to the driver);
 3. ``Bucketizer`` (binary search, JVM-side) maps each row to a range bucket;
    bucket order equals key order, so any cut points give an exact result and
    only the balance depends on them;
@@ -31,35 +31,48 @@ from pyspark.sql import functions as F
 
 # Target rows per bucket; the number of buckets grows with the data.
 ROWS_PER_BUCKET = 1_000_000
-MAX_BUCKETS = 16_384
-
-
-# Cut points are read from one fixed quantile grid; the number of buckets
-# actually used is then chosen from the row count of the same aggregate.
-CUT_GRID = 4096
+# Rows a bucket's cut points are sampled from: they only steer the balance.
+SAMPLE_PER_BUCKET = 2_000
 
 
 def _bucket_count(spark, n_rows: int, n_buckets: int | None) -> int:
     if n_buckets:
-        return max(1, min(CUT_GRID, int(n_buckets)))
+        return max(1, int(n_buckets))
     base = int(spark.conf.get("spark.sql.shuffle.partitions", "8"))
-    return max(1, min(CUT_GRID, max(base, math.ceil(n_rows / ROWS_PER_BUCKET))))
+    return max(1, base, math.ceil(n_rows / ROWS_PER_BUCKET))
 
 
 def range_cuts(df: DataFrame, key: str, n_buckets: int | None = None) -> list[float]:
-    """Sorted distinct cut points splitting ``key`` into about ``n_buckets``
+    """Sorted distinct cut points splitting ``key`` into about ``n_buckets`` even
     ranges (default: one per ``ROWS_PER_BUCKET`` rows, at least
-    ``spark.sql.shuffle.partitions``). One aggregate gives count and sketch."""
-    fractions = [i / CUT_GRID for i in range(1, CUT_GRID)]
-    row = df.agg(F.count(F.lit(1)).alias("n"),
-                 F.percentile_approx(F.col(key).cast("double"), fractions, 20 * CUT_GRID).alias("c")).first()
-    n_rows, vals = row["n"], row["c"] or []
+    ``spark.sql.shuffle.partitions``), read from a bounded sample."""
+    n_rows = df.count()
     k = _bucket_count(df.sparkSession, n_rows, n_buckets)
     if k <= 1 or n_rows <= 1:
         return []
-    step = CUT_GRID // k
-    picked = vals[step - 1::step][: k - 1]
-    return sorted({float(v) for v in picked if v is not None and not math.isnan(v)})
+    share = SAMPLE_PER_BUCKET * k / n_rows
+    picked = df if share >= 1 else df.sample(share, seed=7)
+    vals = picked.agg(F.percentile_approx(F.col(key).cast("double"), [i / k for i in range(1, k)], 20 * k).alias("c")).first()["c"] or []
+    return sorted({float(v) for v in vals if v is not None and not math.isnan(v)})
+
+
+def null_safe_join(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+    """Inner join on equal ``keys``, NULL being equal to NULL; the keys come from ``left``."""
+    renamed = right.withColumnsRenamed({k: f"_r_{k}" for k in keys})
+    cond = [F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in keys]
+    out = cond[0]
+    for c in cond[1:]:
+        out = out & c
+    return left.join(renamed, out, "inner").drop(*[f"_r_{k}" for k in keys])
+
+
+def bucket_value(df: DataFrame, key: str) -> Column:
+    """A double that never falls as ``key`` rises: the number itself, or the
+    first six bytes of a string. Rows are ordered by the key in its own type."""
+    if df.schema[key].dataType.typeName() != "string":
+        return F.col(key).cast("double")
+    head = F.rpad(F.hex(F.substring(F.encode(F.col(key), "UTF-8"), 1, 6)), 12, "0")
+    return F.conv(head, 16, 10).cast("double")
 
 
 def materialize(df: DataFrame) -> DataFrame:
@@ -99,7 +112,8 @@ def ordered_prefix(df: DataFrame, key: str, sums: dict[str, Column | str],
     """
     by = list(by)
     order_key = "_okey"
-    work = df.withColumn(order_key, (-F.col(key) if descending else F.col(key)).cast("double"))
+    value = bucket_value(df, key)
+    work = df.withColumn(order_key, F.col(key)).withColumn("_bval", -value if descending else value)
     for name, c in sums.items():
         work = work.withColumn(f"_v_{name}", F.col(c) if isinstance(c, str) else c)
     # ``bucket_key`` (optional) must be non-decreasing in the order key within
@@ -108,7 +122,7 @@ def ordered_prefix(df: DataFrame, key: str, sums: dict[str, Column | str],
         work = work.withColumn("_bkey", bucket_key)
     if checkpoint:
         work = materialize(work)
-    bk = "_bkey" if bucket_key is not None else order_key
+    bk = "_bkey" if bucket_key is not None else "_bval"
     cuts = range_cuts(work, bk, n_buckets)
     work = bucketize(work, bk, cuts)
 
@@ -119,12 +133,12 @@ def ordered_prefix(df: DataFrame, key: str, sums: dict[str, Column | str],
     if not by:
         # at most len(cuts) + 1 rows: a proven bound, safe to broadcast
         offsets = F.broadcast(offsets)
-    work = work.join(offsets, on=[*by, "_bucket"], how="inner")
+    work = null_safe_join(work, offsets, [*by, "_bucket"])
 
-    order = [F.col(order_key)] + ([F.col(tiebreak)] if tiebreak else [])
+    order = [F.desc_nulls_first(order_key) if descending else F.asc_nulls_first(order_key)] + ([F.col(tiebreak)] if tiebreak else [])
     w = Window.partitionBy(*by, "_bucket").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     work = work.withColumns({f"cum_{n}": F.sum(f"_v_{n}").over(w) + F.col(f"_o_{n}") for n in sums})
-    return work.drop(order_key, "_bucket", "_bkey", *[f"_v_{n}" for n in sums], *[f"_o_{n}" for n in sums])
+    return work.drop(order_key, "_bval", "_bucket", "_bkey", *[f"_v_{n}" for n in sums], *[f"_o_{n}" for n in sums])
 
 
 def row_rank(df: DataFrame, key: str, id_col: str, descending: bool = False,
@@ -144,7 +158,7 @@ def row_rank(df: DataFrame, key: str, id_col: str, descending: bool = False,
     starts = starts.select(*by, kcol, (F.col("cum_c") - F.col("_c")).alias("_start"))
     within = ordered_prefix(work, id_col, {"one": F.lit(1)}, by=[*by, kcol], n_buckets=n_buckets,
                             checkpoint=checkpoint)
-    out = within.join(starts, on=[*by, kcol], how="inner")
+    out = null_safe_join(within, starts, [*by, kcol])
     return out.withColumn("rank", F.col("_start") + F.col("cum_one") - 1).drop(kcol, "_start", "cum_one")
 
 

@@ -96,9 +96,10 @@ def random_search(df: DataFrame, features: list[str], n_trials: int = N_TRIALS,
     rows = []
     keys = sorted(SEARCH_SPACE)
     for i, params, aucs in results:
-        a = np.asarray([x for x in aucs if x is not None], dtype=float)
-        rows.append((i, *[float(params[k]) for k in keys], float(a.mean()) if a.size else None,
-                     float(a.std()) if a.size else None, i == 0))
+        whole = bool(aucs) and None not in aucs  # a fold without both classes leaves the trial unranked
+        a = np.asarray(aucs if whole else [], dtype=float)
+        rows.append((i, *[float(params[k]) for k in keys], float(a.mean()) if whole else None,
+                     float(a.std()) if whole else None, i == 0))
     schema = "trial int, " + ", ".join(f"{k} double" for k in keys) + ", mean_auc double, std_auc double, is_default boolean"
     spark = df.sparkSession
     return spark.createDataFrame(rows, schema).orderBy(F.col("mean_auc").desc_nulls_last(), "trial")

@@ -662,8 +662,8 @@ def q_outcome_join(spark, d):
 @register("unlabeled", with_base("""
 select (select count(*) from predlog) as n_predictions,
        (select count(*) from predlog p where application_id in (select application_id from outcomes)) as n_labelled,
-       (select count(*) from predlog p where application_id is not null
-            and application_id not in (select application_id from outcomes)) as n_unlabeled"""))
+       (select count(*) from predlog p where application_id is null
+            or application_id not in (select application_id from outcomes)) as n_unlabeled"""))
 def q_unlabeled(spark, d):
     return MON.unlabeled_counts(TB.prediction_log(spark, d), TB.outcomes(spark, d))
 

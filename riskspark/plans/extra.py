@@ -141,7 +141,7 @@ def q_stream_scored_log(spark, d):
     a quarantine sink (both checkpointed) -> both read back."""
     apps = TB.cleaned(spark, d).drop("default", "issue_year")
     src = _scratch(spark, "apps")
-    apps.repartition(4).write.parquet(src)
+    apps.write.parquet(src)
     stream = spark.readStream.schema(apps.schema).parquet(src)
     scored = ST.score_stream(stream, FROZEN_SCORECARD, 0.13, FROZEN_SCORECARD.name)
     log = ST.run_available(to_log_records(scored, 0.13, FROZEN_SCORECARD.name), fmt="json", name="scorelog")
@@ -237,14 +237,3 @@ def q_model_comparison(spark, d):
     b = M.metric_row(cal, checkpoint=False)
     return M.compare_metric_rows(a, b, "scorecard", "calibrated")
 
-
-@register("gbt_reason_codes", None)
-def q_gbt_reason_codes(spark, d):
-    """Top-5 risk-increasing tree attributions (log-odds, TreeSHAP) for every
-    out-of-time application, computed batch-wise in mapInPandas."""
-    from riskspark.operators.treeshap import gbt_reason_codes
-    _, _, _, test = _splits(spark, d)
-    model = calibrated_gbt(spark, d)
-    rc = gbt_reason_codes(model.base, test, "application_id", _scratch(spark, "shap"), top_n=5, positive_only=True)
-    return rc.select("application_id", F.posexplode("reasons").alias("rank", "r")).select(
-        "application_id", (F.col("rank") + 1).cast("int").alias("rank"), "r.feature", "r.label", "r.contribution")

@@ -49,7 +49,7 @@ select cast(o_orderkey as string)                                          as ap
   c_acctbal * 1e1                                                          as annual_inc,
   r_name                                                                   as verification_status,
   substr(o_orderpriority, 3)                                               as purpose,
-  n_name                                                                   as addr_state,
+  case when o_orderkey % 89 = 0 then n_name else substr(n_name, 1, 2) end  as addr_state,
   case when o_custkey % 17 = 0 then 'Joint App' else 'Individual' end      as application_type,
   case when o_orderkey % 97 = 0 then null else tax_i * 5e0 / n_lines end   as dti,
   case when o_orderkey % 89 = 0 then null else qty_i * 2e0 / n_lines end   as revol_util,

@@ -18,7 +18,7 @@ def test_join_drops_null_and_unmatched(spark):
     j = MON.join_outcomes(_log(spark), truth)
     assert sorted(r.application_id for r in j.collect()) == ["a", "b", "c"]
     u = MON.unlabeled_counts(_log(spark), truth).first()
-    assert (u.n_predictions, u.n_labelled, u.n_unlabeled) == (5, 3, 1)
+    assert (u.n_predictions, u.n_labelled, u.n_unlabeled) == (5, 3, 2)
 
 
 def test_realized_single_class_and_months(spark):

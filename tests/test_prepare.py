@@ -61,3 +61,12 @@ def test_time_split_and_recent_years(spark):
     assert sorted(r[0] for r in te.collect()) == [2017, 2018]
     assert sorted(r[0] for r in recent_years(df.dropna(), years=2).collect()) == [2017, 2018]
     assert sorted(r[0] for r in recent_years(df.dropna(), years=1, max_year=2016).collect()) == [2016]
+
+
+def test_prediction_log_keeps_what_it_rejects(spark, tmp_path):
+    from riskspark.sources.files import load_predictions, scan_predictions
+    good = '{"ts": "2020-01-02T00:00:00Z", "application_id": "00123", "p_default": 0.5}'
+    (tmp_path / "log.json").write_text(good + "\nnot json\n" + good.replace("0.5", '"oops"') + "\n\n")
+    records, rejected = scan_predictions(spark, str(tmp_path / "log.json"))
+    assert [r["application_id"] for r in records.collect()] == ["00123"] and rejected.count() == 2
+    assert records.count() == 1 and load_predictions(spark, str(tmp_path / "none.json")).count() == 0
