@@ -31,7 +31,7 @@ from riskspark.llm.common import table, text_or_empty
 
 HIDDEN = 8
 WINDOW = 128
-LANES = 4096
+LANES = 2048
 TRAIN_WINDOW = 64
 TRAIN_DOCS = 400
 TRAIN_CUTS = 6
