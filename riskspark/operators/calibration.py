@@ -44,9 +44,11 @@ class IsotonicCalibrator:
 def fit_isotonic(df: DataFrame, score_col: str = "p_default", label_col: str = "default",
                  output_col: str = "p_calibrated") -> IsotonicCalibrator:
     """Fit an increasing isotonic map score -> P(label = 1) on labelled rows."""
+    # equal scores are one weighted point, so a frequent score is no hot partition
     data = (df.filter(F.col(label_col).isNotNull() & F.col(score_col).isNotNull())
-            .select(F.col(score_col).cast("double").alias("_x"), F.col(label_col).cast("double").alias("_y")))
-    iso = IsotonicRegression(featuresCol="_x", labelCol="_y", predictionCol=output_col, isotonic=True)
+            .groupBy(F.col(score_col).cast("double").alias("_x"))
+            .agg(F.avg(F.col(label_col).cast("double")).alias("_y"), F.count(F.lit(1)).cast("double").alias("_w")))
+    iso = IsotonicRegression(featuresCol="_x", labelCol="_y", weightCol="_w", predictionCol=output_col, isotonic=True)
     return IsotonicCalibrator(iso.fit(data), score_col, output_col)
 
 

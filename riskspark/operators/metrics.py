@@ -12,7 +12,6 @@ steps at every distinct score, and KS is evaluated at distinct scores only
 
 from __future__ import annotations
 
-import math
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, Window
@@ -181,10 +180,10 @@ def cost_curve(df: DataFrame, y: str = "default", s: str = "p_default",
     per = buckets.join(per, on="b", how="left").fillna(0.0, subset=["wp", "wn"])
     # <= m + 1 rows: the unpartitioned window runs over a bounded table
     upto = Window.orderBy("b").rowsBetween(Window.unboundedPreceding, 0)
-    per = per.select("b", F.sum("wp").over(upto).alias("fn"), F.sum("wn").over(upto).alias("tn"))
-    tot = b.agg(F.sum("wp").alias("P"), F.sum("wn").alias("N")).withColumn("_k", F.lit(0))
-    out = (grid.join(F.broadcast(per), grid.j == per.b).drop("b")
-           .withColumn("_k", F.lit(0)).join(F.broadcast(tot), on="_k").drop("_k"))
+    whole = Window.partitionBy()
+    per = per.select("b", F.sum("wp").over(upto).alias("fn"), F.sum("wn").over(upto).alias("tn"),
+                     F.sum("wp").over(whole).alias("P"), F.sum("wn").over(whole).alias("N"))
+    out = grid.join(F.broadcast(per), grid.j == per.b).drop("b")
     tp = F.col("P") - F.col("fn")
     fp = F.col("N") - F.col("tn")
     return out.select(
@@ -341,7 +340,7 @@ def score_histogram(df: DataFrame, s: str = "p_default", by: str | None = "defau
     x = F.col(s).cast("double")
     v = df.filter(x.isNotNull() & ~F.isnan(x)).select((F.col(by) if by else F.lit(0)).alias("cls"), x.alias("_x"))
     rng = v.groupBy("cls").agg(F.min("_x").alias("_lo"), F.max("_x").alias("_hi"), F.count(F.lit(1)).alias("_t"))
-    j = v.join(F.broadcast(rng), on="cls")   # one row per class
+    j = v.join(rng, on="cls")   # one row per class; Spark broadcasts it if it measures small
     h = (j.groupBy("cls", equal_width_bin(F.col("_x"), F.col("_lo"), F.col("_hi"), n_bins).alias("bin"))
          .agg(F.count(F.lit(1)).alias("n"), F.first("_lo").alias("_lo"), F.first("_hi").alias("_hi"),
               F.first("_t").alias("_t")))
@@ -349,10 +348,6 @@ def score_histogram(df: DataFrame, s: str = "p_default", by: str | None = "defau
     return h.select("cls", "bin", "n", (F.col("n") / (F.col("_t") * width)).alias("density"))
 
 
-def _is_nan(v) -> bool:
-    return v is None or (isinstance(v, float) and math.isnan(v))
-
-
 # -------- model-to-model comparison --------------------------------------------
 
 LOWER_IS_BETTER = ("brier", "log_loss")

@@ -182,6 +182,8 @@ def exact_quantiles(df: DataFrame, value: str, probs: list[float],
     v = F.col(value)
     clean = df.select(*by, v.cast("double").alias("_x")).filter(F.col("_x").isNotNull() & ~F.isnan("_x"))
     g = clean.groupBy(*by, "_x").agg(F.count(F.lit(1)).alias("_c"))
+    if checkpoint:
+        g = materialize(g)  # every later pass reads the collapsed values
     bkey = None
     if by:
         # groups (e.g. columns of a profile) live on unrelated scales: bucket on
@@ -191,11 +193,10 @@ def exact_quantiles(df: DataFrame, value: str, probs: list[float],
         g = g.join(rng, on=by, how="inner")
         span = F.col("_hi") - F.col("_lo")
         bkey = F.when(span > 0, (F.col("_x") - F.col("_lo")) / span).otherwise(F.lit(0.0))
-    pre = ordered_prefix(g, "_x", {"c": "_c"}, by=by, n_buckets=n_buckets, checkpoint=checkpoint,
-                         bucket_key=bkey)
+    pre = ordered_prefix(g, "_x", {"c": "_c"}, by=by, n_buckets=n_buckets, checkpoint=False, bucket_key=bkey)
     pre = pre.withColumn("_start", F.col("cum_c") - F.col("_c"))
-    # Without groups every table joins on one constant key (equi-joins on
-    # tables of at most 2*len(probs) rows, never a cross product of big sides).
+    # Without groups every table joins on one constant key: the other side has one
+    # row (totals, ranks) or at most 2*len(probs) rows (values found).
     keys = by or ["_g"]
     if not by:
         g = g.withColumn("_g", F.lit(0))

@@ -157,7 +157,7 @@ from b left join w using (column_name)""")
 
 @register("numeric_describe", _describe_sql())
 def q_numeric_describe(spark, d):
-    return PR.describe(materialize(TB.cleaned2(spark, d)), _DESCRIBE_COLS, checkpoint=False)
+    return PR.describe(materialize(TB.cleaned2(spark, d).select(*_DESCRIBE_COLS)), _DESCRIBE_COLS)
 
 
 def _ew_bin_sql(src: str, x: str, lo: str, hi: str, n_bins: int, keep: str) -> str:
@@ -186,7 +186,7 @@ select column_name, bin, count(*) as n from {binned} t group by column_name, bin
 
 @register("clipped_histogram", _hist_sql())
 def q_clipped_histogram(spark, d):
-    return PR.clipped_histogram(materialize(TB.cleaned2(spark, d)), _DESCRIBE_COLS, checkpoint=False)
+    return PR.clipped_histogram(materialize(TB.cleaned2(spark, d).select(*_DESCRIBE_COLS)), _DESCRIBE_COLS)
 
 
 @register("interaction_stats", with_base(f"""lv as ({unpivot('cleaned2', INTERACTION_COLS, keep=['"default"'])})
@@ -226,18 +226,15 @@ _SPLITS = [("train", "issue_year <= 1999"), ("test", "issue_year >= 2000"),
        {R('avg("default")')} as default_rate, min(issue_year) as min_year, max(issue_year) as max_year
 from cleaned where {w}""" for n, w in _SPLITS)))
 def q_split_summary(spark, d):
-    from riskspark.operators.prepare import time_calibration_split
-    cl = TB.cleaned(spark, d)
-    train, test = time_split(cl, TB.TRAIN_MAX, TB.TEST_MIN)
-    base, calib = time_calibration_split(train, TB.BASE_MAX, TB.CALIB)
-    out = None
-    for name, part in (("train", train), ("test", test), ("base", base), ("calib", calib)):
-        s = part.agg(F.lit(name).alias("split"), F.count(F.lit(1)).alias("n"),
-                     F.count_if(F.col("default") == 1).alias("n_default"),
-                     F.avg(F.col("default").cast("double")).alias("default_rate"),
-                     F.min("issue_year").alias("min_year"), F.max("issue_year").alias("max_year"))
-        out = s if out is None else out.unionByName(s)
-    return out
+    # one pass to a row per year, then the splits, which overlap, over the years
+    y = F.col("issue_year")
+    years = TB.cleaned(spark, d).groupBy(y).agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("default") == 1).alias("n_default"))
+    of = F.array_compact(F.array(F.when(y <= TB.TRAIN_MAX, "train"), F.when(y >= TB.TEST_MIN, "test"),
+                                 F.when(y <= TB.BASE_MAX, "base"), F.when(y == TB.CALIB, "calib")))
+    return (years.select("*", F.explode(of).alias("split")).groupBy("split")
+            .agg(F.sum("n").alias("n"), F.sum("n_default").alias("n_default"),
+                 (F.sum("n_default") / F.sum("n")).alias("default_rate"),
+                 F.min(y).alias("min_year"), F.max(y).alias("max_year")))
 
 
 _REQ_NOT_NULL = ["loan_amnt", "term", "int_rate", "installment", "grade", "annual_inc", "fico_mean", "default", "issue_year"]
@@ -299,25 +296,31 @@ def q_contract_counts(spark, d):
     return C.contract_profile(TB.curated(spark, d))
 
 
-def _violation_body():
+def _violation_rules() -> list[tuple[str, str]]:
+    """(violation, SQL condition) of every row rule, in the order of the rules."""
     parts = []
     for c, lo, lo_inc, hi, hi_inc, nullable in NUMERIC_RULES:
         x = f"cast({c} as double)"
         broken = f"isnan({x}) or {x} {'<' if lo_inc else '<='} {lo} or {x} {'>' if hi_inc else '>='} {hi}"
         if not nullable:
             broken = f"{c} is null or {broken}"
-        parts.append(f"select application_id, '{c}:out_of_range' as violation from cleaned where coalesce({broken}, false)")
+        parts.append((f"{c}:out_of_range", f"coalesce({broken}, false)"))
     for c, lo, hi, nullable in TEXT_RULES:
         broken = f"length({c}) < {lo} or length({c}) > {hi}"
         if not nullable:
             broken = f"{c} is null or {broken}"
-        parts.append(f"select application_id, '{c}:bad_length' as violation from cleaned where coalesce({broken}, false)")
+        parts.append((f"{c}:bad_length", f"coalesce({broken}, false)"))
     for c, allowed, nullable in ENUM_RULES:
         broken = f"{c} not in ({', '.join(map(str, allowed))})"
         if not nullable:
             broken = f"{c} is null or {broken}"
-        parts.append(f"select application_id, '{c}:not_allowed' as violation from cleaned where coalesce({broken}, false)")
-    return "\nunion all ".join(parts)
+        parts.append((f"{c}:not_allowed", f"coalesce({broken}, false)"))
+    return parts
+
+
+def _violation_body():
+    return "\nunion all ".join(f"select application_id, '{v}' as violation from cleaned where {broken}"
+                               for v, broken in _violation_rules())
 
 
 def _violation_sql():
@@ -382,7 +385,7 @@ select application_id, grade, p_default, {R('grade_rate')} as grade_rate,
             when p_default - grade_rate > 0 then 'pessimistic' else 'optimistic' end as verdict
 from j"""))
 def q_grade_gap(spark, d):
-    S = TB.scored_table(spark, d)
+    S = TB.scored_table(spark, d, "application_id", "issue_year", "grade", "default", "p_default")
     from riskspark.operators.explain import grade_gap
     return grade_gap(TB.test_scored(spark, d, S), TB.train_scored(spark, d, S))
 
@@ -410,8 +413,7 @@ pm as (select {GB('p_default', '"default"')} as brier,
 select {R('roc_auc')} as roc_auc, {R('pr_auc')} as pr_auc, {R('brier')} as brier, {R('log_loss')} as log_loss,
        {R('ks')} as ks from r cross join pm"""))
 def q_metric_row(spark, d):
-    S = TB.scored_table(spark, d)
-    return M.metric_row(TB.test_scored(spark, d, S), p_decimals=P_DEC, checkpoint=False)
+    return M.metric_row(TB.test_table(spark, d, "default", "p_default"), p_decimals=P_DEC, checkpoint=False)
 
 
 @register("metrics_by_group", with_base(f"""
@@ -427,8 +429,7 @@ r as (select grade, sum(pos * (cn - 0.5 * neg)) / (max(P) * max(N)) as roc_auc,
 select grade, cast(n as bigint) as n, {R('default_rate')} as default_rate, {R('roc_auc')} as roc_auc, {R('ks')} as ks
 from r where n >= 100 and (select count(distinct "default") from test_scored t where t.grade = r.grade) = 2"""))
 def q_metrics_by_group(spark, d):
-    S = TB.scored_table(spark, d)
-    return M.metrics_by_group(TB.test_scored(spark, d, S), "p_default", "default", "grade", checkpoint=False)
+    return M.metrics_by_group(TB.test_table(spark, d, "grade", "default", "p_default"), checkpoint=False)
 
 
 @register("roc_points", with_base(f"""{_RANK_SQL.format(src='test_scored')}
@@ -437,8 +438,7 @@ select s as threshold, cast(P - cp + pos as bigint) as tp, cast(N - cn + neg as
        {R('(P - cp + pos) / ((P - cp + pos) + (N - cn + neg))')} as precision, {R('(P - cp + pos) / P')} as recall
 from c"""))
 def q_roc_points(spark, d):
-    S = TB.scored_table(spark, d)
-    return M.roc_points(TB.test_scored(spark, d, S), checkpoint=False)
+    return M.roc_points(TB.test_table(spark, d, "default", "p_default"), checkpoint=False)
 
 
 @register("confusion_matrix", with_base(f"""
@@ -514,7 +514,7 @@ psi as (select sum((a - e) * ln(a / e)) as psi from sh)"""
 
 @register("psi", with_base(_psi_sql("train_scored", "test_scored") + f"\nselect {R('psi')} as psi from psi"))
 def q_psi(spark, d):
-    S = TB.scored_table(spark, d)
+    S = TB.scored_table(spark, d, "issue_year", "p_default")
     return M.psi(TB.train_scored(spark, d, S), "p_default", TB.test_scored(spark, d, S), "p_default", checkpoint=False)
 
 
@@ -538,8 +538,7 @@ select cast(decile as int) as decile, cast(n as bigint) as n, cast(n_defaults as
        {R('sum(n_defaults) over (order by decile) / D')} as cum_capture_rate
 from g cross join t"""))
 def q_gains_table(spark, d):
-    S = TB.scored_table(spark, d)
-    return M.gains_table(TB.test_scored(spark, d, S), id_col="loan_id", checkpoint=False)
+    return M.gains_table(TB.test_table(spark, d, "loan_id", "default", "p_default"), id_col="loan_id", checkpoint=False)
 
 
 _REL_PROBS = [float(q) for q in (__import__("numpy").linspace(0, 1, 21) * 100) / 100][1:-1]
@@ -552,8 +551,7 @@ b as (select p_default, "default" as y,
 select bin, count(*) as n, {R(GM('p_default'))} as mean_predicted, {R('avg(y)')} as fraction_observed
 from b group by bin"""))
 def q_reliability_table(spark, d):
-    S = TB.scored_table(spark, d)
-    return M.reliability_table(TB.test_scored(spark, d, S), p_decimals=P_DEC, checkpoint=False)
+    return M.reliability_table(TB.test_table(spark, d, "default", "p_default"), p_decimals=P_DEC, checkpoint=False)
 
 
 def _score_hist_sql():
@@ -569,8 +567,7 @@ from {binned} b group by cls, bin""")
 
 @register("score_histogram", _score_hist_sql())
 def q_score_histogram(spark, d):
-    S = TB.scored_table(spark, d)
-    return M.score_histogram(TB.test_scored(spark, d, S), "p_default", "default")
+    return M.score_histogram(TB.test_table(spark, d, "default", "p_default"), "p_default", "default")
 
 
 # ------------------------------------------------------------- models ------
@@ -602,7 +599,7 @@ select application_id, pos,
 from f"""))
 def q_time_folds(spark, d):
     from riskspark.operators.tuning import time_series_folds
-    train = TB.train_scored(spark, d, TB.scored_table(spark, d))
+    train = TB.train_table(spark, d, "application_id", "loan_id", "issue_year")
     return time_series_folds(train, n_splits=2, order=("issue_year", "loan_id"), checkpoint=False) \
         .select("application_id", "pos", "test_fold")
 
@@ -638,7 +635,7 @@ from r where rank <= 5""")
 
 @register("linear_reason_codes", _reason_sql())
 def q_linear_reason_codes(spark, d):
-    S = TB.scored_table(spark, d)
+    S = TB.scored_table(spark, d, "application_id", "issue_year", *FROZEN_SCORECARD.features)
     from riskspark.operators.explain import linear_reason_codes, scorecard_contributions
     test = TB.test_scored(spark, d, S)
     contrib = scorecard_contributions(FROZEN_SCORECARD, test, TB.train_scored(spark, d, S))
@@ -701,7 +698,7 @@ select (select count(*) from prod) as n_predictions,
 from psi"""))
 def q_monitor_headline(spark, d):
     prod = materialize(TB.prediction_log(spark, d).filter(F.col("ts") >= F.lit(TB.PROD_START).cast("timestamp")))
-    h = MON.headline(prod, TB.train_scored(spark, d, TB.scored_table(spark, d)), p_decimals=P_DEC, checkpoint=False)
+    h = MON.headline(prod, TB.train_table(spark, d, "p_default"), p_decimals=P_DEC, checkpoint=False)
     return h.withColumns({"window_start": F.date_format("window_start", "yyyy-MM-dd HH:mm:ss"),
                           "window_end": F.date_format("window_end", "yyyy-MM-dd HH:mm:ss")})
 
@@ -751,8 +748,7 @@ select count(*) as n, {R(GM('p_default'))} as mean_pred, {R('avg("default")')} a
        {R(GM('p_default') + ' - avg("default")')} as gap, {R(GB('p_default', '"default"'))} as brier
 from test_scored"""))
 def q_calibration_summary(spark, d):
-    S = TB.scored_table(spark, d)
-    return MON.calibration_summary(TB.test_scored(spark, d, S), p_decimals=P_DEC)
+    return MON.calibration_summary(TB.test_scored(spark, d), p_decimals=P_DEC)
 
 
 def queries() -> dict[str, QueryFn]:

@@ -44,11 +44,22 @@ def scored(spark: SparkSession, d: str) -> DataFrame:
             .withColumn("loan_id", F.col("application_id").cast("bigint")))
 
 
-def scored_table(spark: SparkSession, d: str) -> DataFrame:
-    """The scored loans written once to the checkpoint folder: multi-pass
-    queries (rank metrics, quantiles, tables) read this instead of re-running
-    the join and scoring plan for every pass."""
-    return materialize(scored(spark, d))
+def scored_table(spark: SparkSession, d: str, *cols: str) -> DataFrame:
+    """The scored loans (only ``cols``, if given) written once to the checkpoint
+    folder: multi-pass queries (rank metrics, quantiles, tables) read this
+    instead of re-running the join and scoring plan for every pass."""
+    s = scored(spark, d)
+    return materialize(s.select(*cols) if cols else s)
+
+
+def test_table(spark: SparkSession, d: str, *cols: str) -> DataFrame:
+    """``cols`` of the scored test years, written once for several passes."""
+    return materialize(test_scored(spark, d).select(*cols))
+
+
+def train_table(spark: SparkSession, d: str, *cols: str) -> DataFrame:
+    """``cols`` of the scored training years, written once for several passes."""
+    return materialize(train_scored(spark, d).select(*cols))
 
 
 def test_scored(spark, d, base: DataFrame | None = None):
@@ -61,13 +72,10 @@ def train_scored(spark, d, base: DataFrame | None = None):
 
 def prediction_log(spark: SparkSession, d: str) -> DataFrame:
     """Every application scored at its order date: ts, id, p, decision, threshold, model."""
-    o = table(spark, d, "orders").select(F.col("o_orderkey").cast("string").alias("application_id"),
-                                         F.col("o_orderdate").cast("timestamp").alias("ts"))
-    s = FROZEN_SCORECARD.score(with_fico_mean(raw(spark, d)))
-    return (s.join(o, "application_id", "inner")
-            .select("ts", "application_id", "p_default",
+    s = FROZEN_SCORECARD.score(with_fico_mean(loans(spark, d, dated=True)))
+    return s.select(F.col("applied_on").cast("timestamp").alias("ts"), "application_id", "p_default",
                     decision("p_default", 0.13).alias("decision"),
-                    F.lit(0.13).alias("threshold"), F.lit(FROZEN_SCORECARD.name).alias("model")))
+                    F.lit(0.13).alias("threshold"), F.lit(FROZEN_SCORECARD.name).alias("model"))
 
 
 def outcomes(spark: SparkSession, d: str) -> DataFrame:

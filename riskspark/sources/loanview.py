@@ -48,7 +48,8 @@ select cast(o_orderkey as string)                                          as ap
   c_mktsegment                                                             as home_ownership,
   c_acctbal * 1e1                                                          as annual_inc,
   r_name                                                                   as verification_status,
-  substr(o_orderpriority, 3)                                               as purpose,
+  case when yr >= 2000 and o_orderkey % 53 = 0 then 'renewable energy'
+       else substr(o_orderpriority, 3) end                                 as purpose,
   case when o_orderkey % 89 = 0 then n_name else substr(n_name, 1, 2) end  as addr_state,
   case when o_custkey % 17 = 0 then 'Joint App' else 'Individual' end      as application_type,
   case when o_orderkey % 97 = 0 then null else tax_i * 5e0 / n_lines end   as dti,
@@ -73,7 +74,8 @@ select cast(o_orderkey as string)                                          as ap
            when 2 then 'Late (31-120 days)' when 3 then 'Late (16-30 days)'
            else 'Does not meet the credit policy. Status:Charged Off' end
        when o_orderkey % 11 = 0 then 'Does not meet the credit policy. Status:Fully Paid'
-       else 'Fully Paid' end                                               as loan_status
+       else 'Fully Paid' end                                               as loan_status,
+  o_orderdate                                                              as applied_on
 from k
 """
 
@@ -83,16 +85,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def loans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw loan applications (27 raw columns + application_id) from the driver tables.
+def loans(spark: SparkSession, sf_dir: str, dated: bool = False) -> DataFrame:
+    """Raw loan applications (27 raw columns + application_id) from the driver tables;
+    ``dated`` adds the day of the application (``applied_on``).
 
     Plan: partial aggregate of lineitem by order key, sort-merge join with
     orders on the same key (the aggregate's hash partitioning is reused),
     join with customer (Catalyst/AQE pick broadcast only when statistics prove
     it small), nation and region broadcast (25 and 5 rows by definition).
     """
-    return spark.sql(LOANS_SQL, **{t: table(spark, sf_dir, t)
+    view = spark.sql(LOANS_SQL, **{t: table(spark, sf_dir, t)
                                    for t in ("lineitem", "orders", "customer", "nation", "region")})
+    return view if dated else view.drop("applied_on")
 
 
 def oracle_loans_cte() -> str:
