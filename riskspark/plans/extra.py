@@ -1,7 +1,7 @@
 """Model-fitting and streaming queries.
 
-Model queries have no SQL oracle (fits are iterative); the driver records a
-rows-only check and the tests check their invariants. Streaming queries read
+Queries of boosted and logistic fits have no SQL oracle (fits are iterative); the
+driver records a rows-only check and the tests check their invariants. Streaming queries read
 files that Spark derives from the driver tables, run with
 ``trigger(availableNow=True)`` and return the sink as a batch DataFrame.
 """
@@ -20,7 +20,8 @@ from riskspark.operators.models import feature_importance, fit_gbt, fit_lr
 from riskspark.operators.prepare import recent_years
 from riskspark.operators.scoring import FROZEN_SCORECARD, score_batch
 from riskspark.plans import tables as TB
-from riskspark.plans.catalog import register
+from riskspark.plans.catalog import _PSI_PROBS, _violation_rules, R, register
+from riskspark.plans.sqlbase import quantile_ctes, with_base
 from riskspark.schema import CLEAN_FEATURES_V2
 from riskspark.session import ensure_checkpoint_dir
 from riskspark.sources.files import append_log, load_predictions, read_any, to_log_records, write_any
@@ -113,28 +114,43 @@ def _event_stream(spark, d):
                      F.when(p >= 0.13, "reject").otherwise("approve").alias("decision"))
 
 
+def _ended(spark, d):
+    """The events feed and a marker row after its end, which closes the last windows."""
+    last = TB.table(spark, d, "events").agg(F.max("ts").cast("timestamp").alias("t")).first()["t"]
+    return ST.with_end_marker(_event_stream(spark, d), last)
+
+
 @register("stream_daily_events", """
 select strftime(cast(ts as date), '%Y-%m-%d') as date, count(*) as n,
        (case when abs(avg(least(value / 500e0, 1e0))) < 1e12
              then floor(avg(least(value / 500e0, 1e0)) * 1e6 + 0.5) / 1e6 end) as mean_p_default,
        floor(avg(case when least(value / 500e0, 1e0) >= 0.13e0 then 1e0 else 0e0 end) * 1e6 + 0.5) / 1e6 as reject_rate
 from events
-where cast(ts as date) + interval 2 day <= (select max(ts) from events)
 group by 1""")
 def q_stream_daily_events(spark, d):
-    """Closed 1-day windows (append mode, 1-day watermark) over the events feed."""
-    return ST.run_available(ST.daily_windows(_event_stream(spark, d)), name="daily")
+    """1-day windows (append mode, 1-day watermark) over the events feed, all of
+    which a marker row after its end closes."""
+    return ST.run_available(ST.daily_windows(_ended(spark, d)), name="daily")
+
 
+@register("stream_dedup_events", """
+select cast(event_id as varchar) as application_id, strftime(ts, '%Y-%m-%d %H:%M:%S') as ts from events""")
+def q_stream_dedup_events(spark, d):
+    """The events feed with every third event delivered twice: each id once
+    (the state is bounded by the watermark)."""
+    again = _event_stream(spark, d).filter(F.col("application_id").cast("bigint") % 3 == 0)
+    once = ST.run_available(ST.dedup_predictions(_event_stream(spark, d).unionByName(again)), name="dedup")
+    return once.select("application_id", F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("ts"))
 
-@register("stream_dedup_users", None)
-def q_stream_dedup_users(spark, d):
-    """First event per user within the watermark (bounded dedup state)."""
-    s = _event_stream(spark, d).drop("application_id").withColumnRenamed("user_id", "application_id")
-    return ST.run_available(ST.dedup_predictions(s.withColumn("application_id", F.col("application_id").cast("string"))),
-                            name="dedup")
 
+_BROKEN = "concat_ws(',', " + ", ".join(f"case when {broken} then '{v}' end" for v, broken in _violation_rules()) + ")"
 
-@register("stream_scored_log", None)
+
+@register("stream_scored_log", with_base(f"""
+v as (select application_id, p_default, {_BROKEN} as violation from scored)
+select application_id, case when violation = '' then 'scored' else 'quarantined' end as status,
+       case when violation = '' then p_default end as p_default,
+       case when violation <> '' then violation end as violation from v"""))
 def q_stream_scored_log(spark, d):
     """Applications arrive as Parquet files -> field rules -> valid rows scored
     with the frozen scorecard into the JSON prediction log, broken rows into
@@ -153,7 +169,9 @@ def q_stream_scored_log(spark, d):
                                      F.array_join("violations", ",").alias("violation"))))
 
 
-@register("stream_outcome_join", None)
+@register("stream_outcome_join", with_base("""
+select p.ts, p.application_id, p.p_default, p.decision, o.actual
+from predlog p join outcomes o on o.application_id = p.application_id"""))
 def q_stream_outcome_join(spark, d):
     """Logged predictions (JSON log written by the batch sink) streamed and
     joined to the static outcome table."""
@@ -164,19 +182,48 @@ def q_stream_outcome_join(spark, d):
     stream = spark.readStream.schema(batch.schema).json(log_dir)
     joined = ST.join_outcomes_stream(stream.select("ts", "application_id", "p_default", "decision"),
                                      TB.outcomes(spark, d))
-    return ST.run_available(joined, name="outjoin")
+    return ST.run_available(joined, name="outjoin").withColumn("ts", F.date_format("ts", "yyyy-MM-dd HH:mm:ss"))
+
+
+def _window_psi_sql(days: int) -> str:
+    bins = " + ".join(f"case when v >= (select quantile from qe where qi = {i}) then 1 else 0 end"
+                      for i in range(len(_PSI_PROBS)))
+    return with_base(f"""{quantile_ctes('qe', 'train_scored', 'p_default', _PSI_PROBS)},
+ev as (select p_default as v from train_scored where p_default is not null),
+av as (select time_bucket(interval {days} day, ts, timestamp '1970-01-01') as w, least(value / 500e0, 1e0) as v
+       from events),
+eb as (select {bins} as bin, count(*) as n from ev group by 1),
+ab as (select w, {bins} as bin, count(*) as n from av group by 1, 2),
+t as (select w, sum(n) as n from ab group by w),
+sh as (select t.w, t.n, greatest(coalesce(eb.n, 0) / (select count(*) from ev), 1e-6) as e,
+              greatest(coalesce(ab.n, 0) / t.n, 1e-6) as a
+       from t cross join (select i as bin from range(10) r(i)) b
+       left join eb on eb.bin = b.bin left join ab on ab.bin = b.bin and ab.w = t.w)
+select strftime(w, '%Y-%m-%d') as window_start, cast(n as bigint) as n,
+       case when n >= 1000 then {R('sum((a - e) * ln(a / e))')} end as psi, 10 as n_bins
+from sh group by w, n""")
+
+
+def _window_psi(spark, d, days: int):
+    """PSI of the events feed per window of ``days`` against static edges of the
+    training scores (NULL under 1,000 rows in a window)."""
+    ref = TB.train_table(spark, d, "p_default")
+    edges = M.psi_edges(ref, "p_default")
+    shares = M.psi_table(ref, "p_default", ref, "p_default", edges=edges, checkpoint=False) \
+        .orderBy("bin").select("e_share").collect()
+    counts = ST.run_available(ST.psi_bin_counts(_ended(spark, d), edges, window=f"{days} days"), name="psibins")
+    out = ST.psi_by_window(counts, [r["e_share"] for r in shares])
+    return out.withColumn("window_start", F.date_format("window_start", "yyyy-MM-dd"))
 
 
-@register("stream_psi_daily", None)
+@register("stream_psi_daily", _window_psi_sql(1))
 def q_stream_psi_daily(spark, d):
-    """Daily PSI of the events feed against static edges of the training
-    scores (suppressed under 1,000 rows per day)."""
-    ref = TB.train_scored(spark, d, TB.scored_table(spark, d))
-    edges = M.psi_edges(ref, "p_default", checkpoint=False)
-    shares = M.psi_table(ref, "p_default", ref, "p_default", edges=edges, checkpoint=False) \
-        .orderBy("bin").select("e_share").collect()
-    counts = ST.run_available(ST.psi_bin_counts(_event_stream(spark, d), edges), name="psibins")
-    return ST.psi_by_window(counts, [r["e_share"] for r in shares])
+    return _window_psi(spark, d, 1)
+
+
+@register("stream_psi_weekly", _window_psi_sql(7))
+def q_stream_psi_weekly(spark, d):
+    return _window_psi(spark, d, 7)
 
 
 # ------------------------------------------------------------ file sources --

@@ -5,6 +5,8 @@
 * ``daily_windows``       – 1-day tumbling windows (n, mean p, reject rate)
                             with a watermark: append mode emits closed days,
                             state stays bounded.
+* ``with_end_marker``     – ends a finite feed with a later marker row, so that
+                            its last windows close and are emitted too.
 * ``dedup_predictions``   – drop repeated application ids within the watermark.
 * ``join_outcomes_stream``– stream-static join of predictions and outcomes.
 * ``psi_bin_counts`` + ``psi_by_window`` – per-window bin counts against
@@ -62,6 +64,19 @@ def daily_windows(preds: DataFrame, ts: str = "ts", delay: str = "1 day") -> Dat
                     "reject_rate"))
 
 
+def with_end_marker(feed: DataFrame, last, ts: str = "ts", later: str = "10 days") -> DataFrame:
+    """``feed`` and one row, all NULL but for a time ``later`` than ``last``, the
+    feed's last one. It moves the watermark past the windows that would stay
+    open at the end of a finite feed; its own window never closes. ``later``
+    must be over the window's length plus the watermark's delay."""
+    spark = feed.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/marker-{uuid.uuid4().hex}"
+    at = (F.lit(last).cast("timestamp") + F.expr(f"interval {later}"))
+    row = [at.alias(ts) if f.name == ts else F.lit(None).cast(f.dataType).alias(f.name) for f in feed.schema.fields]
+    spark.range(1).select(*row).write.parquet(path)
+    return feed.unionByName(spark.readStream.schema(feed.schema).parquet(path))
+
+
 def dedup_predictions(preds: DataFrame, ts: str = "ts", delay: str = "1 day") -> DataFrame:
     """Keep the first record per application_id within the watermark delay."""
     return preds.withWatermark(ts, delay).dropDuplicatesWithinWatermark(["application_id"])
@@ -72,14 +87,16 @@ def join_outcomes_stream(preds: DataFrame, outcomes: DataFrame) -> DataFrame:
     return preds.filter(F.col("application_id").isNotNull()).join(outcomes, "application_id", "inner")
 
 
-def psi_bin_counts(preds: DataFrame, edges: list[float], ts: str = "ts", delay: str = "1 day") -> DataFrame:
-    """Streaming counts per (1-day window, bin) against static reference edges."""
+def psi_bin_counts(preds: DataFrame, edges: list[float], ts: str = "ts", delay: str = "1 day",
+                   window: str = "1 day") -> DataFrame:
+    """Streaming counts per (window, bin) against static reference edges."""
     x = F.col("p_default").cast("double")
     b = F.lit(0)
     for e in edges:
         b = b + F.when(x >= F.lit(float(e)), 1).otherwise(0)
-    return (preds.filter(x.isNotNull()).withWatermark(ts, delay)
-            .groupBy(F.window(F.col(ts), "1 day").alias("w"), b.alias("bin"))
+    # a NULL score moves the watermark; its bin is NULL and left out when the counts are read
+    return (preds.withWatermark(ts, delay)
+            .groupBy(F.window(F.col(ts), window).alias("w"), F.when(x.isNotNull(), b).alias("bin"))
             .agg(F.count(F.lit(1)).alias("n"))
             .select(F.col("w.start").alias("window_start"), "bin", "n"))
 
@@ -88,6 +105,7 @@ def psi_by_window(counts: DataFrame, expected_shares: list[float], min_samples:
     """PSI per window from (window_start, bin, n) and the reference bin shares;
     NULL when the window holds fewer than ``min_samples`` rows."""
     spark = counts.sparkSession
+    counts = counts.filter(F.col("bin").isNotNull())
     ref = spark.createDataFrame([(i, float(s)) for i, s in enumerate(expected_shares)], "bin int, e_share double")
     per = counts.groupBy("window_start").agg(F.sum("n").alias("_t"))
     full = counts.join(per, "window_start").join(F.broadcast(ref), "bin", "inner")   # ref: n_bins rows
