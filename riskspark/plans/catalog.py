@@ -572,7 +572,8 @@ def q_score_histogram(spark, d):
 
 # ------------------------------------------------------------- models ------
 
-@register("isotonic_fit", with_base(f"""
+# isotonic regression by its min-max formula: the fitted value at every score of the calibration year
+ISOTONIC_CTES = """
 g as (select p_default as x, sum("default")::double as sy, count(*)::double as w
       from scored where issue_year = 1999 group by p_default),
 o as (select x, sy, w, row_number() over (order by x) as i,
@@ -580,7 +581,10 @@ o as (select x, sy, w, row_number() over (order by x) as i,
              sum(w) over (order by x rows between unbounded preceding and current row) as cw from g),
 pr as (select a.i as j, b.i as k, (b.cs - a.cs + a.sy) / (b.cw - a.cw + a.w) as av from o a join o b on a.i <= b.i),
 sm as (select j, k, min(av) over (partition by j order by k desc rows between unbounded preceding and current row) as m from pr),
-f as (select k as i, max(m) as fit from sm group by k)
+f as (select k as i, max(m) as fit from sm group by k)"""
+
+
+@register("isotonic_fit", with_base(f"""{ISOTONIC_CTES}
 select o.x as score, {R('f.fit')} as p_calibrated from f join o using (i)"""))
 def q_isotonic_fit(spark, d):
     from riskspark.operators.calibration import fit_isotonic

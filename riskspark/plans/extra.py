@@ -20,7 +20,7 @@ from riskspark.operators.models import feature_importance, fit_gbt, fit_lr
 from riskspark.operators.prepare import recent_years
 from riskspark.operators.scoring import FROZEN_SCORECARD, score_batch
 from riskspark.plans import tables as TB
-from riskspark.plans.catalog import _PSI_PROBS, _violation_rules, R, register
+from riskspark.plans.catalog import _EPS, _PSI_PROBS, _RANK_SQL, _violation_rules, ISOTONIC_CTES, R, register
 from riskspark.plans.sqlbase import quantile_ctes, with_base
 from riskspark.schema import CLEAN_FEATURES_V2
 from riskspark.session import ensure_checkpoint_dir
@@ -95,8 +95,9 @@ def q_gbt_batch_scoring(spark, d):
     columns, derive interactions, pin levels, score, decide, write Parquet."""
     _, _, _, test = _splits(spark, d)
     src = _scratch(spark, "batch-in") + ".csv"
-    write_any(test.select(*[c for c in CLEAN_FEATURES_V2 if c not in ("loan_to_income",)], "application_id"), src)
-    df = read_any(spark, src)
+    batch = test.select(*[c for c in CLEAN_FEATURES_V2 if c not in ("loan_to_income",)], "application_id")
+    write_any(batch, src)
+    df = read_any(spark, src, schema=batch.schema)
     out = score_batch(df, calibrated_gbt(spark, d), threshold=0.13)
     dst = _scratch(spark, "batch-out") + ".parquet"
     write_any(out.select("application_id", "p_default", "decision"), dst)
@@ -270,12 +271,39 @@ def q_ground_truth_file_join(spark, d):
     return j.agg(F.count(F.lit(1)).alias("n_matched"), F.sum("actual").cast("bigint").alias("n_default"))
 
 
-@register("model_comparison", None)
+def _metric_ctes(name: str, src: str) -> str:
+    """CTE ``name`` (metric, value): the metric row of ``src`` ("default", p_default)."""
+    rank = _RANK_SQL.format(src=src).replace("g as (", f"{name}_g as (", 1).replace("c as (", f"{name}_c as (", 1) \
+        .replace(" from g)", f" from {name}_g)")
+    clip = f"least(greatest(p_default, {_EPS}), 1 - {_EPS})"
+    return f"""{rank},
+{name}_r as (select sum(pos * (cn - 0.5 * neg)) / (max(P) * max(N)) as roc_auc,
+  sum(case when pos > 0 then pos * ((P - cp + pos) / ((P - cp + pos) + (N - cn + neg))) end) / max(P) as pr_auc,
+  max(abs(cp / P - cn / N)) as ks from {name}_c),
+{name}_p as (select avg((p_default - "default") * (p_default - "default")) as brier,
+  avg(-("default" * ln({clip}) + (1 - "default") * ln(1 - {clip}))) as log_loss from {src}),
+{name} as (""" + " union all ".join(f"select '{m}' as metric, {m} as value from {name}_{t}" for m, t in (
+        ("roc_auc", "r"), ("pr_auc", "r"), ("brier", "p"), ("log_loss", "p"), ("ks", "r"))) + ")"
+
+
+@register("model_comparison", with_base(f"""{ISOTONIC_CTES},
+knots as (select o.x, f.fit from f join o using (i)),
+below as (select t.loan_id, t."default", t.p_default as s, k.x as x0, k.fit as y0
+          from test_scored t asof left join knots k on k.x <= t.p_default),
+around as (select b.*, k.x as x1, k.fit as y1 from below b asof left join knots k on k.x >= b.s),
+calibrated as (select "default", case when x0 is null then y1 when x1 is null or x0 = x1 then y0
+                 else y0 + (y1 - y0) * (s - x0) / (x1 - x0) end as p_default from around),
+{_metric_ctes('ma', 'test_scored')},
+{_metric_ctes('mb', 'calibrated')}
+select metric, {R('ma.value')} as value_scorecard, {R('mb.value')} as value_calibrated,
+       {R('mb.value - ma.value')} as delta,
+       case when metric in ('brier', 'log_loss') then mb.value < ma.value else mb.value > ma.value end as calibrated_better
+from ma join mb using (metric)"""))
 def q_model_comparison(spark, d):
     """Frozen scorecard vs the same scorecard recalibrated (isotonic on the
     calibration year): metric by metric with delta and a better flag."""
     from riskspark.operators.calibration import fit_isotonic
-    s = TB.scored_table(spark, d)
+    s = TB.scored_table(spark, d, "issue_year", "default", "p_default")
     calib = s.filter(F.col("issue_year") == TB.CALIB)
     test = s.filter(F.col("issue_year") >= TB.TEST_MIN)
     iso = fit_isotonic(calib, "p_default", "default", "p_cal")

@@ -7,8 +7,10 @@ import __spark_entry__ as E
 from riskspark.sources.loanview import TABLES
 
 SF = "/root/testdata/sf0.001"
-FAST = ["default_rate_by_grade", "missing_pct", "clean_loans", "interactions", "contract_counts", "metric_row",
-        "cost_curve", "gains_table", "psi", "reliability_table", "isotonic_fit", "daily_monitor", "realized_monthly"]
+FAST = ["default_rate_by_grade", "missing_pct", "clean_loans", "interactions", "contract_counts", "metric_row", "new_levels",
+        "cost_curve", "gains_table", "psi", "reliability_table", "isotonic_fit", "daily_monitor", "realized_monthly",
+        "split_summary", "prediction_log_scan", "aligned_batch", "column_census", "exact_sample", "gains_comparison",
+        "stream_daily_events", "stream_dedup_events", "stream_scored_log", "stream_psi_weekly"]
 
 
 def test_entry_runs(spark):
@@ -41,3 +43,22 @@ def test_query_matches_oracle(spark, name):
     assert sorted(oc) == cols
     b = sorted((tuple(_norm(r[oc.index(c)]) for c in cols) for r in res.fetchall()), key=repr)
     assert a == b
+
+
+def test_stream_queries_hold_results(spark):
+    log = {r.status: r["count"] for r in E.queries()["stream_scored_log"](spark, SF).groupBy("status").count().collect()}
+    assert log["scored"] > log["quarantined"] > 0
+    assert E.queries()["new_levels"](spark, SF).count() > 0
+
+
+def test_csv_batch_keeps_its_types(spark, tmp_path):
+    from riskspark.operators.scoring import FROZEN_SCORECARD, score_batch
+    from riskspark.plans import tables as TB
+    from riskspark.sources.files import read_any, write_any
+    batch = TB.cleaned2(spark, SF).drop("loan_to_income", "default", "issue_year")
+    path = str(tmp_path / "batch.csv")
+    write_any(batch, path)
+    back = read_any(spark, path, schema=batch.schema)
+    assert back.dtypes == batch.dtypes
+    score = lambda df: sorted((r.application_id, r.p_default) for r in score_batch(df, FROZEN_SCORECARD).collect())
+    assert score(back) == score(batch)

@@ -20,3 +20,14 @@ def test_stream_daily_equals_batch_for_closed_days(spark):
     for d, r in got.items():
         assert r.n == batch[d].n
         assert abs(r.mean_p_default - batch[d].mean_p_default) < 1e-12
+
+
+def test_end_marker_closes_every_window(spark):
+    ev = spark.read.parquet(f"{SF}/events.parquet").select(F.col("ts").cast("timestamp").alias("ts"), "event_id")
+    stream = spark.readStream.schema(spark.read.parquet(f"{SF}/events.parquet").schema).parquet(f"{SF}/events.parque[t]")
+    feed = stream.select(F.col("ts").cast("timestamp").alias("ts"), F.lit(0.5).alias("p_default"),
+                         F.lit("reject").alias("decision"))
+    last = ev.agg(F.max("ts").alias("t")).first()["t"]
+    got = ST.run_available(ST.daily_windows(ST.with_end_marker(feed, last)), name="t-ended")
+    want = ev.groupBy(F.date_format("ts", "yyyy-MM-dd").alias("date")).count()
+    assert {r.date: r.n for r in got.collect()} == {r["date"]: r["count"] for r in want.collect()}
