@@ -60,6 +60,39 @@ def test_near_copies_of_a_large_group_join(spark):
     assert all(by[i]["class_size"] == 1 for i in range(120, 240))
 
 
+def near_classes(rows):
+    """The class of each row by brute force."""
+    words = near_dedup.Words()
+    found = [words(t) for _, t in rows]
+    runs = [near_dedup.labelled_runs(w) for w in found]
+    part = list(range(len(rows)))
+
+    def find(x):
+        while part[x] != x:
+            x = part[x]
+        return x
+
+    for i in range(len(rows)):
+        for j in range(i):
+            if find(i) != find(j) and near_dedup.jaccard(runs[i], runs[j]) >= 0.8 and near_dedup.alike(found[i], found[j]):
+                part[max(find(i), find(j))] = min(find(i), find(j))
+    return {rows[i][0]: rows[find(i)][0] for i in range(len(rows))}
+
+
+def test_family_without_its_base_is_brute_force(spark):
+    """Copies at about 0.8 of each other, with no text near them all to lead a bucket."""
+    rng = random.Random(1)
+    base = [f"w{rng.randrange(3000)}" for _ in range(200)]
+    rows = []
+    for i in range(150):
+        copy = list(base)
+        for k in rng.sample(range(200), rng.randint(2, 4)):
+            copy[k] = f"x{rng.randrange(10**9)}"
+        rows.append((i, " ".join(copy)))
+    got = near_dedup.classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r["doc_id"]: r["class_id"] for r in got} == near_classes(rows)
+
+
 def test_banded_edits_is_edit_distance():
     rng = random.Random(0)
 
