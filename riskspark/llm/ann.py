@@ -16,13 +16,14 @@ as many as its size asks for, and a part's queries into slices of about ``SLICE`
 
 Defined cases: vectors that are null, empty, zero, hold null or non-finite
 components, or have another length than the most frequent one take no part;
-rows with a null id take no part; repeated ids count once each row (a query
-leaves out rows of its own id); an empty table gives an empty result; other
+rows with a null id take no part; rows equal in id and vector count once, other
+rows of one id each (a query leaves out all rows of its own id); an empty table gives an empty result; other
 columns are not read.
 """
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -169,7 +170,7 @@ def search(vectors: DataFrame, queries, k: int, id_col: str = "vec_id", vector_c
     """query_id, rank, vec_id, score: the ``k`` nearest found of each row for which the
     column expression ``queries`` (of ``id``) holds."""
     spark = vectors.sparkSession
-    rows = usable(vectors, id_col, vector_col)
+    rows = usable(vectors, id_col, vector_col).distinct()
     first = Window.partitionBy("vec").orderBy("id")
     few = rows.withColumn("n", F.row_number().over(first)).filter(F.col("n") <= k + 1)
     stored = few.groupBy("vec").agg(F.sort_array(F.collect_list("id")).alias("ids"))
@@ -224,11 +225,17 @@ def search(vectors: DataFrame, queries, k: int, id_col: str = "vec_id", vector_c
         for i in range(0, len(a), 200):
             s = unit(a[i:i + 200]) @ b.T
             for row, key in zip(s, q["key"].iloc[i:i + 200], strict=True):
-                if len(row) > k + 1:
-                    edge = np.partition(row, len(row) - (k + 1))[len(row) - (k + 1)]
-                    near = np.flatnonzero(row >= edge - 1e-12)
-                else:
-                    near = np.arange(len(row))
+                take = 2 * k
+                while True:  # more if one id has most of the nearest vectors
+                    if len(row) > take:
+                        edge = np.partition(row, len(row) - take)[len(row) - take]
+                        near = np.flatnonzero(row >= edge - 1e-12)
+                    else:
+                        near = np.arange(len(row))
+                    held = Counter(one for j in near for one in v["ids"].iat[j])
+                    if len(near) == len(row) or sum(min(n, k) for n in held.values()) >= 2 * k:
+                        break
+                    take *= 4
                 near = near[np.lexsort((low[near], -row[near]))]
                 for j in near:
                     for one in v["ids"].iat[j]:
@@ -236,12 +243,16 @@ def search(vectors: DataFrame, queries, k: int, id_col: str = "vec_id", vector_c
                         ids.append(one)
                         scores.append(min(1.0, max(-1.0, row[j])))
         out = pd.DataFrame({"key": keys, "vec_id": ids, "score": scores})
-        return out.sort_values(["key", "score", "vec_id"], ascending=[True, False, True]).groupby("key").head(k + 1)
+        out = out.sort_values(["key", "score", "vec_id"], ascending=[True, False, True])
+        return out.groupby(["key", "vec_id"]).head(k).groupby("key").head(2 * k)
 
     found = (left.groupBy("part", "block", "slice").cogroup(right.groupBy("part", "block", "slice"))
              .applyInPandas(nearest, "key long, vec_id long, score double"))
+    # k rows of an id at most, so that 2 k rows hold k of other ids than the query's own
+    of_id = Window.partitionBy("key", "vec_id").orderBy(F.desc("score"))
     best = Window.partitionBy("key").orderBy(F.desc("score"), "vec_id")
-    found = found.withColumn("n", F.row_number().over(best)).filter(F.col("n") <= k + 1).drop("n")
+    found = found.withColumn("n", F.row_number().over(of_id)).filter(F.col("n") <= k)
+    found = found.withColumn("n", F.row_number().over(best)).filter(F.col("n") <= 2 * k).drop("n")
     last = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return (asked.join(found, "key").filter(F.col("vec_id") != F.col("query_id"))
             .withColumn("rank", F.row_number().over(last)).filter(F.col("rank") <= k)

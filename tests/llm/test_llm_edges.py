@@ -154,6 +154,20 @@ def test_search_edges(spark):
     assert ann.search(df.limit(0), F.col("id") % 50 == 0, 5).count() == 0
 
 
+def test_search_with_repeated_rows(spark):
+    far = [(k, [1.0, k / 10]) for k in range(1, 8)]
+    want = [(k, k) for k in range(1, 6)]
+    own = {"a row seven times": [(50, [1.0, 0.0])] * 7, "a row twice": [(50, [1.0, 0.0])] * 2,
+           "neighbours twice": [(50, [1.0, 0.0]), *far]}
+    for name, rows in own.items():
+        got = ann.search(spark.createDataFrame(rows + far, "vec_id long, embedding array<double>"), F.col("id") % 50 == 0, 5)
+        assert [(r["rank"], r["vec_id"]) for r in got.orderBy("rank").collect()] == want, name
+    # seven other vectors of the query's id are nearer than any other id
+    near = [(50, [1.0, 0.0001 * k]) for k in range(7)]
+    got = ann.search(spark.createDataFrame(near + far, "vec_id long, embedding array<double>"), F.col("id") % 50 == 0, 5).collect()
+    assert len(got) == 5 and 50 not in {r["vec_id"] for r in got}
+
+
 def test_edited_text_wraps_round(spark):
     rows = [(2, "abcdefgh"), (1, "12345678"), (3, "")]
     got = {r["id"]: r["next_text"] for r in winnow.with_next(spark.createDataFrame(rows, "id long, text string")).collect()}
