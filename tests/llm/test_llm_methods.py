@@ -93,6 +93,20 @@ def test_family_without_its_base_is_brute_force(spark):
     assert {r["doc_id"]: r["class_id"] for r in got} == near_classes(rows)
 
 
+def test_short_texts_are_brute_force(spark):
+    """Texts of 1 to 30 words, each also with one word before or after it."""
+    rng = random.Random(2)
+    texts = []
+    for n in list(range(1, 31)) * 4:
+        t = [f"v{rng.randrange(10**6)}" for _ in range(n)]
+        texts += [t, ["more"] + t if rng.random() < 0.5 else t + ["more"]]
+    rows = [(i, " ".join(t)) for i, t in enumerate(texts)]
+    want = near_classes(rows)
+    assert all(want[i] == want[i + 1] for i in range(0, len(rows), 2) if 8 <= len(texts[i]))
+    got = near_dedup.classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r["doc_id"]: r["class_id"] for r in got} == want
+
+
 def test_banded_edits_is_edit_distance():
     rng = random.Random(0)
 
