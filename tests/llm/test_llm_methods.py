@@ -324,3 +324,40 @@ def test_router_parts_are_balanced():
     x = ann.unit(np.random.default_rng(0).normal(size=(1000, 8)))
     part = ann.balanced_parts(x, ann.neighbour_graph(x, 5), 8)
     assert np.bincount(part, minlength=8).max() <= 1.1 * 125 + 1
+
+
+def license_example(items, rng, space):
+    """A text that a parsed license expression matches."""
+    from re import _constants as sre
+    out = ""
+    for op, value in items:
+        if op is sre.LITERAL:
+            out += chr(value)
+        elif op is sre.SUBPATTERN:
+            out += license_example(value[-1], rng, space)
+        elif op is sre.BRANCH:
+            out += license_example(rng.choice(value[1]), rng, space)
+        elif op in (sre.MAX_REPEAT, sre.MIN_REPEAT):
+            out += "".join(license_example(value[2], rng, space) for _ in range(rng.randint(value[0], min(value[1], value[0] + 1))))
+        elif op is sre.IN:
+            kind, what = value[0]
+            out += space if kind is sre.CATEGORY else chr(what[0] if kind is sre.RANGE else what)
+        elif op is sre.ANY:
+            out += "q"
+    return out
+
+
+def test_license_keywords_lose_no_match():
+    from re import _parser
+    rng, scanner = random.Random(3), license_scan.Scanner()
+    for rule in scanner.rules:
+        tree = _parser.parse(rule.pattern.pattern)
+        for k in range(12):
+            text = license_example(tree, rng, " \n"[k % 2]).encode("latin-1").decode()
+            low = text.encode()
+            assert rule.pattern.search(low), (rule, text)
+            gated = scanner.scan(text)["detections"]
+            found = [(r.priority, *m.span(), r.label, r.weight) for r in scanner.rules for m in r.pattern.finditer(low)]
+            assert gated == license_scan.resolve(found), text
+    for text, label in (("Creative Commons Attribution 4.0", "cc-by-4.0"), ("This End-User License Agreement", "proprietary")):
+        assert label in {d[3] for d in scanner.scan(text)["detections"]}
