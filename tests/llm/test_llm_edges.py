@@ -173,3 +173,13 @@ def test_edited_text_wraps_round(spark):
     got = {r["id"]: r["next_text"] for r in winnow.with_next(spark.createDataFrame(rows, "id long, text string")).collect()}
     assert got == {1: "abcdefgh", 2: "", 3: "12345678"}
     assert hashlib.sha256(b"").hexdigest()
+
+
+def test_size_estimates_stay_those_of_the_files(spark):
+    """Rounds of components read files: the planner's estimate doesn't grow with the rounds."""
+    from riskspark.llm.common import checkpointed
+    frame = checkpointed(spark.range(1000).withColumn("part", F.col("id") % 7))
+    least = frame.count() * 16
+    for _ in range(10):
+        frame = checkpointed(frame.join(frame.select(F.col("id").alias("part"), F.col("part").alias("up")), "part").select("id", F.col("up").alias("part")))
+    assert frame._jdf.queryExecution().optimizedPlan().stats().sizeInBytes() < 10 * least
