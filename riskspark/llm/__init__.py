@@ -10,7 +10,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from riskspark.llm import (
-    ann, bpe, chat_format, lang_id, license_scan, near_dedup, packing, token_counts, toxicity, winnow,
+    ann, bpe, chat_format, lang_id, license_scan, near_dedup, packing, ranked_search, repeats, spelling, token_counts, toxicity,
+    winnow,
 )
 from riskspark.llm.common import ship_package
 
@@ -25,6 +26,9 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_counts": token_counts.op8_token_counts,
     "op9_neighbours": ann.op9_neighbours,
     "op10_language": lang_id.op10_language,
+    "op11_spelling": spelling.op11_spelling,
+    "op12_search": ranked_search.op12_search,
+    "op13_repeats": repeats.op13_repeats,
 }
 
 
@@ -38,4 +42,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_chat": chat_format.OP4_SQL}
+    return {"op4_chat": chat_format.OP4_SQL, "op12_search": ranked_search.OP12_SQL, "op13_repeats": repeats.OP13_SQL}
