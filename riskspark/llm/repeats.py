@@ -32,6 +32,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from xxhash import xxh3_64_intdigest
 
 from riskspark.llm.common import checkpointed, narrow, released, table, text_or_empty
 from riskspark.llm.near_dedup import node_of
@@ -45,9 +46,11 @@ RUNS_EVERY = 4
 #: Words of a symbol at most.
 CAP = 12
 #: Words that a task parses at a time (a longer text is parsed as a whole).
-WORDS_AT_ONCE = 200_000
+WORDS_AT_ONCE = 100_000
+#: Windows that a task gives out at a time (those of one text at least).
+WINDOWS_AT_ONCE = 50_000
 #: Words whose hashes a task remembers; the memory starts anew beyond them.
-WORD_MEMORY = 200_000
+WORD_MEMORY = 100_000
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _BASE = np.uint64(0xD6E8FEB86659FD93)
@@ -66,24 +69,17 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
-class Hashes:
+class Hashes(dict):
     """64-bit hashes of words (bytes), with a bounded memory."""
 
-    def __init__(self, seed: int = 0):
-        self.memory: dict[bytes, int] = {}
-        self.seed = seed
+    def __missing__(self, word: bytes) -> int:
+        if len(self) >= WORD_MEMORY:
+            self.clear()
+        h = self[word] = xxh3_64_intdigest(word)
+        return h
 
     def __call__(self, words: list[bytes]) -> np.ndarray:
-        from xxhash import xxh3_64_intdigest
-        memory, seed = self.memory, self.seed
-        found = list(map(memory.get, words))
-        if None in found:
-            if len(memory) > WORD_MEMORY:
-                memory.clear()
-            for i, h in enumerate(found):
-                if h is None:
-                    found[i] = memory[words[i]] = xxh3_64_intdigest(words[i], seed)
-        return np.array(found, np.uint64)
+        return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
 
 
 class Symbols:
@@ -163,19 +159,17 @@ def recompress(words: np.ndarray, text: np.ndarray, levels: int = LEVELS) -> Sym
     return symbols
 
 
-def symbol_ranges(words: list[np.ndarray], window: int = WINDOW) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """For each text's words: names of its symbols, and the first and last window (by the place where it
-    begins) that holds each symbol. Symbols that no window holds are left out."""
-    sizes = np.array([len(w) for w in words])
-    if not sizes.sum():
-        return [(np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64))] * len(words)
-    s = recompress(np.concatenate(words), np.repeat(np.arange(len(words)), sizes))
+def symbol_ranges(words: np.ndarray, sizes: np.ndarray, window: int = WINDOW) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """For each of the texts laid end to end (hashes of their words, and how many each has): names of its symbols, and
+    the first and last window (by the place where it begins) that holds each symbol. Symbols that no window
+    holds are left out."""
+    s = recompress(words, np.repeat(np.arange(len(sizes)), sizes))
     begin = np.cumsum(sizes) - sizes
     first = np.maximum(s.high - begin[s.text] - window, 0)
     last = np.minimum(s.low - begin[s.text], sizes[s.text] - window)
     held = (first <= last) & (s.high - begin[s.text] <= sizes[s.text])
     name, text, first, last = s.name[held], s.text[held], first[held], last[held]
-    cuts = np.searchsorted(text, np.arange(1, len(words)))
+    cuts = np.searchsorted(text, np.arange(1, len(sizes)))
     return list(zip(np.split(name, cuts), np.split(first, cuts), np.split(last, cuts), strict=True))
 
 
@@ -187,16 +181,16 @@ def covered(first: np.ndarray, last: np.ndarray, n: int) -> np.ndarray:
     return np.cumsum(steps[:n]) > 0
 
 
-def window_hashes(words: list[bytes], hashes: tuple[Hashes, Hashes], window: int = WINDOW) -> tuple[np.ndarray, np.ndarray]:
-    """Two 64-bit hashes of every window."""
+def window_hashes(words: np.ndarray, window: int = WINDOW) -> tuple[np.ndarray, np.ndarray]:
+    """Two 64-bit hashes of every window, from hashes of the words."""
     n = len(words)
     up, down = np.full(n, _BASE), np.full(n, _INVERSE)
     up[0] = down[0] = 1
     up, down = np.cumprod(up), np.cumprod(down)
     out = []
-    for h in hashes:
-        sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(h(words) * down)))
-        out.append(mixed((sums[window:] - sums[:-window]) * up[:n - window + 1]))
+    for h in (words, mixed(words * _MIX)):
+        sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(h * down)))
+        out.append(mixed((sums[window:] - sums[:-window]) * up[:n - window + 1]).view(np.int64))
     return out[0], out[1]
 
 
@@ -223,7 +217,9 @@ def parsed_texts(docs: DataFrame, id_col: str, text_col: str, window: int) -> Da
                 new = [d not in done and len(w) >= window for d, w in zip(part["digest"], words, strict=True)]
                 if len(done) < WORD_MEMORY:
                     done.update(part["digest"])
-                found = iter(symbol_ranges([hashes(w) for w, k in zip(words, new, strict=True) if k], window))
+                met = [w for w, k in zip(words, new, strict=True) if k]
+                flat = hashes([x for w in met for x in w])
+                found = iter(symbol_ranges(flat, np.array([len(w) for w in met], np.int64), window))
                 out = []
                 for w, k in zip(words, new, strict=True):
                     whole = hashlib.sha256(b" ".join(w)).hexdigest()
@@ -269,17 +265,34 @@ def candidate_places(ranges: np.ndarray) -> np.ndarray:
     return np.concatenate([np.arange(a, b + 1) for a, b in zip(ranges[::2], ranges[1::2], strict=True)])
 
 
+def stretches(hashes: Hashes, words: list[bytes], ranges: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
+    """The hashes of the windows of ``candidate_places``; words outside of them are not looked at."""
+    found = [window_hashes(hashes(words[a:b + window]), window) for a, b in zip(ranges[::2], ranges[1::2], strict=True)]
+    return np.concatenate([one for one, _ in found]), np.concatenate([two for _, two in found])
+
+
 def verified_windows(texts: DataFrame, window: int) -> DataFrame:
     """(digest, id, ones, twos): hashes of the windows of a text that also begin in a document of a smaller id."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        hashes = Hashes(1), Hashes(2)
+        hashes = Hashes()
         for pdf in batches:
-            for digest, id_, ranges, text in zip(pdf["digest"], pdf["id"], pdf["ranges"], pdf["text"], strict=True):
-                one, two = window_hashes(text.split(), hashes, window)
-                at = candidate_places(ranges)
-                both = np.unique(np.stack((one[at], two[at])), axis=1).view(np.int64)
-                yield pd.DataFrame({"one": both[0], "two": both[1], "id": id_, "digest": [digest] * both.shape[1]})
+            ones, twos, ids, digests = [], [], [], []
+            for id_, digest, ranges, text in zip(pdf["id"], pdf["digest"], pdf["ranges"], pdf["text"], strict=True):
+                one, two = stretches(hashes, text.split(), ranges, window)
+                # a window that a text repeats is one row (or a few, if hashes collide)
+                order = np.argsort(one)
+                one, two = one[order], two[order]
+                new = np.append(True, (one[1:] != one[:-1]) | (two[1:] != two[:-1]))
+                ones.append(one[new])
+                twos.append(two[new])
+                ids += [id_] * len(ones[-1])
+                digests += [digest] * len(ones[-1])
+                if len(ids) >= WINDOWS_AT_ONCE:
+                    yield pd.DataFrame({"one": np.concatenate(ones), "two": np.concatenate(twos), "id": ids, "digest": digests})
+                    ones, twos, ids, digests = [], [], [], []
+            if ids:
+                yield pd.DataFrame({"one": np.concatenate(ones), "two": np.concatenate(twos), "id": ids, "digest": digests})
 
     windows = texts.mapInPandas(run, "one long, two long, id long, digest binary")
     least = windows.groupBy("one", "two").agg(F.min("id").alias("least"), F.max("id").alias("most")).filter("least < most")
@@ -291,14 +304,14 @@ def cut_texts(texts: DataFrame, repeated: DataFrame, window: int) -> DataFrame:
     """(digest, id, removed, kept) of the texts with windows to cut out: words removed, digest of what is left."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        hashes = Hashes(1), Hashes(2)
+        hashes = Hashes()
         for pdf in batches:
             removed, kept = [], []
             for text, ranges, ones, twos in zip(pdf["text"], pdf["ranges"], pdf["ones"], pdf["twos"], strict=True):
                 words = text.split()
-                one, two = (h.view(np.int64) for h in window_hashes(words, hashes, window))
-                at, known = candidate_places(ranges), set(zip(ones.tolist(), twos.tolist(), strict=True))
-                at = at[[pair in known for pair in zip(one[at].tolist(), two[at].tolist(), strict=True)]]
+                one, two = stretches(hashes, words, ranges, window)
+                known = set(zip(ones.tolist(), twos.tolist(), strict=True))
+                at = candidate_places(ranges)[[pair in known for pair in zip(one.tolist(), two.tolist(), strict=True)]]
                 out = covered(at, at + window - 1, len(words))
                 removed.append(int(out.sum()))
                 kept.append(hashlib.sha256(b" ".join(w for w, o in zip(words, out.tolist(), strict=True) if not o)).hexdigest())

@@ -221,7 +221,7 @@ def test_windows_hold_the_same_symbols_wherever_they_stand():
         at = [next(i for i in range(len(a)) if (a[i:i + 60] == passage).all()) for a in around]
         held = []
         for words, begin in zip(around, at):
-            (name, first, last), = repeats.symbol_ranges([words])
+            (name, first, last), = repeats.symbol_ranges(words, np.array([len(words)]))
             ok = (first <= begin) & (begin <= last)
             held.append(sorted(name[ok].tolist()))
         # ranges cut at a text's ends may hold more symbols, never others
