@@ -9,6 +9,8 @@ from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from riskspark.operators.boosting import BoostedTrees, exists
+
 
 @dataclass
 class IsotonicCalibrator:
@@ -66,6 +68,8 @@ class CalibratedModel:
     def raw(self, df: DataFrame) -> DataFrame:
         # a previous score on the input is replaced, not duplicated
         df = df.drop(*[c for c in ("p_raw", "p_default", "decision") if c in df.columns])
+        if hasattr(self.base, "score_raw"):  # boosted trees, or any scorer of its own
+            return self.base.score_raw(df)
         out = self.base.transform(df)
         out = out.withColumn("p_raw", vector_to_array(F.col("probability"))[1])
         drop = [c for c in ("rawPrediction", "probability", "prediction", "features") if c in out.columns]
@@ -79,15 +83,18 @@ class CalibratedModel:
         return cal.transform(r)
 
     def save(self, path: str) -> None:
-        self.base.write().overwrite().save(f"{path}/base")
+        if isinstance(self.base, BoostedTrees):
+            self.base.save(SparkSession.active(), f"{path}/trees")
+        else:
+            self.base.write().overwrite().save(f"{path}/base")
         if self.iso is not None:
             self.iso.save(f"{path}/isotonic")
 
     @classmethod
     def load(cls, path: str, name: str = "calibrated"):
         from pyspark.ml import PipelineModel
-        base = PipelineModel.load(f"{path}/base")
         spark = SparkSession.active()
+        base = BoostedTrees.load(spark, f"{path}/trees") if exists(spark, f"{path}/trees/trees") else PipelineModel.load(f"{path}/base")
         layer = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/isotonic")
         # a bare base model has no such folder; a folder that can't be read is an error
         there = layer.getFileSystem(spark._jsc.hadoopConfiguration()).exists(layer)

@@ -15,11 +15,11 @@ import itertools
 from concurrent.futures import ThreadPoolExecutor
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from riskspark.operators.metrics import rank_metrics
-from riskspark.operators.ordered import row_rank
+from riskspark.operators.ordered import materialize, row_rank
 from riskspark.schema import CV_FOLDS, DEFAULT_PARAMS, N_TRIALS, RANDOM_STATE, SEARCH_SPACE, SUBSAMPLE_FRAC, TARGET
 
 
@@ -45,12 +45,46 @@ def fold_frames(folded: DataFrame, fold: int) -> tuple[DataFrame, DataFrame]:
     return train, test
 
 
+#: Rows of a border bucket that are few enough to be ordered.
+BORDER_ROWS = 100_000
+
+
+def sample_hash(id_col: str, seed: int) -> Column:
+    """15 hexadecimal digits that order the rows of a seeded sample."""
+    return F.substring(F.md5(F.concat(F.lit(f"{seed}:"), F.col(id_col).cast("string"))), 1, 15)
+
+
 def exact_sample(df: DataFrame, fraction: float, id_col: str = "loan_id", seed: int = RANDOM_STATE) -> DataFrame:
-    """Exactly ``int(n * fraction)`` rows, chosen by a seeded hash order of the id."""
-    n = df.count()
-    k = int(n * fraction)
-    h = df.withColumn("_h", F.xxhash64(F.col(id_col), F.lit(seed)).cast("double"))
-    return row_rank(h, "_h", id_col).filter(F.col("rank") < k).drop("_h", "rank")
+    """Exactly ``int(n * fraction)`` rows: those with the smallest seeded hashes of the id.
+
+    No row is ranked. Rows are counted by the first digits of their hash; all in buckets below the one that holds
+    the k-th are taken, and the border bucket is counted by further digits until it is small enough to be
+    ordered. A pass gives 4,096 counts at most. Rows without an id are ordered last."""
+    h = F.coalesce(sample_hash(id_col, seed), F.lit("g"))
+    hashed = df.withColumn("_h", h)
+    rest, border = None, hashed
+    digits = 0
+    while True:
+        digits += 3
+        counts = sorted(border.groupBy(F.substring("_h", 1, digits).alias("b")).count().collect())
+        if rest is None:
+            rest = int(sum(c for _, c in counts) * fraction)
+        taken = 0
+        for bucket, c in counts:
+            if taken + c > rest:
+                break
+            taken += c
+        else:
+            bucket, c = None, 0
+        rest -= taken
+        if bucket is None or not rest or c <= BORDER_ROWS or digits >= 15:
+            break
+        border = hashed.filter(F.substring("_h", 1, digits) == bucket)
+    if bucket is None:  # all rows
+        return df
+    whole = hashed.filter(F.substring("_h", 1, digits) < bucket)
+    edge = hashed.filter(F.substring("_h", 1, digits) == bucket).orderBy("_h", id_col).limit(rest)
+    return whole.unionByName(edge).drop("_h")
 
 
 def parameter_grid(space: dict = SEARCH_SPACE) -> list[dict]:
@@ -66,43 +100,98 @@ def sample_trials(n_trials: int = N_TRIALS, space: dict = SEARCH_SPACE, seed: in
     return [dict(DEFAULT_PARAMS)] + [grid[i] for i in picks]
 
 
-def random_search(df: DataFrame, features: list[str], n_trials: int = N_TRIALS, cv_folds: int = CV_FOLDS,
-                  subsample_frac: float = SUBSAMPLE_FRAC, seed: int = RANDOM_STATE, y: str = TARGET,
-                  id_col: str = "loan_id", parallelism: int = 2, fit=None) -> DataFrame:
-    """Trials with mean and population std of the fold ROC-AUC, best first.
+_LEDGER = ", ".join(["trial int", "fold int", *(f"{k} double" for k in sorted(SEARCH_SPACE)), "roc_auc double", "is_default boolean"])
 
-    Columns: trial, the eight parameters, mean_auc, std_auc, is_default.
-    """
-    from riskspark.operators.calibration import CalibratedModel
-    from riskspark.operators.models import fit_gbt
-    fit = fit or (lambda tr, params: fit_gbt(tr, features, y, params, seed=seed))
-    sub = exact_sample(df, subsample_frac, id_col, seed) if subsample_frac < 1 else df
-    folded = time_series_folds(sub, cv_folds, ("issue_year", id_col)).persist()
-    folds = [fold_frames(folded, i) for i in range(cv_folds)]
-    trials = sample_trials(n_trials, seed=seed)
 
-    def run(i_params):
-        i, params = i_params
-        aucs = []
-        for tr, te in folds:
-            model = fit(tr, params)
-            scored = CalibratedModel(model, None).score(te)
-            aucs.append(rank_metrics(scored, y, "p_default").first()["roc_auc"])
-        return (i, params, aucs)
-
-    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-        results = list(pool.map(run, enumerate(trials)))
-    folded.unpersist()
-    rows = []
+class TrialLedger:
+    """Finished fits of a search, one folder a (trial, fold) under ``path``.
+
+    A finished fit is written at once and never again: a search that was ended goes on with what an anti join of
+    its plan and the ledger leaves, in this session or another. A fit that was written twice (by two drivers)
+    overwrites itself. Parameters are part of what is compared, so trials of another plan are not taken for done."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path.rstrip("/")
+
+    def rows(self) -> DataFrame:
+        """(trial, fold, parameters, roc_auc, is_default) of what is finished."""
+        p = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
+        if not p.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(p):
+            return self.spark.createDataFrame([], _LEDGER)
+        return self.spark.read.schema(_LEDGER).option("recursiveFileLookup", "true").parquet(self.path)
+
+    def plan(self, trials: list[dict], folds: int) -> DataFrame:
+        keys = sorted(SEARCH_SPACE)
+        rows = [(i, f, *[float(t[k]) for k in keys], None, i == 0) for i, t in enumerate(trials) for f in range(folds)]
+        return self.spark.createDataFrame(rows, _LEDGER)
+
+    def missing(self, trials: list[dict], folds: int) -> list[tuple[int, int]]:
+        """(trial, fold) of the plan that are not in the ledger, in order."""
+        on = ["trial", "fold", *sorted(SEARCH_SPACE)]
+        left = self.plan(trials, folds).join(self.rows().select(*on), on, "left_anti")
+        return [(r["trial"], r["fold"]) for r in left.orderBy("trial", "fold").collect()]
+
+    def add(self, trial: int, fold: int, params: dict, roc_auc: float | None) -> None:
+        row = (trial, fold, *[float(params[k]) for k in sorted(SEARCH_SPACE)], roc_auc, trial == 0)
+        (self.spark.createDataFrame([row], _LEDGER).coalesce(1).write.mode("overwrite")
+         .parquet(f"{self.path}/fit-{trial:04d}-{fold:02d}"))
+
+
+def trial_results(fits: DataFrame, folds: int) -> DataFrame:
+    """Trial table of a ledger's rows, best first: trial, parameters, mean_auc, std_auc (population), is_default,
+    place. Trials whose folds are not all finished, or with a fold without both classes, have no mean and come last."""
     keys = sorted(SEARCH_SPACE)
-    for i, params, aucs in results:
-        whole = bool(aucs) and None not in aucs  # a fold without both classes leaves the trial unranked
-        a = np.asarray(aucs if whole else [], dtype=float)
-        rows.append((i, *[float(params[k]) for k in keys], float(a.mean()) if whole else None,
-                     float(a.std()) if whole else None, i == 0))
-    schema = "trial int, " + ", ".join(f"{k} double" for k in keys) + ", mean_auc double, std_auc double, is_default boolean"
+    whole = F.count("roc_auc") == folds
+    table = fits.groupBy("trial", *keys, "is_default").agg(
+        F.when(whole, F.avg("roc_auc")).alias("mean_auc"), F.when(whole, F.stddev_pop("roc_auc")).alias("std_auc"))
+    order = Window.partitionBy(F.lit(0)).orderBy(F.col("mean_auc").desc_nulls_last(), "trial")  # as many rows as trials
+    return (table.withColumn("place", F.row_number().over(order))
+            .select("trial", *keys, "mean_auc", "std_auc", "is_default", "place").orderBy("place"))
+
+
+def best_and_worst(results: DataFrame, best: int = 5, worst: int = 3) -> DataFrame:
+    """The ``best`` and the ``worst`` ranked trials, with ``end`` saying which."""
+    ranked = results.filter(F.col("mean_auc").isNotNull())
+    top = ranked.orderBy("place").limit(best).withColumn("end", F.lit("best"))
+    return top.unionByName(ranked.orderBy(F.desc("place")).limit(worst).withColumn("end", F.lit("worst")))
+
+
+def random_search(df: DataFrame, features: list[str], n_trials: int = N_TRIALS, cv_folds: int = CV_FOLDS,
+                  subsample_frac: float = SUBSAMPLE_FRAC, seed: int = RANDOM_STATE, y: str = TARGET,
+                  id_col: str = "loan_id", parallelism: int = 2, fit=None, ledger: str | None = None,
+                  at_most: int | None = None) -> DataFrame:
+    """The trial table of a seeded random search (``trial_results``).
+
+    Each finished fit goes to the ledger in folder ``ledger`` (default: one of its own in the checkpoint
+    folder); a call runs the fits that the ledger lacks, ``at_most`` so many, so a search may be spread over several runs.
+    A boosted fit keeps its stages beside the ledger and goes on with them. ``fit(train, params)`` gives a model or a
+    scorer with ``score_raw``."""
+    import uuid
+    from riskspark.operators.boosting import fit_boosted
+    from riskspark.operators.calibration import CalibratedModel
+    from riskspark.session import ensure_checkpoint_dir
     spark = df.sparkSession
-    return spark.createDataFrame(rows, schema).orderBy(F.col("mean_auc").desc_nulls_last(), "trial")
+    ledger = ledger or f"{ensure_checkpoint_dir(spark).rstrip('/')}/ledger-{uuid.uuid4().hex}"
+    book = TrialLedger(spark, f"{ledger}/fits")
+    trials = sample_trials(n_trials, seed=seed)
+    todo = book.missing(trials, cv_folds)[:at_most]
+    if todo:
+        sub = exact_sample(df, subsample_frac, id_col, seed) if subsample_frac < 1 else df
+        folded = materialize(time_series_folds(sub, cv_folds, ("issue_year", id_col)))
+
+        def run(which: tuple[int, int]) -> None:
+            trial, fold = which
+            train, test = fold_frames(folded, fold)
+            if fit:
+                model = fit(train, trials[trial])
+            else:
+                model = fit_boosted(train, features, y, trials[trial], seed, store=f"{ledger}/stages/{trial}-{fold}")
+            scored = CalibratedModel(model, None).score(test)
+            book.add(trial, fold, trials[trial], rank_metrics(scored, y, "p_default").first()["roc_auc"])
+
+        with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+            list(pool.map(run, todo))
+    return trial_results(book.rows(), cv_folds)
 
 
 def best_params(results: DataFrame) -> dict:

@@ -15,8 +15,9 @@ from pyspark.sql import functions as F
 from riskspark import streaming as ST
 from riskspark.operators import metrics as M
 from riskspark.operators import monitor as MON
+from riskspark.operators.boosting import exists, fit_boosted
 from riskspark.operators.calibration import CalibratedModel, fit_calibrated, recalibrate
-from riskspark.operators.models import feature_importance, fit_gbt, fit_lr
+from riskspark.operators.models import fit_lr
 from riskspark.operators.prepare import recent_years
 from riskspark.operators.scoring import FROZEN_SCORECARD, score_batch
 from riskspark.plans import tables as TB
@@ -26,8 +27,6 @@ from riskspark.schema import CLEAN_FEATURES_V2
 from riskspark.session import ensure_checkpoint_dir
 from riskspark.sources.files import append_log, load_predictions, read_any, to_log_records, write_any
 
-_MODELS: dict[tuple[str, str], str] = {}
-
 
 def _scratch(spark, name: str) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
@@ -40,17 +39,17 @@ def _splits(spark, d):
 
 
 def calibrated_gbt(spark, d) -> CalibratedModel:
-    """GBT on base years + isotonic on the calibration year, saved once per
-    table folder (Spark ML save/load) and reloaded by later queries."""
-    key = ("gbt", d)
-    if key in _MODELS:
-        return CalibratedModel.load(_MODELS[key])
+    """Boosted trees on base years + isotonic on the calibration year. The model, and the stages of a fit
+    that has not ended, stand in a folder named by the rows they are fitted on, so that a later query or session with
+    the same checkpoint folder loads or resumes them, and changed tables get a model of their own."""
     _, base, calib, _ = _splits(spark, d)
-    model = fit_calibrated(base, calib, lambda df: fit_gbt(df, CLEAN_FEATURES_V2))
-    path = _scratch(spark, "model-gbt")
-    model.save(path)
-    _MODELS[key] = path
-    return model
+    rows = F.bit_xor(F.xxhash64(*base.columns))
+    both = base.unionByName(calib).agg(F.count(F.lit(1)).alias("n"), rows.alias("x")).first()
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/model-gbt-{both['n']}-{(both['x'] or 0) & (2**64 - 1):016x}"
+    if not exists(spark, f"{path}/model/isotonic/data"):  # what a save writes last
+        model = fit_calibrated(base, calib, lambda df: fit_boosted(df, CLEAN_FEATURES_V2, store=f"{path}/fit"))
+        model.save(f"{path}/model")
+    return CalibratedModel.load(f"{path}/model")
 
 
 def _metric_row(scored):
@@ -72,7 +71,7 @@ def q_gbt_calibrated_metrics(spark, d):
 
 @register("gbt_feature_importance", None)
 def q_gbt_feature_importance(spark, d):
-    return feature_importance(calibrated_gbt(spark, d).base, top_n=15)
+    return calibrated_gbt(spark, d).base.importance(spark).limit(15)
 
 
 @register("recalibration_report", None)

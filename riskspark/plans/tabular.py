@@ -8,12 +8,12 @@ from riskspark.operators import metrics as M
 from riskspark.operators import profile as PR
 from riskspark.operators.prepare import numeric_cols, split_xy, write_cleaned
 from riskspark.operators.scoring import FROZEN_SCORECARD, align_columns, categorical_levels, score_batch
-from riskspark.operators.tuning import exact_sample
+from riskspark.operators.tuning import best_and_worst, exact_sample, random_search, sample_trials
 from riskspark.plans import tables as TB
 from riskspark.plans.catalog import GM, R, _decile_sql, _ew_bin_sql, register
 from riskspark.plans.extra import _scratch
 from riskspark.plans.sqlbase import unpivot, with_base
-from riskspark.schema import CATEGORICAL_COLS, CLEAN_FEATURES_V1, CLEAN_FEATURES_V2, NUMERIC_FEATURES_V2, RANDOM_STATE
+from riskspark.schema import CATEGORICAL_COLS, CLEAN_FEATURES_V1, CLEAN_FEATURES_V2, NUMERIC_FEATURES_V2, RANDOM_STATE, SEARCH_SPACE
 from riskspark.sources.files import load_curated, scan_predictions, to_log_records
 
 # ------------------------------------------------------------ round trips --
@@ -121,16 +121,78 @@ def q_column_census(spark, d):
     return counts.select("column_name", dtype[F.col("column_name")].alias("dtype"), "n_values", "n_levels")
 
 
-@register("exact_sample", with_base("""
-select count(*) as n, cast(floor(count(*) * 0.25) as bigint) as n_sampled, cast(floor(count(*) * 0.25) as bigint) as n_ids
-from train_scored"""))
+_SAMPLED = """
+sampled as (
+  select * from (
+    select *, row_number() over (order by substr(md5('42:' || loan_id), 1, 15), loan_id) as hash_rank, count(*) over () as n_train
+    from train_scored) where hash_rank <= floor(n_train * 0.25e0))"""
+
+
+@register("exact_sample", with_base(_SAMPLED + "\nselect loan_id, issue_year from sampled"))
 def q_exact_sample(spark, d):
-    """A seeded sample of exactly a quarter of the training rows: its rows and its ids."""
-    train = TB.train_table(spark, d, "loan_id")
-    picked = exact_sample(train, 0.25, "loan_id", RANDOM_STATE).select("loan_id", F.lit(1).alias("in_sample"))
-    j = train.join(picked, "loan_id", "left")
-    return j.agg(F.countDistinct("loan_id").alias("n"), F.count("in_sample").alias("n_sampled"),
-                 F.countDistinct(F.when(F.col("in_sample") == 1, F.col("loan_id"))).alias("n_ids"))
+    """A seeded sample of exactly a quarter of the training rows."""
+    train = TB.train_table(spark, d, "loan_id", "issue_year")
+    return exact_sample(train, 0.25, "loan_id", RANDOM_STATE).select("loan_id", "issue_year")
+
+
+class TrialScorecard:
+    """A scorer whose weights are a trial's parameters: what a search does around its fits can be checked by SQL."""
+
+    def __init__(self, params: dict):
+        self.params = params
+
+    def score_raw(self, df):
+        p = {k: F.lit(float(v)) for k, v in self.params.items()}
+        score = (F.col("int_rate") * p["learning_rate"] + F.coalesce("dti", F.lit(10.0)) * p["reg_lambda"] / F.lit(100.0)
+                 - (F.col("fico_mean").cast("double") - F.lit(700.0)) * p["subsample"] / (p["max_depth"] * F.lit(100.0)))
+        return df.withColumn("p_raw", score)
+
+
+_KEYS = sorted(SEARCH_SPACE)
+_TRIALS = ", ".join(f"({i}, {', '.join(f'{float(t[k])!r}e0' for k in _KEYS)}, {str(i == 0).lower()})" for i, t in enumerate(sample_trials()))
+_FITS = _SAMPLED + f""",
+trials(trial, {', '.join(_KEYS)}, is_default) as (values {_TRIALS}),
+placed as (select *, row_number() over (order by issue_year, loan_id) - 1 as pos, count(*) over () as n_sub from sampled),
+folded as (
+  select *, (pos - (n_sub - 2 * (n_sub // 3))) // (n_sub // 3) as fold from placed where pos >= n_sub - 2 * (n_sub // 3)),
+scored_trials as (
+  select trial, fold, "default" as y, int_rate * learning_rate + coalesce(dti, 1e1) * reg_lambda / 1e2
+    - (cast(fico_mean as double) - 7e2) * subsample / (max_depth * 1e2) as s
+  from folded cross join trials),
+midranks as (
+  select trial, fold, y, rank() over (partition by trial, fold order by s) + (count(*) over (partition by trial, fold, s) - 1) / 2e0 as r
+  from scored_trials),
+aucs as (
+  select trial, fold, (sum(case when y = 1 then r else 0e0 end) - sum(y) * (sum(y) + 1) / 2e0) / (sum(y) * (count(*) - sum(y))) as auc
+  from midranks group by trial, fold),
+results as (
+  select trial, {', '.join(_KEYS)}, avg(auc) as m, stddev_pop(auc) as sd, is_default from aucs join trials using (trial)
+  group by trial, {', '.join(_KEYS)}, is_default),
+ranked as (select *, row_number() over (order by m desc, trial) as place from results)"""
+
+
+def searched(spark, d):
+    """The search over the scorecard trials, ended after ten fits and resumed from its ledger."""
+    train = TB.train_table(spark, d, "loan_id", "issue_year", "default", "int_rate", "dti", "fico_mean")
+    ledger = _scratch(spark, "ledger")
+    run = lambda n: random_search(train, [], fit=lambda _, params: TrialScorecard(params), ledger=ledger, parallelism=4, at_most=n)
+    run(10)
+    return run(None)
+
+
+@register("tuning_trials", with_base(_FITS + f"""
+select trial, {', '.join(_KEYS)}, {R('m')} as mean_auc, {R('sd')} as std_auc, is_default, place from ranked"""))
+def q_tuning_trials(spark, d):
+    """Trials of the random search with mean and population std of the fold AUC, ranked, from a resumed ledger."""
+    return searched(spark, d)
+
+
+@register("tuning_extremes", with_base(_FITS + f"""
+select trial, {R('m')} as mean_auc, place, case when place <= 5 then 'best' else 'worst' end as "end"
+from (select *, count(*) over () as n_trials from ranked) where place <= 5 or place > n_trials - 3"""))
+def q_tuning_extremes(spark, d):
+    """The five best and three worst trials."""
+    return best_and_worst(searched(spark, d)).select("trial", "mean_auc", "place", "end")
 
 
 @register("riskiest_loans", with_base("""
