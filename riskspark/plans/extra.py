@@ -185,13 +185,15 @@ def q_stream_outcome_join(spark, d):
     return ST.run_available(joined, name="outjoin").withColumn("ts", F.date_format("ts", "yyyy-MM-dd HH:mm:ss"))
 
 
-def _window_psi_sql(days: int) -> str:
+def _window_psi_sql(days: int, rolling: bool = False) -> str:
     bins = " + ".join(f"case when v >= (select quantile from qe where qi = {i}) then 1 else 0 end"
                       for i in range(len(_PSI_PROBS)))
+    feed = "select least(value / 500e0, 1e0) as v, " + (
+        f"date_trunc('day', ts) - to_days(cast(back as integer)) as w from events cross join range({days}) r(back)" if rolling else
+        f"time_bucket(interval {days} day, ts, timestamp '1970-01-01') as w from events")
     return with_base(f"""{quantile_ctes('qe', 'train_scored', 'p_default', _PSI_PROBS)},
 ev as (select p_default as v from train_scored where p_default is not null),
-av as (select time_bucket(interval {days} day, ts, timestamp '1970-01-01') as w, least(value / 500e0, 1e0) as v
-       from events),
+av as ({feed}),
 eb as (select {bins} as bin, count(*) as n from ev group by 1),
 ab as (select w, {bins} as bin, count(*) as n from av group by 1, 2),
 t as (select w, sum(n) as n from ab group by w),
@@ -226,6 +228,43 @@ def q_stream_psi_weekly(spark, d):
     return _window_psi(spark, d, 7)
 
 
+@register("stream_psi_rolling", _window_psi_sql(7, rolling=True))
+def q_stream_psi_rolling(spark, d):
+    """PSI of the events feed over every seven days, from counts that a foreachBatch sink keeps by batch."""
+    ref = TB.train_table(spark, d, "p_default")
+    edges = M.psi_edges(ref, "p_default")
+    shares = M.psi_table(ref, "p_default", ref, "p_default", edges=edges, checkpoint=False) \
+        .orderBy("bin").select("e_share").collect()
+    base = _scratch(spark, "psi-batches")
+    daily = ST.psi_batches(_event_stream(spark, d), edges, f"{base}/counts", f"{base}/checkpoint")
+    out = ST.psi_by_window(ST.rolling_counts(daily, 7), [r["e_share"] for r in shares])
+    return out.withColumn("window_start", F.date_format("window_start", "yyyy-MM-dd"))
+
+
+@register("stream_outcomes_matched", """
+select cast(event_id as varchar) as application_id,
+       case when event_id % 3 <> 0 and event_id % 15 - 2 between 0 and 10 then cast(event_id % 2 as integer) end as actual
+from events""")
+def q_stream_outcomes_matched(spark, d):
+    """Predictions and outcomes as two feeds of several files, joined within ten days: a third have no outcome, some have
+    one before the prediction or later than that."""
+    ev = TB.table(spark, d, "events")
+    at = F.col("ts").cast("timestamp")
+    preds = ev.select(at.alias("ts"), F.col("event_id").cast("string").alias("application_id"))
+    outcomes = ev.filter("event_id % 3 != 0").select(
+        F.col("event_id").cast("string").alias("application_id"),
+        (at + F.make_dt_interval((F.col("event_id") % 15 - 2).cast("int"))).alias("outcome_ts"), (F.col("event_id") % 2).cast("int").alias("actual"))
+    span = ev.agg(F.min(at).alias("low"), F.max(at).alias("high")).first()
+    bounds = [span["low"] + (span["high"] - span["low"]) * k / 3 for k in (1, 2)]
+    feeds = []
+    for df, ts in ((preds, "ts"), (outcomes, "outcome_ts")):
+        path = _scratch(spark, "feed")
+        ST.write_feed(df, path, ts, bounds, span["high"], "60 days")
+        feeds.append(spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(path))
+    joined = ST.join_outcome_streams(*feeds)
+    return ST.run_available(joined, name="matched").select("application_id", "actual")
+
+
 # ------------------------------------------------------------ file sources --
 
 @register("raw_csv_scan", """with """ + __import__("riskspark.plans.sqlbase", fromlist=["BASE_CTES"]).BASE_CTES + """

@@ -87,6 +87,70 @@ def join_outcomes_stream(preds: DataFrame, outcomes: DataFrame) -> DataFrame:
     return preds.filter(F.col("application_id").isNotNull()).join(outcomes, "application_id", "inner")
 
 
+def join_outcome_streams(preds: DataFrame, outcomes: DataFrame, within: str = "10 days", ts: str = "ts",
+                         outcome_ts: str = "outcome_ts", delay: str = "1 day") -> DataFrame:
+    """Each prediction with the outcome that came within ``within`` of it, or with NULLs once both
+    watermarks say that none can come any more.
+
+    Both sides are streams with a watermark, so the state holds a prediction for ``within`` plus the
+    delay at most, and an outcome no longer than that. An outcome before its prediction or after the interval does not
+    match. A NULL id moves the watermark and is left out."""
+    # naming the time keeps the filters behind the watermarks, which the rows that they drop have to move
+    left = preds.withWatermark(ts, delay).filter(F.col("application_id").isNotNull() | F.col(ts).isNull())
+    right = (outcomes.select(F.col("application_id").alias("_id"), F.col(outcome_ts), "actual")
+             .withWatermark(outcome_ts, delay).filter(F.col("_id").isNotNull() | F.col(outcome_ts).isNull()))
+    cond = ((F.col("application_id") == F.col("_id")) & (F.col(outcome_ts) >= F.col(ts))
+            & (F.col(outcome_ts) <= F.col(ts) + F.expr(f"interval {within}")))
+    return left.join(right, cond, "leftOuter").drop("_id")
+
+
+def write_feed(df: DataFrame, path: str, ts: str, bounds: list, last, later: str) -> None:
+    """``df`` as a feed of files in time order, cut at ``bounds``, and a last file with one row, all NULL but for a
+    time ``later`` than ``last``, which lets everything before it close."""
+    edges = [None, *bounds, None]
+    for low, high in zip(edges, edges[1:]):
+        part = df if low is None else df.filter(F.col(ts) >= F.lit(low))
+        part = part if high is None else part.filter(F.col(ts) < F.lit(high))
+        part.coalesce(1).write.mode("append").parquet(path)
+    at = F.lit(last).cast("timestamp") + F.expr(f"interval {later}")
+    row = [at.alias(ts) if f.name == ts else F.lit(None).cast(f.dataType).alias(f.name) for f in df.schema.fields]
+    df.sparkSession.range(1).select(*row).coalesce(1).write.mode("append").parquet(path)
+
+
+def psi_batches(preds: DataFrame, edges: list[float], path: str, checkpoint: str, ts: str = "ts") -> DataFrame:
+    """Counts of scores per (day, bin), kept by a ``foreachBatch`` sink: (day, bin, n) of all batches so far.
+
+    A batch is counted once and written to the folder of its id, which a batch delivered again after a restart
+    overwrites; counts of batches are added when they are read. So nothing is counted twice, late rows
+    count whenever they come, and no state is held in the stream."""
+    spark = preds.sparkSession
+    x = F.col("p_default").cast("double")
+    b = F.lit(0)
+    for e in edges:
+        b = b + F.when(x >= F.lit(float(e)), 1).otherwise(0)
+
+    def count(batch: DataFrame, batch_id: int) -> None:
+        (batch.filter(x.isNotNull()).groupBy(F.date_trunc("day", ts).alias("day"), b.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
+         .write.mode("overwrite").parquet(f"{path}/batch={batch_id}"))
+
+    q = preds.writeStream.foreachBatch(count).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    q.awaitTermination()
+    return read_psi_batches(spark, path)
+
+
+def read_psi_batches(spark: SparkSession, path: str) -> DataFrame:
+    counts = spark.read.schema("day timestamp, bin int, n long, batch long").parquet(path)
+    return counts.groupBy("day", "bin").agg(F.sum("n").alias("n"))
+
+
+def rolling_counts(daily: DataFrame, days: int) -> DataFrame:
+    """(window_start, bin, n) of the windows of ``days`` days that begin on each day: a day's counts go to the
+    windows it lies in, ``days`` rows a count."""
+    spread = (daily.withColumn("back", F.explode(F.sequence(F.lit(0), F.lit(days - 1))))
+              .select((F.col("day") - F.make_dt_interval(F.col("back"))).alias("window_start"), "bin", "n"))
+    return spread.groupBy("window_start", "bin").agg(F.sum("n").alias("n"))
+
+
 def psi_bin_counts(preds: DataFrame, edges: list[float], ts: str = "ts", delay: str = "1 day",
                    window: str = "1 day") -> DataFrame:
     """Streaming counts per (window, bin) against static reference edges."""

@@ -31,3 +31,31 @@ def test_end_marker_closes_every_window(spark):
     got = ST.run_available(ST.daily_windows(ST.with_end_marker(feed, last)), name="t-ended")
     want = ev.groupBy(F.date_format("ts", "yyyy-MM-dd").alias("date")).count()
     assert {r.date: r.n for r in got.collect()} == {r["date"]: r["count"] for r in want.collect()}
+
+
+def test_psi_batch_delivered_twice_counts_once(spark, tmp_path):
+    """The commit of a finished batch is lost: the restarted stream delivers it again, and the counts stay."""
+    feed = str(tmp_path / "feed")
+    ts = F.timestamp_seconds(F.lit(1_700_000_000) + F.col("id") * 3600)
+    for k in range(3):
+        spark.range(k * 100, k * 100 + 100).select(ts.alias("ts"), (F.col("id") % 97 / 97.0).alias("p_default")).coalesce(1).write.mode("append").parquet(feed)
+    stream = lambda: spark.readStream.schema("ts timestamp, p_default double").option("maxFilesPerTrigger", 1).parquet(feed)
+    run = lambda: sorted(ST.psi_batches(stream(), [0.3, 0.6], str(tmp_path / "counts"), str(tmp_path / "cp")).collect())
+    first = run()
+    assert sum(r.n for r in first) == 300
+    last = sorted((p for p in os.listdir(tmp_path / "cp" / "commits") if p.isdigit()), key=int)[-1]
+    for name in (last, f".{last}.crc"):
+        if (tmp_path / "cp" / "commits" / name).exists():
+            (tmp_path / "cp" / "commits" / name).unlink()
+    assert run() == first
+    batch = spark.read.parquet(feed).groupBy(F.date_trunc("day", "ts").alias("day"), ((F.col("p_default") >= 0.3).cast("int") + (F.col("p_default") >= 0.6).cast("int")).alias("bin")).agg(F.count(F.lit(1)).alias("n"))
+    assert sorted(batch.select("day", "bin", "n").collect()) == first
+
+
+def test_stream_join_gives_unmatched_predictions(spark):
+    import __spark_entry__ as E
+    got = E.queries()["stream_outcomes_matched"](spark, SF)
+    ev = spark.read.parquet(f"{SF}/events.parquet")
+    d = F.col("event_id") % 15 - 2
+    want = ev.select(F.col("event_id").cast("string"), F.when((F.col("event_id") % 3 != 0) & d.between(0, 10), (F.col("event_id") % 2).cast("int")))
+    assert sorted(map(repr, map(tuple, got.collect()))) == sorted(map(repr, map(tuple, want.collect())))
