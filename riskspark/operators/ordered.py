@@ -79,12 +79,15 @@ def materialize(df: DataFrame) -> DataFrame:
     """Write ``df`` as Parquet under ``spark.checkpoint.dir`` (shared storage on
     a cluster) and read it back: one job, the lineage is cut, later passes
     read columnar files (with column pruning) instead of re-running the
-    upstream plan, and a lost executor does not send them back through it."""
+    upstream plan, and a lost executor does not send them back through it.
+    The files go when the application ends."""
     import uuid
     from riskspark.session import ensure_checkpoint_dir
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/mat-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
+    written = spark._jvm.org.apache.hadoop.fs.Path(path)
+    written.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(written)
     return spark.read.parquet(path)
 
 

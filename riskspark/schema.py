@@ -104,13 +104,7 @@ LOGLOSS_EPS = 2.220446049250313e-16
 RISK_BANDS = [(0.10, "Low risk"), (0.25, "Moderate risk"), (0.50, "Elevated risk")]
 RISK_BAND_TOP = "High risk"
 
-# Published default rate per grade and the test-population base rate used as
-# context for a model's probability; agreement means |delta| < 3 pp.
-GRADE_BASE_RATES = {
-    "A": 0.0670, "B": 0.1465, "C": 0.2423, "D": 0.3230,
-    "E": 0.4007, "F": 0.4642, "G": 0.5111,
-}
-POPULATION_BASE_RATE = 0.272
+# Agreement of two rates means |delta| < 3 pp.
 GRADE_AGREE_PP = 0.03
 
 # FICO buckets for the default-rate profile: right-closed bins on these edges.
