@@ -8,8 +8,7 @@ backpropagation through time with Adam, on windows of ``TRAIN_WINDOW`` bytes.
 
 Training rows: per language about ``TRAIN_DOCS`` documents, those with the smallest
 hash of their id, ``TRAIN_CUTS`` windows of each at hashed places (documented
-bounds of the fit); languages beyond the ``MAX_LANGS`` most frequent are not
-learned. Prediction reads all bytes of all texts.
+bounds of the fit); every language that the rows have is learned. Prediction reads all bytes of all texts.
 
 Defined cases: a null text, or one without a letter, is ``und`` with score 0, as
 is every text if nothing could be learned; a null id counts as the empty string in the
@@ -27,7 +26,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskspark.llm.common import table, text_or_empty
+from riskspark.llm.common import narrow, table, text_or_empty
 
 HIDDEN = 8
 WINDOW = 128
@@ -37,7 +36,6 @@ TRAIN_DOCS = 400
 TRAIN_CUTS = 6
 TRAIN_STEPS = 400
 TRAIN_BATCH = 256
-MAX_LANGS = 256
 #: A text whose best language has a lower mean probability is rejected by the filter.
 MIN_SCORE = 0.35
 
@@ -218,13 +216,13 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     rows = (docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("content"), F.col(lang_col).alias("y"),
                         remainder(id_col).alias("part"))
             .filter((F.col("part") != 2) & F.col("y").isNotNull() & F.col("content").rlike(r"\p{L}")))
-    sizes = rows.groupBy("y").count().orderBy(F.desc("count"), "y").limit(MAX_LANGS)
+    sizes = rows.groupBy("y").count()
     n = sizes.count()
     if not n:
         return None
     # a hash's place among its language's rows is about its share of the range times their count
     unit = F.shiftrightunsigned(F.xxhash64("id", F.lit(7)), 11).cast("double") / float(1 << 53)
-    sample = (rows.join(F.broadcast(sizes), "y").withColumn("place", unit * F.col("count"))
+    sample = (rows.join(narrow(sizes, n), "y").withColumn("place", unit * F.col("count"))
               .filter(F.col("place") <= 2 * TRAIN_DOCS).select("y", "content", "place", "id")
               .orderBy("place", "id").limit(n * TRAIN_DOCS))
     room = F.greatest(F.length("content") - TRAIN_WINDOW, F.lit(1))
