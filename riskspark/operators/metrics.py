@@ -38,7 +38,10 @@ def score_groups(df: DataFrame, y: str = "default", s: str = "p_default",
 
 def _ranked(df: DataFrame, y: str, s: str, by, checkpoint: bool = True) -> DataFrame:
     """Distinct scores with ascending running pos/neg and group totals P/N."""
-    g = score_groups(df, y, s, by)
+    return _running(score_groups(df, y, s, by), by, checkpoint)
+
+
+def _running(g: DataFrame, by, checkpoint: bool = True) -> DataFrame:
     pre = ordered_prefix(g, "_s", {"pos": "_pos", "neg": "_neg"}, by=by, checkpoint=checkpoint)
     tot = g.groupBy(*by).agg(F.sum("_pos").alias("_P"), F.sum("_neg").alias("_N"))
     if by:
@@ -56,8 +59,14 @@ def rank_metrics(df: DataFrame, y: str = "default", s: str = "p_default",
     ``df`` is already materialized (the grouped scores are then cheap to
     recompute for the cut-point pass).
     """
+    return rank_from_counts(score_groups(df, y, s, by), by, checkpoint)
+
+
+def rank_from_counts(g: DataFrame, by: list[str] | tuple[str, ...] = (), checkpoint: bool = True) -> DataFrame:
+    """:func:`rank_metrics` of collapsed rows: one row a (group, score ``_s``)
+    with its positive and negative counts ``_pos`` and ``_neg`` (doubles)."""
     by = list(by)
-    r = _ranked(df, y, s, by, checkpoint)
+    r = _running(g, by, checkpoint)
     P, N = F.col("_P"), F.col("_N")
     auc_term = F.col("_pos") * (F.col("cum_neg") - 0.5 * F.col("_neg"))
     tp = P - F.col("cum_pos") + F.col("_pos")          # rows with score >= s that are positive

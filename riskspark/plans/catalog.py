@@ -19,7 +19,7 @@ from riskspark.operators import metrics as M
 from riskspark.operators import monitor as MON
 from riskspark.operators import profile as PR
 from riskspark.operators.ordered import materialize, row_rank
-from riskspark.operators.prepare import curate_counts, recent_years, time_split
+from riskspark.operators.prepare import clean_checked, curate_counts, recent_years, time_split
 from riskspark.operators.scoring import FROZEN_SCORECARD
 from riskspark.functions.bands import risk_band
 from riskspark.functions.exact import grid_mean
@@ -208,7 +208,7 @@ def q_curate_counts(spark, d):
 
 @register("clean_loans", with_base("select * from cleaned"))
 def q_clean_loans(spark, d):
-    return TB.cleaned(spark, d, validate=True)
+    return clean_checked(TB.curated(spark, d))
 
 
 @register("interactions", with_base(

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -56,6 +57,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return d
 
 
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new path in the checkpoint folder, deleted when the application ends."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    made = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = made.getFileSystem(spark._jsc.hadoopConfiguration())
+    system.mkdirs(made)  # only what exists can be marked
+    system.deleteOnExit(made)
+    return path
+
+
 def apply_session_defaults(spark: SparkSession) -> SparkSession:
     """Pin the settings results depend on (time zone) on a caller's session."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
