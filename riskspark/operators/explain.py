@@ -9,8 +9,9 @@ filtered, sorted and sliced inside one projection (no shuffle).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from riskspark.operators.scoring import Scorecard
 from riskspark.schema import FEATURE_LABELS, GRADE_AGREE_PP
@@ -22,6 +23,16 @@ def feature_label(name: str) -> str:
     return FEATURE_LABELS.get(name, name)
 
 
+def json_safe(df: DataFrame, name: str) -> Column:
+    """The column as the string a JSON value is made of: numbers as doubles, NaN
+    and infinities as NULL (JSON has neither), text, booleans and dates as they read."""
+    kind, x = df.schema[name].dataType, F.col(name)
+    if isinstance(kind, T.NumericType):
+        x = x.cast("double")
+        return F.when(~F.isnan(x) & (F.abs(x) < float("inf")), x.cast("string"))
+    return x.cast("string")
+
+
 def scorecard_contributions(card: Scorecard, df: DataFrame, train: DataFrame) -> DataFrame:
     """Append ``contributions`` (array of (pos, feature, label, value, contribution))
     and ``bias``; training means come from one aggregate over ``train``."""
@@ -32,7 +43,7 @@ def scorecard_contributions(card: Scorecard, df: DataFrame, train: DataFrame) ->
         contrib = F.lit(float(t.coef)) * (card.value(t) - F.lit(float(means[t.feature] or 0.0)))
         items.append(F.struct(F.lit(pos).alias("pos"), F.lit(t.feature).alias("feature"),
                               F.lit(feature_label(t.feature)).alias("label"),
-                              F.col(t.feature).cast("double").cast("string").alias("value"),
+                              json_safe(df, t.feature).alias("value"),
                               contrib.alias("contribution")))
     return df.withColumn("contributions", F.array(*items)).withColumn("bias", F.lit(float(bias)))
 

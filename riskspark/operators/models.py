@@ -16,14 +16,14 @@ from __future__ import annotations
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
 from pyspark.ml.feature import (
-    OneHotEncoder, SQLTransformer, StandardScaler, StringIndexer, VectorAssembler,
+    OneHotEncoder, OneHotEncoderModel, SQLTransformer, StandardScaler, StringIndexer, StringIndexerModel, VectorAssembler,
 )
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from riskspark.operators.ordered import exact_quantiles
 from riskspark.operators.profile import long_values
-from riskspark.schema import CATEGORICAL_COLS, DEFAULT_PARAMS, TARGET
+from riskspark.schema import CATEGORICAL_COLS, DEFAULT_PARAMS, INTERACTION_COLS, TARGET
 
 WEIGHT = "_weight"
 
@@ -195,3 +195,28 @@ def feature_importance(model: PipelineModel, top_n: int | None = None):
     rows = sorted(zip(feature_names(model), imp), key=lambda r: (-r[1], r[0]))
     df = spark.createDataFrame(rows, "feature string, importance double")
     return df.limit(top_n) if top_n else df
+
+
+def coefficient_table(model: PipelineModel, top_n: int = 15) -> DataFrame:
+    """Coefficients of a fitted logistic pipeline by absolute size (ties by
+    name): rank, feature, coefficient, abs_coefficient, is_interaction, and
+    top_share, the share of interactions among the first ``top_n``. A level is named
+    ``column=level``, levels unseen in training ``column=(other)``. One row a coefficient."""
+    levels = {s.getOutputCol(): s.labels for s in model.stages if isinstance(s, StringIndexerModel)}
+    names: list[str] = []
+    nums, last = [s for s in model.stages if isinstance(s, VectorAssembler)][0], model.stages[-1]
+    names += [c.split("__")[0] for c in nums.getInputCols()]
+    for s in model.stages:
+        if isinstance(s, OneHotEncoderModel):
+            for source, size in zip(s.getInputCols(), s.categorySizes):
+                known = [f"{source.split('__')[0]}={v}" for v in levels[source]]
+                names += known + [f"{source.split('__')[0]}=(other)"] * (size - len(known))
+    values = last.coefficients.toArray().tolist()
+    if len(names) != len(values):
+        raise ValueError(f"{len(values)} coefficients for {len(names)} features")
+    ordered = sorted(zip(names, values), key=lambda r: (-abs(r[1]), r[0]))
+    top = ordered[:top_n]
+    share = sum(n in INTERACTION_COLS for n, _ in top) / max(len(top), 1)
+    rows = [(i + 1, n, v, abs(v), n in INTERACTION_COLS, share) for i, (n, v) in enumerate(ordered)]
+    return SparkSession.active().createDataFrame(
+        rows, "rank int, feature string, coefficient double, abs_coefficient double, is_interaction boolean, top_share double")

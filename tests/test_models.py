@@ -78,3 +78,24 @@ def test_time_series_folds_and_trials(spark):
     assert years == sorted(years)
     t = sample_trials(15)
     assert len(t) == 15 and t[0]["n_estimators"] == 400 and len({tuple(sorted(x.items())) for x in t[1:]}) == 14
+
+
+def test_coefficients_by_size(spark):
+    from riskspark.operators.models import coefficient_table
+    from riskspark.schema import INTERACTION_COLS
+    rows = [(float(i % 7), float(i % 5), "ab"[i % 2], int(i % 7 > 3)) for i in range(200)]
+    df = spark.createDataFrame(rows, "dti double, loan_to_income double, grade string, `default` int")
+    table = coefficient_table(fit_lr(df, ["dti", "loan_to_income", "grade"]), top_n=2).collect()
+    assert table[0].feature == "dti" and table[0].coefficient > 0
+    assert {r.feature for r in table} == {"dti", "loan_to_income", "grade=a", "grade=b", "grade=(other)"}
+    assert [r.abs_coefficient for r in table] == sorted((abs(r.coefficient) for r in table), reverse=True)
+    assert table[0].top_share == sum(r.feature in INTERACTION_COLS for r in table[:2]) / 2
+
+
+def test_json_safe_of_every_type(spark):
+    import datetime as dt
+    from riskspark.operators.explain import json_safe
+    df = spark.createDataFrame([(float("nan"), 3, "x", True, dt.date(2026, 1, 2)), (float("inf"), None, None, None, None), (1.5, 4, "y", False, None)],
+                               "a double, b int, c string, d boolean, e date")
+    got = [tuple(r) for r in df.select(*[json_safe(df, c) for c in df.columns]).collect()]
+    assert got == [(None, "3.0", "x", "true", "2026-01-02"), (None, None, None, None, None), ("1.5", "4.0", "y", "false", None)]
