@@ -5,7 +5,7 @@ holds, per fingerprint, a declarative mapping to canonical turns
 (conv_id, turn, role, text): which column or array gives the turns, which field
 the role and which the text. ``canonical_turns`` fingerprints the schema of a
 whole table; ``canonical_json`` fingerprints every row of a column of JSON
-texts (``schema_of_variant``), so that rows of several layouts mix in one table.
+texts (the paths of its variant value), so that rows of several layouts mix in one table.
 A layout without mapping is not guessed: the table raises, a JSON row gets
 ``layout`` null and no turns.
 
@@ -87,6 +87,9 @@ LAYOUTS = (
             fields=(("user", ("instruction", "input")), ("assistant", ("output",)))),
 )
 MAPPINGS = {fingerprint(list(m.paths)): m for m in LAYOUTS}
+#: Lists of turns with the paths that layouts read from them, and all paths that a JSON row's fingerprint is made of.
+LISTS = {m.turns: [p for x in LAYOUTS if x.turns == m.turns for p in x.paths if p != "conv_id"] for m in LAYOUTS if m.turns}
+VOCABULARY = sorted({p for m in LAYOUTS if not m.rows for p in m.paths} - {"conv_id"} | {f"{name}[]" for name in LISTS})
 #: Roles of other layouts under their canonical names.
 ROLES = {"human": "user", "gpt": "assistant", "bot": "assistant", "model": "assistant"}
 
@@ -126,23 +129,49 @@ def canonical_turns(df: DataFrame, drop_unknown: bool = False) -> DataFrame:
     return df.select("conv_id", F.inline(_turns(m, F.col)))
 
 
+def _json_paths(body: Column) -> Column:
+    """The field paths of a JSON object that layouts know, sorted. An empty or null list has all fields that
+    layouts read from it; an element that is no object gives the path of the list itself."""
+    keys = F.coalesce(F.map_keys(F.try_variant_get(body, "$", "map<string,variant>")), F.array().cast("array<string>"))
+    paths = F.filter(keys, lambda k: ~k.isin(*LISTS))
+    for name, known in LISTS.items():
+        inner = F.flatten(F.transform(_elements(body, name), lambda x: F.coalesce(
+            F.transform(F.map_keys(F.try_variant_get(x, "$", "map<string,variant>")), lambda k: F.concat(F.lit(f"{name}[]."), k)),
+            F.array(F.lit(f"{name}[]")))))
+        empty = F.coalesce(F.size(_elements(body, name)), F.lit(0)) <= 0
+        found = F.when(empty, F.array(*[F.lit(p) for p in known])).otherwise(inner)
+        paths = F.concat(paths, F.when(F.array_contains(keys, name), found).otherwise(F.array().cast("array<string>")))
+    return F.array_sort(F.array_intersect(paths, F.array(*[F.lit(p) for p in VOCABULARY])))
+
+
+def _elements(body: Column, name: str) -> Column:
+    return F.try_variant_get(body, f"$.{name}", "array<variant>")
+
+
 def canonical_json(df: DataFrame, payload: str, id_col: str = "conv_id") -> DataFrame:
-    """``id_col``, ``layout`` and ``turns`` of every row; each row's JSON text has a layout of its own."""
+    """``id_col``, ``layout`` and ``turns`` of every row; each row's JSON text has a layout of its own.
+
+    The fingerprint is that of the row's paths alone: value types, nulls and keys that no layout has don't
+    count. A value that is no string is its JSON text, a null or absent one the empty text; an empty
+    or null list gives a layout and no turns. A row with paths of several layouts at once, or
+    with an element of a list that is no object, has no layout."""
     body = F.try_parse_json(F.col(payload))
-    with_shape = df.select(F.col(id_col), body.alias("_body")).withColumn("_shape", F.schema_of_variant("_body"))
+    shape = F.substr(F.sha2(F.array_join(_json_paths(F.col("_body")), "\n"), 256), F.lit(1), F.lit(16))
+    with_shape = df.select(F.col(id_col), body.alias("_body")).withColumn("_shape", shape)
+    none = F.array().cast("array<struct<turn:long,role:string,text:string>>")
     pick_name, pick_turns = F.lit(None).cast("string"), F.lit(None).cast("array<struct<turn:long,role:string,text:string>>")
     for m in LAYOUTS:
         if m.rows:
             continue
-        tops = sorted({p.split("[")[0] for p in m.paths} - {"conv_id"})
-        if m.turns:
-            shape = f"OBJECT<{m.turns}: ARRAY<OBJECT<" + ", ".join(f"{f}: STRING" for f in sorted((m.role, m.text))) + ">>>"
-            kind = f"array<struct<{m.role}:string,{m.text}:string>>"
-        else:
-            shape, kind = "OBJECT<" + ", ".join(f"{t}: STRING" for t in tops) + ">", "string"
-        hit = F.xxhash64("_shape") == F.xxhash64(F.lit(shape))
-        turns = _turns(m, lambda c, kind=kind: F.try_variant_get("_body", f"$.{c}", kind))
-        pick_name, pick_turns = F.when(hit, m.name).otherwise(pick_name), F.when(hit, turns).otherwise(pick_turns)
+
+        def get(c, m=m):
+            if not m.turns:
+                return F.try_variant_get("_body", f"$.{c}", "string")
+            return F.transform(_elements(F.col("_body"), c), lambda x: F.struct(
+                *[F.try_variant_get(x, f"$.{f}", "string").alias(f) for f in (m.role, m.text)]))
+        hit = F.col("_shape") == fingerprint([p for p in m.paths if p != "conv_id"])
+        pick_name = F.when(hit, m.name).otherwise(pick_name)
+        pick_turns = F.when(hit, F.coalesce(_turns(m, get), none)).otherwise(pick_turns)
     return with_shape.select(id_col, pick_name.alias("layout"), pick_turns.alias("turns"))
 
 
@@ -195,8 +224,8 @@ def read_back(formatted: DataFrame) -> DataFrame:
 
 def op4_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversations and conversation -1, formatted and read back."""
-    kinds = "conv_id long, turn long, role string, text string"
-    own = spark.createDataFrame([(-1, 0, "user", SPECIAL), (-1, 1, "assistant", SPECIAL)], kinds)
+    own = spark.range(2).select(F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+                                F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(SPECIAL).alias("text"))
     given = canonical_turns(table(spark, sf_dir, "conversations"), drop_unknown=True)
     back = read_back(render(given.unionByName(canonical_turns(own))))
     text = F.array_join(F.transform("turns", lambda x: F.concat(x["role"], F.lit("\n"), x["text"], F.lit("\n"))), "")

@@ -140,6 +140,26 @@ def test_chat_layouts(spark):
         chat_format.canonical_turns(spark.createDataFrame([(1, 2)], "x int, y int"))
 
 
+def test_json_rows_are_not_lost(spark):
+    qr = [("user", "q"), ("assistant", "r")]
+    made = [("prompt_response", '{"prompt": "q", "response": null}', [("user", "q"), ("assistant", "")]),
+            ("prompt_response", '{"prompt": "q", "response": "r", "id": 7, "name": {"a": []}}', qr),
+            ("prompt_response", '{"prompt": 5, "response": true}', [("user", "5"), ("assistant", "true")]),
+            ("messages", '{"messages": []}', []), ("messages", '{"messages": null}', []),
+            ("messages", '{"messages": [{"role": "user", "content": "q", "id": 1}, {"content": "r", "role": "assistant"}], "meta": 1}', qr),
+            ("messages", '{"messages": [{"role": "user", "content": "q"}, {"role": "assistant", "content": null}, {"role": "assistant"}]}',
+             [("user", "q"), ("assistant", ""), ("assistant", "")]),
+            ("from_value", '{"conversations": [{"from": "human", "value": "q", "weight": null}, {"from": "gpt", "value": "r"}]}', qr),
+            (None, '{"messages": ["q"]}', None), (None, '{"messages": [{"role": "user"}]}', None), (None, '["q"]', None),
+            (None, '{"prompt": "q", "response": "r", "completion": "r"}', None), (None, "{}", None), (None, "3", None), (None, "", None)]
+    df = spark.createDataFrame([(i, j) for i, (_, j, _) in enumerate(made)], "conv_id long, payload string").withColumn("layout", F.lit("x"))
+    got = chat_format.canonical_json(df, "payload").orderBy("conv_id").collect()
+    assert [r["layout"] for r in got] == [m for m, _, _ in made]
+    for r, (_, _, turns) in zip(got, made):
+        assert (r["turns"] is None) == (turns is None)
+        assert turns is None or [(t["role"], t["text"]) for t in r["turns"]] == turns
+
+
 def test_search_edges(spark):
     inf, nan = float("inf"), float("nan")
     rows = [(0, [1.0, 0.0]), (50, [1.0, 0.0]), (3, [1.0, 0.0]), (4, [0.0, 1.0]), (5, None), (6, [0.0, 0.0]), (7, [nan, 1.0]), (8, [inf, 1.0]),
