@@ -8,7 +8,9 @@ Each level of a tree is one Spark job (a table of one partition, which has nothi
 stage of trees): every task adds up gradients and hessians by (node, feature, bin)
 over its rows, the sums are merged by a tree reduce, and the best split of each node is read from them; a leaf's
 value follows from its parent's sums. What a job sends is bounded by nodes x features x bins, whatever
-the number of rows. A round draws its rows by a hash of their key, so a recomputed task draws the same ones.
+the number of rows. The rows are kept with their margins, which the first job of a round moves on by the last tree, so
+that no job works a finished tree out again, and they are dealt to as many tasks as can run at once.
+A round draws its rows by a hash of their key, so a recomputed task draws the same ones.
 
 After each ``STAGE`` rounds the new trees are appended to the fit's folder. A fit that is called again on that
 folder (after a lost driver, say) reads the trees, works the margins out again in one pass, and goes on with
@@ -24,6 +26,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,8 +37,10 @@ from riskspark.schema import DEFAULT_PARAMS, TARGET
 BINS = 64
 #: Rounds between two writes of the trees.
 STAGE = 20
-#: Rows of a partition of the binned table (about).
+#: Rows of a partition of the binned table at most (about).
 ROWS_PER_PARTITION = 250_000
+#: Rows of a partition below which more tasks don't shorten a job.
+LEAST_ROWS = 25_000
 #: Partitions beyond which the sums are merged in two steps.
 FLAT_MERGE = 16
 
@@ -95,15 +100,17 @@ class Tree:
 
     def nodes(self, codes: np.ndarray) -> np.ndarray:
         """The node that each row ends in."""
-        at, rows = np.zeros(len(codes), np.int64), np.arange(len(codes))
-        while True:
-            f = self.feature[at]
-            inner = f >= 0
-            if not inner.any():
-                return at
-            b = codes[rows, np.maximum(f, 0)]
-            left = np.where(b == 0, self.missing_left[at], b <= self.bin[at])
-            at = np.where(inner, 2 * at + 2 - left, at)
+        at = np.zeros(len(codes), np.int64)
+        while (self.feature[at] >= 0).any():
+            at = self.further(codes, at)
+        return at
+
+    def further(self, codes: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """The nodes one level below ``at``; rows in a leaf stay there."""
+        f = self.feature[at]
+        b = codes[np.arange(len(codes)), np.maximum(f, 0)]
+        left = np.where(b == 0, self.missing_left[at], b <= self.bin[at])
+        return np.where(f >= 0, 2 * at + 2 - left, at)
 
 
 @dataclass
@@ -190,23 +197,42 @@ def drawn(keys: np.ndarray, seed: int, round_: int, share: float) -> np.ndarray:
     return (x ^ (x >> np.uint64(31))) < np.uint64(min(share * 2**64, 2**64 - 1))
 
 
-def level_sums(block: dict, trees: list[Tree], growing: Tree, level: int, features: list[int], bins: int, seed: int,
-               round_: int, share: float) -> np.ndarray:
-    """Gradients and hessians of a block's rows: [node of the level, feature, bin, 2]."""
-    codes, y, w = block["codes"], block["y"], block["w"]
+def gradients(block: dict, seed: int, round_: int, share: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Codes, gradients and hessians of the rows that a round takes."""
+    use = drawn(block["key"], seed, round_, share)
+    y, w = block["y"][use], block["w"][use]
+    p = 1 / (1 + np.exp(-block["margin"][use]))
+    return block["codes"][use], w * (p - y), w * p * (1 - p)
+
+
+def node_sums(codes: np.ndarray, g: np.ndarray, h: np.ndarray, at: np.ndarray, level: int, features: list[int], bins: int) -> np.ndarray:
+    """Gradients and hessians of rows in the nodes ``at``: [node of the level, feature, bin, 2]."""
+    n_nodes = 2 ** level
+    node = at - (n_nodes - 1)
+    if (node < 0).any():  # leaves further up
+        here = node >= 0
+        codes, g, h, node = codes[here], g[here], h[here], node[here]
+    first = node * bins
+    out = np.empty((n_nodes, len(features), bins, 2))
+    for i, f in enumerate(features):
+        place = first + codes[:, f]
+        for j, x in enumerate((g, h)):
+            out[:, i, :, j] = np.bincount(place, x, n_nodes * bins).reshape(n_nodes, bins)
+    return out
+
+
+def level_sums(block: dict, growing: Tree, level: int, features: list[int], bins: int, seed: int, round_: int, share: float) -> np.ndarray:
+    """``node_sums`` of a block's rows in a level of ``growing``."""
+    codes, g, h = gradients(block, seed, round_, share)
+    return node_sums(codes, g, h, growing.nodes(codes), level, features, bins)
+
+
+def moved(block: dict, trees: list[Tree]) -> dict:
+    """The block with the margins after ``trees``."""
     margin = block["margin"].copy()
-    for t in trees:  # those of this stage, whose values the block's margins lack
-        margin += t.value[t.nodes(codes)]
-    first, n_nodes = 2 ** level - 1, 2 ** level
-    node = growing.nodes(codes) - first
-    use = drawn(block["key"], seed, round_, share) & (node >= 0) & (node < n_nodes)
-    p = 1 / (1 + np.exp(-margin[use]))
-    g, h = w[use] * (p - y[use]), w[use] * p * (1 - p)
-    at = (node[use, None] * len(features) + np.arange(len(features))) * bins + codes[use][:, features]
-    size = n_nodes * len(features) * bins
-    each = len(features)
-    sums = [np.bincount(at.ravel(), np.repeat(x, each), size) for x in (g, h)]
-    return np.stack(sums, axis=-1).reshape(n_nodes, len(features), bins, 2)
+    for t in trees:
+        margin += t.value[t.nodes(block["codes"])]
+    return {**block, "margin": margin}
 
 
 def best_splits(sums: np.ndarray, lam: float, gamma: float, min_weight: float) -> list[tuple | None]:
@@ -263,6 +289,8 @@ def fit_boosted(train: DataFrame, features: list[str], y: str = TARGET, params:
     if not stats["n"] or stats["low"] == stats["high"]:
         return BoostedTrees(binning, [])
     n_parts = max(1, math.ceil(stats["n"] / ROWS_PER_PARTITION))
+    if n_parts > 1:
+        n_parts = max(n_parts, min(spark.sparkContext.defaultParallelism, stats["n"] // LEAST_ROWS))
 
     trees: list[Tree] = []
     done = 0
@@ -275,14 +303,11 @@ def fit_boosted(train: DataFrame, features: list[str], y: str = TARGET, params:
         part = list(part)
         if part:
             codes = np.frombuffer(b"".join(bytes(r[3]) for r in part), np.uint8).reshape(len(part), width)
-            margin = np.zeros(len(part))
-            for t in known.value:
-                margin += t.value[t.nodes(codes)]
-            yield {"codes": codes, "y": np.array([r[0] for r in part]), "w": np.array([r[1] for r in part]),
-                   "key": np.array([r[2] for r in part], np.int64), "margin": margin}
+            yield moved({"codes": codes, "y": np.array([r[0] for r in part]), "w": np.array([r[1] for r in part]),
+                         "key": np.array([r[2] for r in part], np.int64), "margin": np.zeros(len(part))}, known.value)
 
     packed = rows.select("y", "w", "key", "codes")
-    blocks = packed.repartition(n_parts, "key").rdd.mapPartitions(block).persist()
+    blocks = packed.repartition(n_parts, "key").rdd.mapPartitions(block).persist(StorageLevel.MEMORY_AND_DISK)
     last = min(int(p["n_estimators"]), stop_after or 10**9)
     try:
         while done < last:
@@ -290,10 +315,7 @@ def fit_boosted(train: DataFrame, features: list[str], y: str = TARGET, params:
             if n_parts == 1:
                 stage = blocks.map(lambda b: stage_of_one(b, done, end, width, p, seed)).collect()[0]  # noqa: B023
             else:
-                stage = []
-                for round_ in range(done, end):
-                    features = picked(width, p, seed, round_)
-                    stage.append(grown(merged(blocks, stage, features, p, seed, round_, n_parts), features, p))
+                stage = stage_of_many(blocks, done, end, width, p, seed, n_parts)
             write_trees(spark, f"{store}/stage-{done:05d}", stage, done)
             trees += stage
             done += len(stage)
@@ -306,13 +328,7 @@ def fit_boosted(train: DataFrame, features: list[str], y: str = TARGET, params:
 
 def moved_on(blocks, stage: list[Tree]):
     """The blocks with the margins after ``stage``."""
-    def forward(b: dict) -> dict:
-        margin = b["margin"].copy()
-        for t in stage:
-            margin += t.value[t.nodes(b["codes"])]
-        return {**b, "margin": margin}
-
-    new = blocks.map(forward).persist()
+    new = blocks.map(lambda b: moved(b, stage)).persist(StorageLevel.MEMORY_AND_DISK)
     new.count()
     blocks.unpersist()
     return new
@@ -324,25 +340,53 @@ def picked(width: int, p: dict, seed: int, round_: int) -> list[int]:
     return sorted(np.random.default_rng([seed, round_]).permutation(width)[:n].tolist())
 
 
-def merged(blocks, stage: list[Tree], features: list[int], p: dict, seed: int, round_: int, n_parts: int):
-    """How a tree that all partitions work on gets the sums of a level: one job."""
-    trees, share = list(stage), float(p["subsample"])
+def stage_of_many(blocks, first: int, last: int, width: int, p: dict, seed: int, n_parts: int) -> list[Tree]:
+    """The trees of rounds ``first`` to ``last`` (without) that all partitions work on. The blocks of a round are those
+    of the round before with its tree in their margins, kept when the round's first job makes them."""
+    out: list[Tree] = []
+    now, share = blocks, float(p["subsample"])
+    try:
+        for round_ in range(first, last):
+            features, before = picked(width, p, seed, round_), now
+            if out:
+                now = following(before, out[-1])
+
+            def sums_at(tree: Tree, level: int) -> np.ndarray:
+                summed = now.map(lambda b: level_sums(b, tree, level, features, BINS + 1, seed, round_, share))  # noqa: B023
+                sums = summed.treeReduce(np.add, 2) if n_parts > FLAT_MERGE else np.sum(summed.collect(), axis=0)
+                if not level and before is not blocks:  # noqa: B023
+                    before.unpersist()  # noqa: B023
+                return sums
+
+            out.append(grown(sums_at, features, p))
+    finally:
+        if now is not blocks:
+            now.unpersist()
+    return out
 
-    def sums_at(tree: Tree, level: int) -> np.ndarray:
-        summed = blocks.map(lambda b: level_sums(b, trees, tree, level, features, BINS + 1, seed, round_, share))
-        return summed.treeReduce(np.add, 2) if n_parts > FLAT_MERGE else np.sum(summed.collect(), axis=0)
-    return sums_at
+
+def following(blocks, tree: Tree):
+    """The blocks with the margins after ``tree``, kept when first read."""
+    return blocks.map(lambda b: moved(b, [tree])).persist(StorageLevel.MEMORY_AND_DISK)
 
 
 def stage_of_one(block: dict, first: int, last: int, width: int, p: dict, seed: int) -> list[Tree]:
     """The trees of rounds ``first`` to ``last`` (without) where one partition, of ``ROWS_PER_PARTITION`` rows at most,
     holds the table: there is nothing to merge, so one job grows the whole stage."""
-    block, out = dict(block), []
+    out: list[Tree] = []
     for round_ in range(first, last):
         features = picked(width, p, seed, round_)
-        sums_at = lambda tree, level: level_sums(block, [], tree, level, features, BINS + 1, seed, round_, float(p["subsample"]))  # noqa: B023, E731
+        codes, g, h = gradients(block, seed, round_, float(p["subsample"]))
+        at = np.zeros(len(g), np.int64)
+
+        def sums_at(tree: Tree, level: int) -> np.ndarray:
+            nonlocal at
+            if level:
+                at = tree.further(codes, at)  # noqa: B023
+            return node_sums(codes, g, h, at, level, features, BINS + 1)  # noqa: B023
+
         out.append(grown(sums_at, features, p))
-        block["margin"] = block["margin"] + out[-1].value[out[-1].nodes(block["codes"])]
+        block = moved(block, out[-1:])
     return out
 
 

@@ -56,6 +56,37 @@ def test_partitions_give_the_same_trees(spark, loans, monkeypatch):
     assert same(one, B.fit_boosted(loans, FEATURES, params={"n_estimators": 3}).trees)
 
 
+def test_rows_go_to_as_many_tasks_as_can_run(spark, loans, monkeypatch):
+    one = B.fit_boosted(loans, FEATURES, params={"n_estimators": 3}).trees
+    monkeypatch.setattr(B, "ROWS_PER_PARTITION", 800)
+    monkeypatch.setattr(B, "LEAST_ROWS", 100)
+    spark.sparkContext.setJobGroup("dealt", "")
+    try:
+        many = B.fit_boosted(loans, FEATURES, params={"n_estimators": 3}).trees
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    tracker = spark.sparkContext.statusTracker()
+    last = [max(tracker.getJobInfo(j).stageIds) for j in tracker.getJobIdsForGroup("dealt")]
+    tasks = [tracker.getStageInfo(i).numTasks for i in last]
+    assert same(one, many) and tasks.count(4) >= 3 * 3  # a level is a job of four tasks, not two
+
+
+def test_levels_take_the_margins_from_the_blocks(spark):
+    rng = np.random.default_rng(3)
+    block = {"codes": rng.integers(0, 5, (50, 2)).astype(np.uint8), "y": rng.integers(0, 2, 50).astype(float), "w": np.ones(50),
+             "key": rng.integers(0, 2**60, 50), "margin": np.zeros(50)}
+    tree = B.Tree.empty(1)
+    tree.feature[0], tree.bin[0], tree.value[1], tree.value[2] = 1, 2, 0.5, -0.25
+    held = B.following(spark.sparkContext.parallelize([block], 1), tree)
+    margin = np.where(block["codes"][:, 1] == 0, -0.25, np.where(block["codes"][:, 1] <= 2, 0.5, -0.25))
+    assert np.allclose(held.collect()[0]["margin"], margin) and held.is_cached
+    sums = held.map(lambda b: B.level_sums(b, B.Tree.empty(1), 0, [0, 1], 6, 1, 0, 1.0)).collect()[0]
+    g = 1 / (1 + np.exp(-margin)) - block["y"]
+    for f in (0, 1):
+        assert np.allclose(sums[0, f, :, 0], np.bincount(block["codes"][:, f], g, 6))
+    held.unpersist()
+
+
 def test_fit_resumes_where_it_stopped(spark, loans, tmp_path, monkeypatch):
     monkeypatch.setattr(B, "STAGE", 4)
     whole = B.fit_boosted(loans, FEATURES, params={"n_estimators": 10}, store=str(tmp_path / "whole"))
