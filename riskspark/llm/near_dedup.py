@@ -293,7 +293,8 @@ def rare_buckets(nodes: DataFrame, texts: DataFrame, parts: DataFrame) -> DataFr
     """(bucket, node, mates, n_runs, place, size) for the first runs of each of ``nodes`` (node, mates), in an
     order of all runs: those of one component first (they make no pair), then the rarer, then the
     smaller. Two texts with a Jaccard index of ``SIMILARITY`` have a common run among them.
-    Members that have no room for that index with the shortest of the bucket are left out."""
+    Members that have no room for that index with any text at least as long as the shortest of the bucket
+    are left out."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -316,7 +317,9 @@ def rare_buckets(nodes: DataFrame, texts: DataFrame, parts: DataFrame) -> DataFr
         "bucket", "node", "mates", "n_runs", "place", F.col("often").alias("size")))
     released(runs)
     least = rare.groupBy("bucket").agg(F.max("size").alias("size"), F.min("n_runs").alias("least"))
-    able = room_for(F.col("n_runs"), F.col("place"), F.col("least"), F.lit(1))
+    # the room is largest with a text of as many runs as follow, or with the next longer one
+    best = F.greatest("least", F.col("n_runs") - F.col("place") + 1)
+    able = room_for(F.col("n_runs"), F.col("place"), best, F.lit(1))
     return with_facts(rare, least).filter(able).drop("least")
 
 

@@ -18,6 +18,22 @@ def documents(spark):
     return [(r["doc_id"], r["text"] or "") for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").orderBy("doc_id").collect()]
 
 
+def test_rare_buckets_keep_long_texts_beside_short_ones(spark):
+    """Every run of two near copies also stands alone in a text of one run, for which the copies have no room."""
+    words = near_dedup.Words()
+    text = [f"w{i}" for i in range(24)]
+    texts = [" ".join(text), " ".join([*text[:23], "other"])] + [" ".join(text[i:i + 5]) for i in range(20)]
+    assert near_dedup.alike(words(texts[0]), words(texts[1]))
+    rows = [(bytes([i]), words(t).astype(near_dedup.WORD).tobytes()) for i, t in enumerate(texts)]
+    nodes = spark.createDataFrame([(n, 0) for n, _ in rows], "node binary, mates long")
+    parts = spark.createDataFrame([(n, n) for n, _ in rows], "node binary, part binary")
+    got = near_dedup.rare_buckets(nodes, spark.createDataFrame(rows, "node binary, words binary"), parts).collect()
+    buckets = [{r["bucket"] for r in got if bytes(r["node"]) == bytes([i])} for i in (0, 1)]
+    assert buckets[0] & buckets[1]
+    short = {r["n_runs"] for r in got if bytes(r["node"]) > bytes([1])}
+    assert short <= {1}
+
+
 def test_near_dedup_is_brute_force(spark):
     rows = documents(spark)
     words = near_dedup.Words()
