@@ -21,8 +21,9 @@ Jaccard index of ``SIMILARITY`` at least, each has a common run among its rarest
 (1 - ``SIMILARITY``) n + 1, so only texts that share one of those are paired, and
 where their lengths and the run's places leave room for that index. Buckets of
 such runs are taken in rounds: those of up to ``SMALL`` members pair all, the others
-give up 1, ``SMALL``, ``SMALL``^2 ... leaders a round, which are paired with all other members, until
-every bucket has one component. Pairs in one component are never made again, and a pair is
+give up 1, ``SMALL``, ``SMALL``^2 ... leaders a round, which are paired with all members of other components, until
+every bucket has one component. Members of a bucket's largest component lead none: every pair across has
+another end, so a group of copies makes no pairs of its own. Pairs in one component are never made again, and a pair is
 aligned only if it agrees on ``AGREE`` sketches (a pair of long texts at 0.8 fails that once in
 400,000). Texts of few runs agree on fewer sketches (those of up to ``L`` runs only if all
 runs are equal), so all texts of up to ``SHORT`` runs go through the prefix filter, and
@@ -323,23 +324,28 @@ def rare_buckets(nodes: DataFrame, texts: DataFrame, parts: DataFrame) -> DataFr
     return with_facts(rare, least).filter(able).drop("least")
 
 
-def leading(buckets: DataFrame, leaders: int) -> DataFrame:
-    """``buckets`` of ``rare_buckets`` with ``leads``, true for up to ``leaders`` members of each: those of
-    the most mates among the members that a hash deals to each place."""
-    dealt = buckets.withColumn("slot", F.pmod(F.xxhash64("node", F.lit(leaders)), F.lit(leaders)))
+def leading(buckets: DataFrame, parts: DataFrame, leaders: int) -> DataFrame:
+    """``buckets`` of ``rare_buckets`` with the ``part`` of each member and ``leads``, true for up to ``leaders`` members
+    of each outside its largest part: those of the most mates among the members that a hash deals to each place."""
+    placed = buckets.join(parts, "node")
+    shares = placed.groupBy("bucket", "part").agg(F.count(F.lit(1)).alias("n"), F.max("size").alias("size"))
+    largest = shares.groupBy("bucket").agg(F.max(F.struct("n", "part")).alias("top"), F.max("size").alias("size")).select(
+        "bucket", "size", F.col("top.part").alias("largest"))
+    dealt = (with_facts(placed, largest).filter("part != largest")
+             .withColumn("slot", F.pmod(F.xxhash64("node", F.lit(leaders)), F.lit(leaders))))
     tops = dealt.groupBy("bucket", "slot").agg(F.max(F.struct("mates", "node")).alias("top"))
     tops = tops.select("bucket", F.col("top.node").alias("node"), F.lit(True).alias("leads"))
-    return buckets.join(tops, ["bucket", "node"], "left").withColumn("leads", F.coalesce("leads", F.lit(False)))
+    return placed.join(tops, ["bucket", "node"], "left").withColumn("leads", F.coalesce("leads", F.lit(False)))
 
 
-def many_led_pairs(marked: DataFrame, parts: DataFrame) -> DataFrame:
+def many_led_pairs(marked: DataFrame) -> DataFrame:
     """Distinct (a, b) in different components, a a leader of ``leading`` and b another member of its
     bucket that leaves room for the similarity; two leaders are paired once."""
-    leaders = marked.filter("leads").select("bucket", "size", F.col("node").alias("a"), F.col("n_runs").alias("n_a"),
-                                            F.col("place").alias("place_a"))
-    met = with_facts(marked, leaders).filter((~F.col("leads") & (F.col("node") != F.col("a"))) | (F.col("a") < F.col("node")))
+    leaders = marked.filter("leads").select("bucket", "size", F.col("node").alias("a"), F.col("part").alias("part_a"),
+                                            F.col("n_runs").alias("n_a"), F.col("place").alias("place_a"))
+    met = with_facts(marked, leaders).filter(F.col("part_a") != F.col("part")).filter(~F.col("leads") | (F.col("a") < F.col("node")))
     met = met.filter(room_for(F.col("n_a"), F.col("place_a"), F.col("n_runs"), F.col("place")))
-    return across(met.select("a", F.col("node").alias("b")).distinct(), parts)
+    return met.select("a", F.col("node").alias("b")).distinct()
 
 
 def verified(pairs: DataFrame, texts: DataFrame, sketched: DataFrame) -> DataFrame:
@@ -407,13 +413,13 @@ def settled(rare: DataFrame, pairs: DataFrame, parts: DataFrame, texts: DataFram
         pairs = pairs.union(small_pairs(mixed_rows.filter(F.col("size") <= SMALL), parts))
         more = not large.isEmpty()
         if more:
-            marked = checkpointed(leading(large, leaders))
-            pairs = pairs.union(many_led_pairs(marked, parts))
+            marked = checkpointed(leading(large, parts, leaders))
+            pairs = pairs.union(many_led_pairs(marked))
         parts = joined_parts(parts, verified(pairs.distinct(), texts, sketched))
         released(mixed_rows)
         if not more:
             return parts
-        rare = marked.filter(~F.col("leads")).drop("leads")
+        rare = marked.filter(~F.col("leads")).drop("leads", "part")
         pairs = spark.createDataFrame([], pairs.schema)
         leaders *= SMALL
 

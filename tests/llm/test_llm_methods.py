@@ -34,6 +34,20 @@ def test_rare_buckets_keep_long_texts_beside_short_ones(spark):
     assert short <= {1}
 
 
+def test_a_group_of_copies_makes_no_pairs_of_its_own(spark):
+    """A bucket with a large component and two texts beside it: only they lead."""
+    nodes = [bytes([i]) for i in range(60)]
+    rows = [(7, n, 1000 - i, 20, 1, len(nodes)) for i, n in enumerate(nodes)]
+    buckets = spark.createDataFrame(rows, "bucket long, node binary, mates long, n_runs int, place int, size long")
+    parts = spark.createDataFrame([(n, nodes[0] if i < 58 else n) for i, n in enumerate(nodes)], "node binary, part binary")
+    marked = near_dedup.leading(buckets, parts, 16)
+    leads = {bytes(r["node"]) for r in marked.filter("leads").collect()}
+    assert leads and leads <= set(nodes[58:])
+    pairs = {frozenset((bytes(r["a"]), bytes(r["b"]))) for r in near_dedup.many_led_pairs(marked).collect()}
+    want = {frozenset((a, b)) for a in leads for b in nodes if a != b}
+    assert pairs == want
+
+
 def test_near_dedup_is_brute_force(spark):
     rows = documents(spark)
     words = near_dedup.Words()
