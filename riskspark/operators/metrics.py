@@ -342,6 +342,19 @@ def equal_width_bin(x: Column, lo: Column, hi: Column, n_bins: int) -> Column:
     return F.when(hi > lo, up).otherwise(F.lit(0))
 
 
+def with_equal_width_bin(df: DataFrame, x: Column, lo: str, hi: str, n_bins: int) -> DataFrame:
+    """``df`` with ``bin`` as :func:`equal_width_bin` gives it, a column a step: as one expression, every step is
+    worked out again wherever the next one names it."""
+    edge = lambda i: F.when(i == n_bins, F.col(hi)).otherwise(i.cast("double") * F.col("_step") + F.col(lo))
+    guess, down, v = F.col("_guess"), F.col("_down"), F.col("_v")
+    return (df.withColumn("_v", x).withColumn("_step", (F.col(hi) - F.col(lo)) / F.lit(float(n_bins)))
+            .withColumn("_guess", F.least(F.greatest(F.floor((v - F.col(lo)) / F.col("_step")), F.lit(0)), F.lit(n_bins - 1)).cast("int"))
+            .withColumn("_down", F.when((guess > 0) & (v < edge(guess)), guess - 1).otherwise(guess))
+            .withColumn("_up", F.when((down < n_bins - 1) & (v >= edge(down + 1)), down + 1).otherwise(down))
+            .withColumn("bin", F.when(F.col(hi) > F.col(lo), F.col("_up")).otherwise(F.lit(0)))
+            .drop("_v", "_step", "_guess", "_down", "_up"))
+
+
 def score_histogram(df: DataFrame, s: str = "p_default", by: str | None = "default",
                     n_bins: int = 50) -> DataFrame:
     """Equal-width histogram of scores per class over each class's [min, max]:

@@ -33,6 +33,12 @@ from pyspark.sql import functions as F
 ROWS_PER_BUCKET = 1_000_000
 # Rows a bucket's cut points are sampled from: they only steer the balance.
 SAMPLE_PER_BUCKET = 2_000
+# Rows of a group up to which exact quantiles look at all its values; of larger
+# groups they count those around each quantile one by one.
+FEW_ROWS = 200_000
+# 1 / ACCURACY of the rows is the error of an approximate quantile; the values
+# within two errors are looked at.
+ACCURACY = 10_000
 
 
 def _bucket_count(spark, n_rows: int, n_buckets: int | None) -> int:
@@ -178,15 +184,59 @@ def exact_quantiles(df: DataFrame, value: str, probs: list[float],
 
     Returns one row per (group, q) with column ``quantile``. NULL and NaN
     values are ignored. Only the order statistics at the needed ranks are
-    looked up: distinct values with counts -> running counts -> the few rows
-    covering those ranks.
+    looked up: distinct values around them and what lies between, with counts
+    -> running counts -> the few rows covering those ranks. The values are read
+    three times (``checkpoint``: from a copy of them), in aggregates that the tasks fold.
     """
     by = list(by)
     v = F.col(value)
     clean = df.select(*by, v.cast("double").alias("_x")).filter(F.col("_x").isNotNull() & ~F.isnan("_x"))
-    g = clean.groupBy(*by, "_x").agg(F.count(F.lit(1)).alias("_c"))
+    clean = clean.dropna(subset=by) if by else clean
     if checkpoint:
-        g = materialize(g)  # every later pass reads the collapsed values
+        clean = materialize(clean)
+    around = materialize(_brackets(clean, probs, by))
+    g = materialize(_counted_around(clean, around, len(probs), by))
+    found = _at_ranks(g, probs, by, n_buckets)
+    if not around.filter(F.col("_n") > FEW_ROWS).isEmpty() and not found.filter(~F.col("_in")).isEmpty():
+        # an approximate quantile was further off than its bound: all values of every group
+        everything = around.withColumns({f"_{e}{i}": F.lit(x) for i in range(len(probs)) for e, x in (("l", -math.inf), ("h", math.inf))})
+        found = _at_ranks(materialize(_counted_around(clean, everything, len(probs), by)), probs, by, n_buckets)
+    return found.drop("_in")
+
+
+def _brackets(clean: DataFrame, probs: list[float], by: list[str]) -> DataFrame:
+    """Per group the number of rows and, for the i-th smallest of ``probs``, values ``_l{i}`` and ``_h{i}`` that its
+    quantile lies between; infinite in groups of few rows."""
+    reach, k = 2 / ACCURACY, len(probs)
+    ordered = sorted(float(q) for q in probs)
+    wanted = [max(0.0, q - reach) for q in ordered] + [min(1.0, q + reach) for q in ordered]
+    rows = clean.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"), F.percentile_approx("_x", wanted, ACCURACY).alias("_a"))
+    many = F.col("_n") > FEW_ROWS
+    low = [F.when(many & (q > reach), F.col("_a")[i]).otherwise(-math.inf).alias(f"_l{i}") for i, q in enumerate(ordered)]
+    high = [F.when(many & (q + reach < 1), F.col("_a")[k + i]).otherwise(math.inf).alias(f"_h{i}") for i, q in enumerate(ordered)]
+    return rows.select(*by, "_n", *low, *high)
+
+
+def _counted_around(clean: DataFrame, around: DataFrame, k: int, by: list[str]) -> DataFrame:
+    """(by..., _x, _c, _in): every distinct value in a bracket with its count, and one row (``_in`` false) for
+    the values before, between and after the brackets, whose ``_x`` is the smallest of them."""
+    bounds = [f"_{e}{i}" for i in range(k) for e in "lh"]
+    if by:
+        placed = clean.join(around.select(*by, *bounds), by)
+    else:
+        placed = clean.crossJoin(F.broadcast(around.select(*bounds)))  # one row
+    inside, after = F.lit(False), F.lit(0)
+    for i in range(k):
+        inside = inside | F.col("_x").between(F.col(f"_l{i}"), F.col(f"_h{i}"))
+        after = after + (F.col("_x") > F.col(f"_h{i}")).cast("int")
+    placed = placed.select(*by, "_x", inside.alias("_in"), after.alias("_after"))
+    return (placed.groupBy(*by, "_in", "_after", F.when(F.col("_in"), F.col("_x")).alias("_v"))
+            .agg(F.min("_x").alias("_least"), F.count(F.lit(1)).alias("_c"))
+            .select(*by, F.coalesce("_v", "_least").alias("_x"), "_c", "_in"))
+
+
+def _at_ranks(g: DataFrame, probs: list[float], by: list[str], n_buckets: int | None) -> DataFrame:
+    """Quantiles from distinct values and counts; ``_in`` tells whether both values of a quantile are such."""
     bkey = None
     if by:
         # groups (e.g. columns of a profile) live on unrelated scales: bucket on
@@ -220,13 +270,14 @@ def exact_quantiles(df: DataFrame, value: str, probs: list[float],
         needed = F.broadcast(needed)
     cover = (pre.join(needed, on=keys, how="inner")
              .filter(F.exists("_ranks", lambda r: (F.col("_start") <= r) & (r < F.col("cum_c"))))
-             .select(*keys, "_x", "_start", "cum_c"))
-    lo = cover.select(*keys, F.col("_x").alias("_a"), F.col("_start").alias("_as"), F.col("cum_c").alias("_ae"))
-    hi = cover.select(*keys, F.col("_x").alias("_b"), F.col("_start").alias("_bs"), F.col("cum_c").alias("_be"))
+             .select(*keys, "_x", "_in", "_start", "cum_c"))
+    lo = cover.select(*keys, F.col("_x").alias("_a"), F.col("_in").alias("_a_in"), F.col("_start").alias("_as"), F.col("cum_c").alias("_ae"))
+    hi = cover.select(*keys, F.col("_x").alias("_b"), F.col("_in").alias("_b_in"), F.col("_start").alias("_bs"), F.col("cum_c").alias("_be"))
     res = (targets
            .join(lo, on=keys, how="inner").filter((F.col("_as") <= F.col("_lo")) & (F.col("_lo") < F.col("_ae")))
            .join(hi, on=keys, how="inner").filter((F.col("_bs") <= F.col("_hi")) & (F.col("_hi") < F.col("_be"))))
-    return res.select(*by, "qi", "q", _lerp(F.col("_a"), F.col("_b"), F.col("_t")).alias("quantile"))
+    return res.select(*by, "qi", "q", _lerp(F.col("_a"), F.col("_b"), F.col("_t")).alias("quantile"),
+                      (F.col("_a_in") & F.col("_b_in")).alias("_in"))
 
 
 def quantile_list(df: DataFrame, value: str, probs: list[float], n_buckets: int | None = None,

@@ -6,8 +6,8 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskspark.operators.metrics import equal_width_bin
-from riskspark.operators.ordered import exact_quantiles
+from riskspark.operators.metrics import with_equal_width_bin
+from riskspark.operators.ordered import exact_quantiles, materialize
 from riskspark.schema import FICO_EDGES, TARGET
 
 
@@ -81,11 +81,12 @@ DESCRIBE_PROBS = [0.01, 0.25, 0.5, 0.75, 0.99]
 def describe(df: DataFrame, cols: list[str], probs: list[float] = DESCRIBE_PROBS,
              checkpoint: bool = True) -> DataFrame:
     """count, mean, sample std, min, exact percentiles, max per column (long)."""
+    df = materialize(df.select(*cols)) if checkpoint else df
     lv = long_values(df, cols).filter(F.col("value").isNotNull() & ~F.isnan("value"))
     basic = lv.groupBy("column_name").agg(F.count(F.lit(1)).alias("count"), F.avg("value").alias("mean"),
                                           F.stddev_samp("value").alias("std"), F.min("value").alias("min"),
                                           F.max("value").alias("max"))
-    q = exact_quantiles(lv, "value", probs, by=["column_name"], checkpoint=checkpoint)
+    q = exact_quantiles(lv, "value", probs, by=["column_name"], checkpoint=False)
     names = {i: f"p{int(round(p * 100)):02d}" for i, p in enumerate(probs)}
     wide = q.groupBy("column_name").pivot("qi", list(names)).agg(F.first("quantile"))
     wide = wide.select("column_name", *[F.col(str(i)).alias(n) for i, n in names.items()])
@@ -96,8 +97,9 @@ def clipped_histogram(df: DataFrame, cols: list[str], n_bins: int = 50, lo_q: fl
                       hi_q: float = 0.99, checkpoint: bool = True) -> DataFrame:
     """Per column: values clipped to their [1 %, 99 %] quantiles, then
     ``n_bins`` equal-width bins over [lo, hi]: column_name, bin, n."""
+    df = materialize(df.select(*cols)) if checkpoint else df
     lv = long_values(df, cols).filter(F.col("value").isNotNull() & ~F.isnan("value"))
-    q = exact_quantiles(lv, "value", [lo_q, hi_q], by=["column_name"], checkpoint=checkpoint)
+    q = exact_quantiles(lv, "value", [lo_q, hi_q], by=["column_name"], checkpoint=False)
     bounds = q.groupBy("column_name").agg(F.min("quantile").alias("_lo"), F.max("quantile").alias("_hi"))
     # a degenerate range [v, v] is widened by 0.5 on both sides
     bounds = bounds.select("column_name",
@@ -106,7 +108,7 @@ def clipped_histogram(df: DataFrame, cols: list[str], n_bins: int = 50, lo_q: fl
                            F.col("_lo").alias("_clo"), F.col("_hi").alias("_chi"))
     j = lv.join(F.broadcast(bounds), on="column_name")   # one row per column
     x = F.least(F.greatest(F.col("value"), F.col("_clo")), F.col("_chi"))
-    return (j.groupBy("column_name", equal_width_bin(x, F.col("_lo"), F.col("_hi"), n_bins).alias("bin"))
+    return (with_equal_width_bin(j, x, "_lo", "_hi", n_bins).groupBy("column_name", "bin")
             .agg(F.count(F.lit(1)).alias("n")))
 
 
