@@ -363,7 +363,7 @@ def score_histogram(df: DataFrame, s: str = "p_default", by: str | None = "defau
     v = df.filter(x.isNotNull() & ~F.isnan(x)).select((F.col(by) if by else F.lit(0)).alias("cls"), x.alias("_x"))
     rng = v.groupBy("cls").agg(F.min("_x").alias("_lo"), F.max("_x").alias("_hi"), F.count(F.lit(1)).alias("_t"))
     j = v.join(rng, on="cls")   # one row per class; Spark broadcasts it if it measures small
-    h = (j.groupBy("cls", equal_width_bin(F.col("_x"), F.col("_lo"), F.col("_hi"), n_bins).alias("bin"))
+    h = (with_equal_width_bin(j, F.col("_x"), "_lo", "_hi", n_bins).groupBy("cls", "bin")
          .agg(F.count(F.lit(1)).alias("n"), F.first("_lo").alias("_lo"), F.first("_hi").alias("_hi"),
               F.first("_t").alias("_t")))
     width = F.when(F.col("_hi") > F.col("_lo"), (F.col("_hi") - F.col("_lo")) / n_bins).otherwise(F.lit(1.0))
