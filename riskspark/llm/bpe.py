@@ -39,9 +39,10 @@ from riskspark.llm.common import table, text_or_empty
 TOKENIZER = "byte_bpe_50k.json"
 #: Fixed value: the public pattern that splits text before byte-level merges.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-#: Words and table entries a worker remembers; each memory starts anew beyond its bound.
-WORD_MEMORY = 800_000
-TABLE_MEMORY = 1_500_000
+#: Words of one generation: a worker remembers this and the one before, so frequent words stay.
+WORD_MEMORY = 120_000
+#: Table entries a worker remembers; the table starts anew beyond them.
+TABLE_MEMORY = 450_000
 #: Documents of one output batch.
 BATCH = 256
 
@@ -54,11 +55,26 @@ def byte_letters() -> list[str]:
     return [chr(b if b in plain else next(rest)) for b in range(256)]
 
 
+def token_bytes(model: dict, special: dict[str, int] | None = None) -> list[bytes]:
+    """The bytes of every token, by its id: all that decoding needs."""
+    byte_of = {c: b for b, c in enumerate(byte_letters())}
+    vocab: dict[str, int] = model["vocab"]
+    labels = [b""] * (max([*vocab.values(), *(special or {}).values()], default=-1) + 1)
+    for text, t in vocab.items():
+        labels[t] = bytes(byte_of[c] for c in text) if all(c in byte_of for c in text) else text.encode()
+    for text, t in (special or {}).items():
+        labels[t] = text.encode()
+    return labels
+
+
+def decoded(labels: list[bytes], ids: np.ndarray) -> str:
+    return b"".join(map(labels.__getitem__, ids.tolist())).decode("utf-8", "replace")
+
+
 class Automaton:
     def __init__(self, model: dict, special: dict[str, int] | None = None):
         vocab: dict[str, int] = model["vocab"]
         letters = byte_letters()
-        byte_of = {c: b for b, c in enumerate(letters)}
         size = max([*vocab.values(), *(special or {}).values()], default=-1) + 1
         self.born = [-1] * size
         self.left = [-1] * size
@@ -69,11 +85,10 @@ class Automaton:
             a, b = merge.split(" ") if isinstance(merge, str) else merge
             self._gadget(step, vocab[a], vocab[b], vocab[a + b], reached)
         self.forever = len(model["merges"])
-        self.labels = [b""] * size
+        self.labels = token_bytes(model, special)
         self.trie: list[dict[int, int]] = [{}]
         self.token_at = [-1]
-        for text, t in vocab.items():
-            self.labels[t] = bytes(byte_of[c] for c in text) if all(c in byte_of for c in text) else text.encode()
+        for t in vocab.values():
             if t in reached:
                 node = 0
                 for c in self.labels[t]:
@@ -83,8 +98,6 @@ class Automaton:
                         self.token_at.append(-1)
                     node = self.trie[node][c]
                 self.token_at[node] = t
-        for text, t in (special or {}).items():
-            self.labels[t] = text.encode()
         self.sizes = list(map(len, self.labels))
         self._restart()
 
@@ -175,6 +188,7 @@ class Codec:
         self.cut = regex.compile("(" + "|".join(map(regex.escape, sorted(special, key=len, reverse=True))) + ")")
         self.pre = regex.compile(PATTERN)
         self.memory: dict[str, bytes] = {}  # word -> its ids as int32
+        self.older: dict[str, bytes] = {}
 
     def _words(self, text: str) -> bytes:
         memory = self.memory
@@ -183,10 +197,11 @@ class Codec:
         if None in found:
             new = {w for w, ids in zip(words, found, strict=True) if ids is None}
             if len(memory) + len(new) > WORD_MEMORY:
-                memory.clear()
-                new = set(words)
+                self.older, self.memory = memory, {}
+                memory, new = self.memory, set(words)
+            before = self.older.get
             for w in new:
-                memory[w] = array("i", self.automaton.encode_word(w.encode())).tobytes()
+                memory[w] = before(w) or array("i", self.automaton.encode_word(w.encode())).tobytes()
             found = map(memory.__getitem__, words)
         return b"".join(found)
 
@@ -199,10 +214,11 @@ class Codec:
         return np.frombuffer(self._words(text), np.int32)
 
     def decode(self, ids: np.ndarray) -> str:
-        return b"".join(map(self.automaton.labels.__getitem__, ids.tolist())).decode("utf-8", "replace")
+        return decoded(self.automaton.labels, ids)
 
 
 _CODECS: dict[str, Codec] = {}
+_LABELS: dict[str, list[bytes]] = {}
 
 
 def _codec(spec: bytes) -> Codec:
@@ -213,6 +229,15 @@ def _codec(spec: bytes) -> Codec:
     return _CODECS[key]
 
 
+def _labels(spec: bytes) -> list[bytes]:
+    """The tokens' bytes, once in a worker process: workers that decode build no automaton."""
+    key = hashlib.sha256(spec).hexdigest()
+    if key not in _LABELS:
+        conf = json.loads(spec)
+        _LABELS[key] = token_bytes(conf["model"], {x["content"]: x["id"] for x in conf["added_tokens"]})
+    return _LABELS[key]
+
+
 def _spec(spark: SparkSession, path: str):
     with open(path, "rb") as f:
         return spark.sparkContext.broadcast(f.read())  # one vocabulary file, a few MB
@@ -244,13 +269,13 @@ def decode(coded: DataFrame, tokenizer_path: str, ids_col: str = "ids", out_col:
     names = coded.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = _codec(spec.value)
+        labels = _labels(spec.value)
         for batch in batches:
             for k in range(0, batch.num_rows, BATCH):
                 part = batch.slice(k, BATCH)
                 lists = part.column(at)
                 ids, ends = lists.values.to_numpy(zero_copy_only=False), lists.offsets.to_numpy()
-                texts = [codec.decode(ids[i:j]) if ok else None
+                texts = [decoded(labels, ids[i:j]) if ok else None
                          for i, j, ok in zip(ends, ends[1:], lists.is_valid().to_pylist(), strict=False)]
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())], [*names, out_col])
 

@@ -172,6 +172,31 @@ def test_bpe_round_trip_and_library():
         assert codec.decode(ids) == text
 
 
+def test_bpe_memories_stay_bounded(monkeypatch):
+    """Two small generations of words and a small table give the same ids; frequent words outlive a change; workers that
+    decode build no automaton."""
+    P = pytest.importorskip("public_tokenizers")
+    spec = open(P.path(bpe.TOKENIZER), "rb").read()
+    codec = bpe.Codec(spec)
+    monkeypatch.setattr(bpe, "WORD_MEMORY", 50)
+    monkeypatch.setattr(bpe, "TABLE_MEMORY", 300)
+    small, plain = bpe.Codec(spec), codec.automaton.encode_word
+    walked = []
+    monkeypatch.setattr(small.automaton, "encode_word", lambda w: walked.append(w) or plain(w))
+    rng = random.Random(3)
+    for _ in range(300):
+        text = " the" + "".join(" " + "".join(rng.choices("abcdetho", k=rng.randrange(1, 9))) for _ in range(10))
+        ids = small.encode(text)
+        assert ids.tolist() == codec.encode(text).tolist()
+        assert max(len(small.memory), len(small.older)) <= 50
+        assert bpe.decoded(bpe._labels(spec), ids) == text
+    assert walked.count(b" the") == 1
+    with monkeypatch.context() as m:
+        m.setattr(bpe, "Automaton", None)
+        bpe._LABELS.clear()
+        assert bpe._labels(spec) == codec.automaton.labels
+
+
 def test_bpe_gadgets_on_small_merges():
     """All words over few letters, against merging by rank."""
     from itertools import product
