@@ -21,7 +21,7 @@ from pyspark.ml.feature import (
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from riskspark.operators.ordered import exact_quantiles
+from riskspark.operators.ordered import exact_quantiles, materialize, ordered_prefix
 from riskspark.operators.profile import long_values
 from riskspark.schema import CATEGORICAL_COLS, DEFAULT_PARAMS, INTERACTION_COLS, TARGET
 
@@ -51,15 +51,74 @@ def with_class_weight(df: DataFrame, y: str = TARGET, mode: str = "balanced") ->
     return df.withColumn(WEIGHT, expr)
 
 
+#: Rows up to which all values of all columns are counted for their medians.
+FEW_ROWS = 100_000
+#: Rows of the sample that says around which values a median of more rows is looked for, and the share of
+#: rows on both sides of it that are counted value by value (ten standard errors of a sampled median).
+SAMPLE_ROWS, SIDE = 100_000, 0.016
+
+
 def exact_medians(df: DataFrame, cols: list[str]) -> dict[str, float]:
-    """Exact (interpolated) median per column in one distributed job."""
+    """Exact (interpolated) median per column.
+
+    Beyond ``FEW_ROWS`` rows a sample says between which values the medians are looked for. One pass counts
+    the values of all columns below, in and above that range, a second one counts single values in
+    it. A column whose median is not in its range has all its values counted."""
     if not cols:
         return {}
-    q = exact_quantiles(long_values(df, cols), "value", [0.5], by=["column_name"], checkpoint=False).collect()
-    out = {r["column_name"]: float(r["quantile"]) for r in q}
+    wide = df.select(*[F.nanvl(F.col(c).cast("double"), F.lit(None)).alias(c) for c in cols])
+    out, rest = {}, cols
+    n = wide.count()
+    if n > FEW_ROWS:
+        ranges = _median_ranges(wide, cols, n)
+        x = {c: F.col(c) for c in ranges}
+        sides = wide.agg(*[F.struct(F.count(c).alias("n"), F.count_if(x[c] < low).alias("below"), F.count_if(x[c] <= high).alias("upto"))
+                           .alias(c) for c, (low, high) in ranges.items()]).first() if ranges else {}
+        inner = {}  # column -> the two places of its median, counted from the smallest value of its range
+        for c in ranges:
+            places = [(sides[c]["n"] - 1) // 2, sides[c]["n"] // 2]
+            if sides[c]["below"] <= places[0] and places[1] < sides[c]["upto"]:
+                inner[c] = [p - sides[c]["below"] for p in places]
+        near = long_values(wide.select(*[F.when(x[c].between(*ranges[c]), x[c]).alias(c) for c in inner]), list(inner)) if inner else None
+        out = _values_at(near, inner)
+        rest = [c for c in cols if c not in out]
+    if rest:
+        q = exact_quantiles(long_values(wide, rest), "value", [0.5], by=["column_name"], checkpoint=False).collect()
+        out |= {r["column_name"]: float(r["quantile"]) for r in q}
     return {c: out.get(c, 0.0) for c in cols}
 
 
+def _median_ranges(wide: DataFrame, cols: list[str], n: int) -> dict[str, tuple[float, float]]:
+    """Values around the median of each column that has any, by a sample."""
+    sides = [0.5 - SIDE, 0.5 + SIDE]
+    found = wide.sample(min(1.0, SAMPLE_ROWS / n), seed=7).agg(*[F.percentile_approx(c, sides, 2_000).alias(c) for c in cols]).first()
+    return {c: tuple(found[c]) for c in cols if found[c]}
+
+
+def _values_at(values: DataFrame | None, places: dict[str, list[int]]) -> dict[str, float]:
+    """Mean of the values at two places (from 0) of each column of (column_name, value): running counts of
+    distinct values in the order of the values."""
+    if values is None:
+        return {}
+    counts = values.filter("value is not null").groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("c"))
+    # columns have unlike scales: buckets go by the value's part of its column's range
+    counts = materialize(counts)
+    span = counts.groupBy("column_name").agg(F.min("value").alias("_lo"), F.max("value").alias("_hi"))
+    counts = counts.join(F.broadcast(span), "column_name")   # one row per column
+    part = F.when(F.col("_hi") > F.col("_lo"), (F.col("value") - F.col("_lo")) / (F.col("_hi") - F.col("_lo"))).otherwise(F.lit(0.0))
+    run = ordered_prefix(counts, "value", {"c": "c"}, by=["column_name"], checkpoint=False, bucket_key=part)
+    wanted = F.create_map(*[F.lit(v) for c, p in places.items() for v in (c, F.array(*map(F.lit, p)))])[F.col("column_name")]
+    hit = run.withColumn("_p", wanted).filter(F.exists("_p", lambda r: (F.col("cum_c") - F.col("c") <= r) & (r < F.col("cum_c"))))
+    by_column: dict[str, list] = {}
+    for r in hit.select("column_name", "value", "cum_c").collect():   # at most two rows a column
+        by_column.setdefault(r["column_name"], []).append((r["cum_c"], r["value"]))
+    out = {}
+    for c, p in places.items():
+        a, b = (next(v for cum, v in sorted(by_column[c]) if cum > place) for place in p)
+        out[c] = b - (b - a) * 0.5   # as the quantiles interpolate
+    return out
+
+
 def most_frequent(df: DataFrame, cols: list[str]) -> dict[str, str]:
     """Most frequent non-NULL level per column; ties go to the smallest value."""
     if not cols:
@@ -97,30 +156,28 @@ def fit_lr(train: DataFrame, features: list[str], y: str = TARGET, max_iter: int
 
     The L2 strength follows C = 1 on a weighted sum of losses:
     regParam = 1 / (C * sum of weights), standardization done by the
-    pipeline itself.
+    pipeline itself. ``train`` is read in about ten passes: give stored rows.
     """
     nums, cats = split_features(features)
-    data = with_class_weight(train.filter(F.col(y).isNotNull()), y, "balanced").withColumn("label", F.col(y).cast("double"))
-    data = data.persist()
-    try:
-        med = exact_medians(data, nums)
-        modes = most_frequent(data, cats)
-        total_w = data.agg(F.sum(WEIGHT)).first()[0] or 1.0
-        stages = [_fill_stage(med, modes)]
-        stages += [StringIndexer(inputCol=f"{c}__f", outputCol=f"{c}__i", handleInvalid="keep",
-                                 stringOrderType="alphabetAsc") for c in cats]
-        if cats:
-            stages.append(OneHotEncoder(inputCols=[f"{c}__i" for c in cats], outputCols=[f"{c}__oh" for c in cats],
-                                        dropLast=True, handleInvalid="keep"))
-        stages.append(VectorAssembler(inputCols=[f"{c}__f" for c in nums], outputCol="_num"))
-        stages.append(StandardScaler(inputCol="_num", outputCol="_nums", withMean=True, withStd=True))
-        stages.append(VectorAssembler(inputCols=["_nums"] + [f"{c}__oh" for c in cats], outputCol="features"))
-        stages.append(LogisticRegression(featuresCol="features", labelCol="label", weightCol=WEIGHT,
-                                         maxIter=max_iter, regParam=1.0 / (c_reg * total_w),
-                                         elasticNetParam=0.0, standardization=False))
-        return Pipeline(stages=stages).fit(data)
-    finally:
-        data.unpersist()
+    # each pass reads the columns it needs: a copy in memory would take the room of what the iterations read
+    data = (with_class_weight(train.filter(F.col(y).isNotNull()), y, "balanced")
+            .select(*nums, *cats, WEIGHT, F.col(y).cast("double").alias("label")))
+    med = exact_medians(data, nums)
+    modes = most_frequent(data, cats)
+    total_w = data.agg(F.sum(WEIGHT)).first()[0] or 1.0
+    stages = [_fill_stage(med, modes)]
+    if cats:
+        stages.append(StringIndexer(inputCols=[f"{c}__f" for c in cats], outputCols=[f"{c}__i" for c in cats], handleInvalid="keep",
+                                    stringOrderType="alphabetAsc"))
+        stages.append(OneHotEncoder(inputCols=[f"{c}__i" for c in cats], outputCols=[f"{c}__oh" for c in cats],
+                                    dropLast=True, handleInvalid="keep"))
+    stages.append(VectorAssembler(inputCols=[f"{c}__f" for c in nums], outputCol="_num"))
+    stages.append(StandardScaler(inputCol="_num", outputCol="_nums", withMean=True, withStd=True))
+    stages.append(VectorAssembler(inputCols=["_nums"] + [f"{c}__oh" for c in cats], outputCol="features"))
+    stages.append(LogisticRegression(featuresCol="features", labelCol="label", weightCol=WEIGHT,
+                                     maxIter=max_iter, regParam=1.0 / (c_reg * total_w),
+                                     elasticNetParam=0.0, standardization=False))
+    return Pipeline(stages=stages).fit(data)
 
 
 GBT_PARAM_MAP = {
@@ -202,7 +259,8 @@ def coefficient_table(model: PipelineModel, top_n: int = 15) -> DataFrame:
     name): rank, feature, coefficient, abs_coefficient, is_interaction, and
     top_share, the share of interactions among the first ``top_n``. A level is named
     ``column=level``, levels unseen in training ``column=(other)``. One row a coefficient."""
-    levels = {s.getOutputCol(): s.labels for s in model.stages if isinstance(s, StringIndexerModel)}
+    levels = {c: labels for s in model.stages if isinstance(s, StringIndexerModel)
+              for c, labels in zip(s.getOutputCols(), s.labelsArray)}
     names: list[str] = []
     nums, last = [s for s in model.stages if isinstance(s, VectorAssembler)][0], model.stages[-1]
     names += [c.split("__")[0] for c in nums.getInputCols()]

@@ -18,6 +18,7 @@ from riskspark.operators import monitor as MON
 from riskspark.operators.boosting import exists, fit_boosted
 from riskspark.operators.calibration import CalibratedModel, fit_calibrated, recalibrate
 from riskspark.operators.models import fit_lr
+from riskspark.operators.ordered import materialize
 from riskspark.operators.prepare import recent_years
 from riskspark.operators.scoring import FROZEN_SCORECARD, score_batch
 from riskspark.plans import tables as TB
@@ -53,12 +54,14 @@ def calibrated_gbt(spark, d) -> CalibratedModel:
 
 
 def _metric_row(scored):
-    return M.metric_row(scored.select("default", "p_default"))
+    # scored once: the metrics read the scores in several passes
+    return M.metric_row(materialize(scored.select("default", "p_default")))
 
 
 @register("lr_test_metrics", None)
 def q_lr_test_metrics(spark, d):
-    _, base, _, test = _splits(spark, d)
+    loans = materialize(TB.cleaned2(spark, d).select(*dict.fromkeys([*CLEAN_FEATURES_V2, "default", "issue_year"])))
+    base, test = (loans.filter(c) for c in (F.col("issue_year") <= TB.BASE_MAX, F.col("issue_year") >= TB.TEST_MIN))
     lr = fit_lr(base, CLEAN_FEATURES_V2)
     return _metric_row(CalibratedModel(lr, None).score(test))
 

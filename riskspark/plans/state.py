@@ -167,5 +167,5 @@ def q_batch_file_scoring(spark, d):
 @register("lr_coefficients", None)
 def q_lr_coefficients(spark, d):
     """Coefficients of the logistic baseline by size, and the share of interactions in the top 15."""
-    base = TB.cleaned2(spark, d).filter(F.col("issue_year") <= TB.BASE_MAX)
+    base = TB.cleaned2(spark, d).filter(F.col("issue_year") <= TB.BASE_MAX).select(*CLEAN_FEATURES_V2, "default")
     return coefficient_table(fit_lr(materialize(base), CLEAN_FEATURES_V2))

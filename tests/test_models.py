@@ -1,5 +1,6 @@
 import numpy as np
 import pytest
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskspark.operators.calibration import CalibratedModel, fit_isotonic, recalibrate
@@ -30,6 +31,43 @@ def test_exact_median_and_mode(spark):
     assert most_frequent(df, ["c"]) == {"c": "a"}
 
 
+def test_medians_of_many_rows_count_only_values_near_them(spark, monkeypatch):
+    """By a sampled range and two passes; a range that misses its median sends only its column to the full count."""
+    import numpy as np
+    from riskspark.operators import models
+    rng = np.random.default_rng(4)
+    cols = {"x": rng.normal(size=3001), "few": rng.integers(0, 3, 3001).astype(float), "one": np.full(3001, 7.0),
+            "gaps": np.where(rng.random(3001) < 0.4, np.nan, rng.exponential(size=3001)), "even": np.r_[np.nan, rng.normal(size=3000)]}
+    rows = [tuple(None if k % 2 and np.isnan(v) else float(v) for v in r) for k, r in enumerate(zip(*cols.values(), strict=True))]
+    df = spark.createDataFrame([(*r, None) for r in rows], ", ".join(f"{c} double" for c in [*cols, "none"]))
+    want = {c: float(np.nanmedian(v)) for c, v in cols.items()} | {"none": 0.0}
+    monkeypatch.setattr(models, "FEW_ROWS", 100)
+    full = []
+    plain = models.exact_quantiles
+    monkeypatch.setattr(models, "exact_quantiles", lambda values, *a, **k: full.append(
+        {r[0] for r in values.select("column_name").distinct().collect()}) or plain(values, *a, **k))
+    assert exact_medians(df, list(want)) == pytest.approx(want, abs=1e-15)
+    assert full == [{"none"}]
+    ranges = models._median_ranges
+    monkeypatch.setattr(models, "_median_ranges", lambda *a: ranges(*a) | {"x": (2.0, 3.0), "gaps": (-1.0, 0.0)})
+    assert exact_medians(df, list(want)) == pytest.approx(want, abs=1e-15)
+    assert full[1:] == [{"x", "gaps", "none"}]
+
+
+def test_fit_lr_keeps_no_copy_in_memory(spark):
+    """What the iterations read has the memory for itself; all categoricals are indexed in one pass."""
+    from pyspark.ml.feature import StringIndexerModel
+    rows = [(float(i % 7), "AB"[i % 2], "XYZ"[i % 3], int(i % 5 == 0)) for i in range(200)]
+    df = spark.createDataFrame(rows, "dti double, grade string, purpose string, default int")
+    seen = []
+    plain = DataFrame.persist
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr(type(df), "persist", lambda self, *a: seen.append(self) or plain(self, *a))
+        model = fit_lr(df, ["dti", "grade", "purpose"], max_iter=5)
+    assert not seen
+    assert [len(s.getInputCols()) for s in model.stages if isinstance(s, StringIndexerModel)] == [2]
+
+
 def test_class_weights(spark):
     df = spark.createDataFrame([(0,), (0,), (0,), (1,)], "default int")
     w = {r.label: r for r in class_weight_table(df).collect()}
