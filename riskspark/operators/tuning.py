@@ -37,10 +37,16 @@ def time_series_folds(df: DataFrame, n_splits: int = CV_FOLDS,
             .withColumn("test_fold", F.when(F.col("pos") >= first, fold.cast("int"))))
 
 
-def fold_frames(folded: DataFrame, fold: int) -> tuple[DataFrame, DataFrame]:
-    """(train, test) of one expanding fold."""
+def fold_starts(folded: DataFrame) -> dict[int, int]:
+    """First position of every test fold."""
+    rows = folded.filter(F.col("test_fold").isNotNull()).groupBy("test_fold").agg(F.min("pos").alias("start")).collect()
+    return {r["test_fold"]: r["start"] for r in rows}  # a row a fold
+
+
+def fold_frames(folded: DataFrame, fold: int, starts: dict[int, int] | None = None) -> tuple[DataFrame, DataFrame]:
+    """(train, test) of one expanding fold; ``starts``: ``fold_starts``, if they are known."""
     test = folded.filter(F.col("test_fold") == fold)
-    start = folded.filter(F.col("test_fold") == fold).agg(F.min("pos")).first()[0]
+    start = (fold_starts(folded) if starts is None else starts).get(fold)
     train = folded.filter(F.col("pos") < F.lit(start))
     return train, test
 
@@ -156,6 +162,20 @@ def best_and_worst(results: DataFrame, best: int = 5, worst: int = 3) -> DataFra
     return top.unionByName(ranked.orderBy(F.desc("place")).limit(worst).withColumn("end", F.lit("worst")))
 
 
+def stored_folds(df: DataFrame, folder: str, cv_folds: int, fraction: float, id_col: str, seed: int) -> DataFrame:
+    """``time_series_folds`` of the seeded sample, written once in ``folder``: a search that goes on reads them. They are
+    named by what they are made of, so other rows get folds of their own."""
+    from riskspark.operators.boosting import exists
+    spark = df.sparkSession
+    h = F.xxhash64(*df.columns)
+    facts = df.agg(F.count(F.lit(1)).alias("n"), F.bit_xor(h).alias("x"), F.sum(F.shiftright(h, 32)).alias("s")).first()
+    path = f"{folder}/folds-{cv_folds}-{fraction}-{seed}-{facts['n']}-{facts['x']}-{facts['s']}"
+    if not exists(spark, path):
+        sample = materialize(exact_sample(df, fraction, id_col, seed)) if fraction < 1 else df
+        time_series_folds(sample, cv_folds, ("issue_year", id_col)).write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
 def random_search(df: DataFrame, features: list[str], n_trials: int = N_TRIALS, cv_folds: int = CV_FOLDS,
                   subsample_frac: float = SUBSAMPLE_FRAC, seed: int = RANDOM_STATE, y: str = TARGET,
                   id_col: str = "loan_id", parallelism: int = 2, fit=None, ledger: str | None = None,
@@ -164,7 +184,7 @@ def random_search(df: DataFrame, features: list[str], n_trials: int = N_TRIALS,
 
     Each finished fit goes to the ledger in folder ``ledger`` (default: one of its own in the checkpoint
     folder); a call runs the fits that the ledger lacks, ``at_most`` so many, so a search may be spread over several runs.
-    A boosted fit keeps its stages beside the ledger and goes on with them. ``fit(train, params)`` gives a model or a
+    The folds stand there too, and are not made again. A boosted fit keeps its stages beside the ledger and goes on with them. ``fit(train, params)`` gives a model or a
     scorer with ``score_raw``."""
     import uuid
     from riskspark.operators.boosting import fit_boosted
@@ -176,12 +196,12 @@ def random_search(df: DataFrame, features: list[str], n_trials: int = N_TRIALS,
     trials = sample_trials(n_trials, seed=seed)
     todo = book.missing(trials, cv_folds)[:at_most]
     if todo:
-        sub = exact_sample(df, subsample_frac, id_col, seed) if subsample_frac < 1 else df
-        folded = materialize(time_series_folds(sub, cv_folds, ("issue_year", id_col)))
+        folded = stored_folds(df, ledger.rstrip("/"), cv_folds, subsample_frac, id_col, seed)
+        starts = fold_starts(folded)
 
         def run(which: tuple[int, int]) -> None:
             trial, fold = which
-            train, test = fold_frames(folded, fold)
+            train, test = fold_frames(folded, fold, starts)
             if fit:
                 model = fit(train, trials[trial])
             else:

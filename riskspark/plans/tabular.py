@@ -14,6 +14,7 @@ from riskspark.plans.catalog import GM, R, _decile_sql, _ew_bin_sql, register
 from riskspark.plans.extra import _scratch
 from riskspark.plans.sqlbase import unpivot, with_base
 from riskspark.schema import CATEGORICAL_COLS, CLEAN_FEATURES_V1, CLEAN_FEATURES_V2, NUMERIC_FEATURES_V2, RANDOM_STATE, SEARCH_SPACE
+from riskspark.session import scratch_path
 from riskspark.sources.files import load_curated, scan_predictions, to_log_records
 
 # ------------------------------------------------------------ round trips --
@@ -174,7 +175,7 @@ ranked as (select *, row_number() over (order by m desc, trial) as place from re
 def searched(spark, d):
     """The search over the scorecard trials, ended after ten fits and resumed from its ledger."""
     train = TB.train_table(spark, d, "loan_id", "issue_year", "default", "int_rate", "dti", "fico_mean")
-    ledger = _scratch(spark, "ledger")
+    ledger = scratch_path(spark, "ledger")
     run = lambda n: random_search(train, [], fit=lambda _, params: TrialScorecard(params), ledger=ledger, parallelism=4, at_most=n)
     run(10)
     return run(None)

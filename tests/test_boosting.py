@@ -146,3 +146,22 @@ def test_sample_is_the_smallest_hashes(spark, monkeypatch):
     assert T.exact_sample(df, 1.0).count() == 5000 and T.exact_sample(df, 0.0).count() == 0 and T.exact_sample(df.limit(0), 0.5).count() == 0
     plan = T.exact_sample(df, 0.3)._jdf.queryExecution().executedPlan().toString()
     assert "Window" not in plan
+
+
+def test_resumed_search_reads_its_folds(spark, tmp_path, monkeypatch):
+    """Folds are made once a search, found by the rows they are made of, and hold what they held."""
+    rows = [(i, 2000 + i % 5, int(i % 3 == 0), float(i * 7 % 50)) for i in range(300)]
+    loans = spark.createDataFrame(rows, "loan_id long, issue_year int, default int, x double")
+    made, plain = [], T.time_series_folds
+    monkeypatch.setattr(T, "time_series_folds", lambda *a, **k: made.append(1) or plain(*a, **k))
+    ask = lambda df: T.stored_folds(df, str(tmp_path), 2, 0.5, "loan_id", 42)
+    first = sorted(ask(loans).collect())
+    assert sorted(ask(loans.repartition(3)).collect()) == first and len(made) == 1
+    assert first == sorted(plain(T.exact_sample(loans, 0.5, "loan_id", 42), 2).select(*ask(loans).columns).collect())
+    ask(loans.withColumn("x", F.col("x") + 1))
+    assert len(made) == 2
+    folds = ask(loans)
+    starts = T.fold_starts(folds)
+    for fold in (0, 1):
+        train, test = T.fold_frames(folds, fold, starts)
+        assert train.agg(F.max("pos")).first()[0] + 1 == starts[fold] == test.agg(F.min("pos")).first()[0]
