@@ -19,23 +19,33 @@ from riskspark.llm.common import ship_package, table
 from riskspark.session import ensure_checkpoint_dir
 
 
-def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+#: Rows of a batch that Python workers are given: batches of whole texts, and what is made of them, are held by
+#: every worker and by Spark beside it.
+BATCH_ROWS = 1_000
+
+
+def prepare(spark: SparkSession) -> None:
     ship_package(spark)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+
+
+def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    prepare(spark)
     return toxicity.reject_toxic(docs, table(spark, sf_dir, "labels"))
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    ship_package(spark)
+    prepare(spark)
     return lang_id.keep_identified(docs)
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    ship_package(spark)
+    prepare(spark)
     return near_dedup.drop_near_copies(docs)
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    ship_package(spark)
+    prepare(spark)
     return packing.pack_documents(docs)
 
 
