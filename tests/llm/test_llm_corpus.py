@@ -240,7 +240,7 @@ def test_pipeline_gives_python_workers_small_batches(spark, tmp_path):
     """Whole texts go to Python a few at a time, whatever the session's batches are."""
     import corpus_pipeline
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 10_000)
-    docs = spark.range(0, 5_000, 1, 1).selectExpr("id as doc_id", "concat('text ', id) as text")
+    docs = spark.range(0, 5_000, 1, 1).selectExpr("id as doc_id", "concat('text ', id) as text", "'a' as source")
     corpus_pipeline.packing_stage(spark, docs, str(tmp_path))
     sizes = docs.mapInPandas(lambda pdfs: (pdf[["doc_id"]].assign(doc_id=len(pdf)) for pdf in pdfs), "doc_id long").distinct().collect()
     assert max(r.doc_id for r in sizes) <= corpus_pipeline.BATCH_ROWS < 10_000
