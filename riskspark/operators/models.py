@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from riskspark.operators.ordered import exact_quantiles, materialize, ordered_prefix
 from riskspark.operators.profile import long_values
 from riskspark.schema import CATEGORICAL_COLS, DEFAULT_PARAMS, INTERACTION_COLS, TARGET
+from riskspark.session import scratch_path
 
 WEIGHT = "_weight"
 
@@ -177,7 +178,10 @@ def fit_lr(train: DataFrame, features: list[str], y: str = TARGET, max_iter: int
     stages.append(LogisticRegression(featuresCol="features", labelCol="label", weightCol=WEIGHT,
                                      maxIter=max_iter, regParam=1.0 / (c_reg * total_w),
                                      elasticNetParam=0.0, standardization=False))
-    return Pipeline(stages=stages).fit(data)
+    # a model as read back has no training summary, which holds the session and can't be sent to tasks once that has observed a frame
+    path = scratch_path(train.sparkSession, "model-lr")
+    Pipeline(stages=stages).fit(data).write().overwrite().save(path)
+    return PipelineModel.load(path)
 
 
 GBT_PARAM_MAP = {
