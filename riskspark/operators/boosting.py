@@ -4,12 +4,20 @@ Features are binned once: numeric columns at quantiles, categorical levels in th
 default rate, bin 0 for what is missing or unknown. The binned rows are written as one narrow table
 (label, weight, key, one byte a feature) and read from there by every pass.
 
-Each level of a tree is one Spark job (a table of one partition, which has nothing to merge, has one job for a
-stage of trees): every task adds up gradients and hessians by (node, feature, bin)
-over its rows, the sums are merged by a tree reduce, and the best split of each node is read from them; a leaf's
-value follows from its parent's sums. What a job sends is bounded by nodes x features x bins, whatever
-the number of rows. The rows are kept with their margins, which the first job of a round moves on by the last tree, so
-that no job works a finished tree out again, and they are dealt to as many tasks as can run at once.
+Every task adds up gradients and hessians by (node, feature, bin) over its rows, the sums are merged, and the best
+split of each node is read from them; a leaf's value follows from its parent's sums. What a task sends for a level is
+bounded by nodes x features x bins, whatever the number of rows. There are three ways to merge:
+
+- a table of one partition has nothing to merge: one job grows a stage of trees;
+- where all tasks can run at once, with ``TOGETHER_ROWS`` rows each at most, and the fit's folder is a (shared) file
+  system's, one barrier job grows a stage. Its tasks hold their rows, give each other their sums as files in that folder
+  (Spark's own ``allGather`` waits a second each time) and read the same splits from them. Gradients are whole
+  multiples of a unit in which no sum is rounded, so that the sums don't depend on how the rows are
+  dealt, and those of one child of a node are its parent's without the other's;
+- otherwise each level of a tree is one Spark job, merged by a tree reduce. The rows are kept with their margins, which
+  the first job of a round moves on by the last tree, so that no job works a finished tree out again.
+
+The rows are dealt to as many tasks as can run at once.
 A round draws its rows by a hash of their key, so a recomputed task draws the same ones.
 
 After each ``STAGE`` rounds the new trees are appended to the fit's folder. A fit that is called again on that
@@ -22,11 +30,15 @@ from __future__ import annotations
 import hashlib
 import json
 import math
+import os
+import shutil
+import time
+import uuid
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark import StorageLevel
+from pyspark import BarrierTaskContext, SparkContext, StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,14 +47,22 @@ from riskspark.schema import DEFAULT_PARAMS, TARGET
 
 #: Bins of a feature at most, without the one for missing values.
 BINS = 64
+#: Codes of a feature.
+CODES = BINS + 1
 #: Rounds between two writes of the trees.
 STAGE = 20
 #: Rows of a partition of the binned table at most (about).
 ROWS_PER_PARTITION = 250_000
 #: Rows of a partition below which more tasks don't shorten a job.
 LEAST_ROWS = 25_000
-#: Partitions beyond which the sums are merged in two steps.
+#: Partitions beyond which the sums are merged in two steps, and tasks at most that give each other their sums.
 FLAT_MERGE = 16
+#: Rows of a table from which, and of a task up to which, tasks stay for a whole stage.
+TOGETHER_LEAST, TOGETHER_ROWS = 100_000, 2_000_000
+#: Seconds that such a task waits for the sums of another one.
+PATIENCE = 900
+#: Rows that such a task works on at a time, few enough for a core's cache.
+CHUNK = 32_768
 
 
 @dataclass
@@ -100,17 +120,36 @@ class Tree:
 
     def nodes(self, codes: np.ndarray) -> np.ndarray:
         """The node that each row ends in."""
-        at = np.zeros(len(codes), np.int64)
-        while (self.feature[at] >= 0).any():
-            at = self.further(codes, at)
+        return self.ends(codes.ravel(), np.arange(len(codes)) * codes.shape[1])
+
+    def ends(self, flat: np.ndarray, row: np.ndarray) -> np.ndarray:
+        """``nodes`` of codes laid end to end, the rows beginning at ``row``."""
+        at, steps = np.zeros(len(row), np.intp), self.steps()
+        for _ in range((len(self.feature) + 1).bit_length() - 2):
+            at = stepped(steps, flat, row, 1, at)
         return at
 
     def further(self, codes: np.ndarray, at: np.ndarray) -> np.ndarray:
         """The nodes one level below ``at``; rows in a leaf stay there."""
-        f = self.feature[at]
-        b = codes[np.arange(len(codes)), np.maximum(f, 0)]
-        left = np.where(b == 0, self.missing_left[at], b <= self.bin[at])
-        return np.where(f >= 0, 2 * at + 2 - left, at)
+        return stepped(self.steps(), codes.ravel(), np.arange(len(codes)) * codes.shape[1], 1, at)
+
+    def steps(self) -> tuple[np.ndarray, np.ndarray]:
+        """Per node the feature it asks for (any, of a leaf), per node and code the node that comes next."""
+        node, inner = np.arange(len(self.feature))[:, None], self.feature[:, None] >= 0
+        left = np.arange(CODES) <= self.bin[:, None]
+        left[:, 0] = self.missing_left
+        return np.maximum(self.feature, 0).astype(np.intp), np.where(inner, 2 * node + 2 - left, node).ravel()
+
+
+def stepped(steps: tuple, flat: np.ndarray, row: np.ndarray, apart: int, at: np.ndarray) -> np.ndarray:
+    """The nodes one level below ``at``. A row's code of feature f is ``flat[row + f * apart]``."""
+    feature, following = steps
+    place = feature.take(at)
+    if apart != 1:
+        place *= apart
+    place += row
+    place = at * CODES + flat.take(place)
+    return following.take(place)
 
 
 @dataclass
@@ -120,10 +159,7 @@ class BoostedTrees:
     trees: list[Tree]
 
     def margins(self, codes: np.ndarray) -> np.ndarray:
-        out = np.zeros(len(codes))
-        for t in self.trees:
-            out += t.value[t.nodes(codes)]
-        return out
+        return added(np.zeros(len(codes)), self.trees, codes)
 
     def score_raw(self, df: DataFrame, output_col: str = "p_raw") -> DataFrame:
         from pyspark.sql.functions import pandas_udf
@@ -229,10 +265,18 @@ def level_sums(block: dict, growing: Tree, level: int, features: list[int], bins
 
 def moved(block: dict, trees: list[Tree]) -> dict:
     """The block with the margins after ``trees``."""
-    margin = block["margin"].copy()
-    for t in trees:
-        margin += t.value[t.nodes(block["codes"])]
-    return {**block, "margin": margin}
+    return {**block, "margin": added(block["margin"], trees, block["codes"])}
+
+
+def added(margin: np.ndarray, trees: list[Tree], codes: np.ndarray) -> np.ndarray:
+    """``margin`` and the trees' values, some rows at a time."""
+    out = margin.copy()
+    for i in range(0, len(codes), CHUNK):
+        flat = codes[i:i + CHUNK].ravel()
+        row, now = np.arange(0, len(flat), codes.shape[1]), out[i:i + CHUNK]
+        for t in trees:
+            now += t.value.take(t.ends(flat, row))
+    return out
 
 
 def best_splits(sums: np.ndarray, lam: float, gamma: float, min_weight: float) -> list[tuple | None]:
@@ -263,7 +307,6 @@ def fit_boosted(train: DataFrame, features: list[str], y: str = TARGET, params:
     Parameters have the names and defaults of the search space; positives weigh n_neg / n_pos. Rows
     without a label are left out; without rows of both classes there are no trees. ``stop_after``:
     rounds after which this call stops (the folder keeps them)."""
-    import uuid
     from riskspark.session import ensure_checkpoint_dir
     p = {**DEFAULT_PARAMS, **(params or {})}
     spark = train.sparkSession
@@ -285,12 +328,15 @@ def fit_boosted(train: DataFrame, features: list[str], y: str = TARGET, params:
     binning = Binning(**json.loads(read_text(spark, f"{store}/binning")))
     width = len(binning.features)
     rows = spark.read.parquet(f"{store}/rows")
-    stats = rows.agg(F.count(F.lit(1)).alias("n"), F.min("y").alias("low"), F.max("y").alias("high")).first()
+    stats = rows.agg(F.count(F.lit(1)).alias("n"), F.min("y").alias("low"), F.max("y").alias("high"), F.max("w").alias("w")).first()
     if not stats["n"] or stats["low"] == stats["high"]:
         return BoostedTrees(binning, [])
     n_parts = max(1, math.ceil(stats["n"] / ROWS_PER_PARTITION))
     if n_parts > 1:
         n_parts = max(n_parts, min(spark.sparkContext.defaultParallelism, stats["n"] // LEAST_ROWS))
+    meet = local_path(spark, f"{store}/sums") if n_parts > 1 else None
+    side_by_side = together(spark.sparkContext, stats["n"]) if meet else 0
+    n_parts = side_by_side or n_parts
 
     trees: list[Tree] = []
     done = 0
@@ -314,6 +360,8 @@ def fit_boosted(train: DataFrame, features: list[str], y: str = TARGET, params:
             end = min(done + STAGE, last)
             if n_parts == 1:
                 stage = blocks.map(lambda b: stage_of_one(b, done, end, width, p, seed)).collect()[0]  # noqa: B023
+            elif side_by_side and slots(spark.sparkContext) >= n_parts:
+                stage = stage_together(blocks, done, end, width, p, seed, unit_of(stats["n"], stats["w"]), meet)
             else:
                 stage = stage_of_many(blocks, done, end, width, p, seed, n_parts)
             write_trees(spark, f"{store}/stage-{done:05d}", stage, done)
@@ -352,7 +400,7 @@ def stage_of_many(blocks, first: int, last: int, width: int, p: dict, seed: int,
                 now = following(before, out[-1])
 
             def sums_at(tree: Tree, level: int) -> np.ndarray:
-                summed = now.map(lambda b: level_sums(b, tree, level, features, BINS + 1, seed, round_, share))  # noqa: B023
+                summed = now.map(lambda b: level_sums(b, tree, level, features, CODES, seed, round_, share))  # noqa: B023
                 sums = summed.treeReduce(np.add, 2) if n_parts > FLAT_MERGE else np.sum(summed.collect(), axis=0)
                 if not level and before is not blocks:  # noqa: B023
                     before.unpersist()  # noqa: B023
@@ -383,13 +431,167 @@ def stage_of_one(block: dict, first: int, last: int, width: int, p: dict, seed:
             nonlocal at
             if level:
                 at = tree.further(codes, at)  # noqa: B023
-            return node_sums(codes, g, h, at, level, features, BINS + 1)  # noqa: B023
+            return node_sums(codes, g, h, at, level, features, CODES)  # noqa: B023
 
         out.append(grown(sums_at, features, p))
         block = moved(block, out[-1:])
     return out
 
 
+def slots(sc: SparkContext) -> int:
+    """Tasks that can run at once, as far as a barrier job may count on them."""
+    if sc.getConf().get("spark.dynamicAllocation.enabled", "false").lower() == "true":
+        return 0
+    scala = sc._jsc.sc()
+    return scala.maxNumConcurrentTasks(scala.resourceProfileManager().defaultResourceProfile())
+
+
+def together(sc: SparkContext, n: int) -> int:
+    """How many tasks hold a table of ``n`` rows for whole stages; 0 if they can't."""
+    tasks = min(slots(sc), FLAT_MERGE, n // LEAST_ROWS)
+    return tasks if tasks > 1 and TOGETHER_LEAST <= n <= tasks * TOGETHER_ROWS else 0
+
+
+def local_path(spark: SparkSession, path: str) -> str | None:
+    """The path as Python opens it; None if it isn't one of a (local or mounted) file system."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    there = system.makeQualified(p).toUri()
+    return there.getPath() if there.getScheme() == "file" else None
+
+
+def exchanged(folder: str, step: str, own: np.ndarray, place: int, tasks: int) -> np.ndarray:
+    """The sum of what all tasks give at this step. The first file of a task's that is there stays, also when Spark
+    begins the stage again, so that all tasks read the same."""
+    name = lambda i: f"{folder}/{step}-{i}"
+    if not os.path.exists(name(place)):
+        with open(f"{name(place)}.{uuid.uuid4().hex}", "wb") as f:
+            f.write(own.tobytes())
+        os.rename(f.name, name(place))
+    out, until = np.zeros(own.shape), time.monotonic() + PATIENCE
+    for i in range(tasks):
+        while True:
+            try:
+                with open(name(i), "rb") as f:
+                    out += np.frombuffer(f.read()).reshape(own.shape)
+                break
+            except FileNotFoundError:
+                if time.monotonic() > until:
+                    raise TimeoutError(f"no sums of task {i} in {folder}") from None
+                time.sleep(0.001)
+    return out
+
+
+def unit_of(n: int, weight: float) -> float:
+    """A power of two, so small that rounding to its multiples is of the size of rounding doubles, and so large that sums
+    over ``n`` rows of weight ``weight`` at most are exact in doubles."""
+    return 2.0 ** (math.ceil(math.log2(n * max(weight, 1.0))) - 52)
+
+
+class Chunk:
+    """Some rows of a task: codes feature by feature, and the node that each row has come to."""
+
+    def __init__(self, block: dict, some: slice):
+        self.codes = np.ascontiguousarray(block["codes"][some].T)
+        self.y, self.w, self.key, self.margin = (block[c][some] for c in ("y", "w", "key", "margin"))
+        self.row = np.arange(len(self.y))
+
+    def begin(self, seed: int, round_: int, share: float, unit: float) -> None:
+        """Gradients and hessians of a round, in units; 0 for rows that it doesn't take."""
+        p = 1 / (1 + np.exp(-self.margin))
+        w = np.where(drawn(self.key, seed, round_, share), self.w, 0.0) / unit
+        self.g, self.h = np.rint(w * (p - self.y)), np.rint(w * p * (1 - p))
+        self.at = np.zeros(len(self.y), np.intp)
+
+    def step(self, steps: tuple) -> None:
+        self.at = stepped(steps, self.codes.ravel(), self.row, len(self.row), self.at)
+
+    def add_to(self, sums: np.ndarray, features: list[int], slot: np.ndarray | None = None) -> None:
+        """Adds up the rows by (slot of their node, feature, bin, 2); rows of nodes whose slot is below 0 are left out."""
+        g, h, first, these = self.g, self.h, None, None
+        if slot is not None:
+            first = slot.take(self.at)
+            these = np.flatnonzero(first >= 0)
+            first = first.take(these) * CODES
+            g, h = g.take(these), h.take(these)
+        n = len(sums) * CODES
+        for i, f in enumerate(features):
+            place = self.codes[f].astype(np.intp) if these is None else self.codes[f].take(these) + first
+            for j, x in enumerate((g, h)):
+                sums[:, i, :, j] += np.bincount(place, x, n).reshape(-1, CODES)
+
+
+def stage_together(blocks, first: int, last: int, width: int, p: dict, seed: int, unit: float, meet: str) -> list[Tree]:
+    """The trees of rounds ``first`` to ``last`` (without), grown by one job whose tasks run side by side and meet in a
+    folder in ``meet``, which is made for the job."""
+    folder, tasks = f"{meet}/{uuid.uuid4().hex}", blocks.getNumPartitions()
+    os.makedirs(folder)
+
+    def grow(part):
+        place = BarrierTaskContext.get().partitionId()
+        chunks = [Chunk(b, slice(i, i + CHUNK)) for b in part for i in range(0, len(b["y"]), CHUNK)]
+        out: list[Tree] = []
+        for round_ in range(first, last):
+            features = picked(width, p, seed, round_)
+            for c in chunks:
+                c.begin(seed, round_, float(p["subsample"]), unit)
+
+            def merged(own: np.ndarray, level: int) -> np.ndarray:
+                return exchanged(folder, f"{round_}-{level}", own, place, tasks)  # noqa: B023
+
+            out.append(grown(level_by_level(chunks, features, merged, unit), features, p))
+            steps = out[-1].steps()
+            for c in chunks:  # on from where the last level began
+                c.step(steps)
+                c.margin = c.margin + out[-1].value.take(c.at)
+        if not place:
+            yield out
+
+    try:
+        return blocks.barrier().mapPartitions(grow).collect()[0]
+    finally:
+        shutil.rmtree(folder, ignore_errors=True)
+
+
+def level_by_level(chunks: list[Chunk], features: list[int], merged, unit: float):
+    """``sums_at`` of a tree, level after level: what ``merged`` makes of the sums of each task's ``chunks``. A task adds up
+    the child of a node in which it has fewer rows; the left children are merged."""
+    own = whole = np.zeros((1, len(features), CODES, 2))
+
+    def sums_at(tree: Tree, level: int) -> np.ndarray:
+        nonlocal own, whole
+        if not level:
+            own = np.zeros(own.shape)
+            for c in chunks:
+                c.add_to(own, features)
+            whole = merged(own, level)
+            return whole * unit
+        n, steps = 2 ** level, tree.steps()
+        parents = np.flatnonzero(tree.feature[n // 2 - 1:n - 1] >= 0)
+        rows = np.zeros(n, np.int64)
+        for c in chunks:
+            c.step(steps)
+            rows += np.bincount(np.maximum(c.at - (n - 2), 0), minlength=n + 1)[1:]
+        right_less = rows[2 * parents + 1] < rows[2 * parents]
+        slot = np.full(2 * n - 1, -1, np.intp)
+        slot[n - 1 + 2 * parents + right_less] = np.arange(len(parents))
+        fewer = np.zeros((len(parents), *own.shape[1:]))
+        for c in chunks:
+            c.add_to(fewer, features, slot)
+        left = np.where(right_less[:, None, None, None], own[parents] - fewer, fewer)
+        own, whole = (of_children(x, parents, y, n) for x, y in ((own, left), (whole, merged(left, level))))
+        return whole * unit
+
+    return sums_at
+
+
+def of_children(sums: np.ndarray, parents: np.ndarray, left: np.ndarray, n: int) -> np.ndarray:
+    """The sums of a level's ``n`` nodes, from those of the level above and of the left children of its ``parents``."""
+    out = np.zeros((n, *sums.shape[1:]))
+    out[2 * parents], out[2 * parents + 1] = left, sums[parents] - left
+    return out
+
+
 def grown(sums_at, features: list[int], p: dict) -> Tree:
     """A tree, level by level, from ``sums_at(tree, level)``."""
     depth = int(p["max_depth"])

@@ -87,6 +87,93 @@ def test_levels_take_the_margins_from_the_blocks(spark):
     held.unpersist()
 
 
+def side_by_side(monkeypatch, rows_per_partition=400, least=100):
+    for name, value in (("ROWS_PER_PARTITION", rows_per_partition), ("LEAST_ROWS", least), ("TOGETHER_LEAST", 1), ("CHUNK", 70)):
+        monkeypatch.setattr(B, name, value)
+
+
+def test_tasks_side_by_side_grow_a_stage_in_one_job(spark, loans, monkeypatch, tmp_path):
+    """A stage of rounds is one job, whatever the levels, and gives the trees of a table of one partition."""
+    params = {"n_estimators": 6, "max_depth": 4}
+    one = B.fit_boosted(loans, FEATURES, params=params).trees
+    side_by_side(monkeypatch)
+    spark.sparkContext.setJobGroup("together", "")
+    try:
+        many = B.fit_boosted(loans, FEATURES, params=params, store=str(tmp_path / "fit")).trees
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    tracker = spark.sparkContext.statusTracker()
+    last = [max(tracker.getJobInfo(j).stageIds) for j in tracker.getJobIdsForGroup("together")]
+    assert same(one, many) and all((a.bin == b.bin).all() and (a.missing_left == b.missing_left).all() for a, b in zip(one, many))
+    assert [tracker.getStageInfo(i).numTasks for i in last].count(4) < 6  # before, 24 levels were as many jobs
+    assert not list((tmp_path / "fit" / "sums").iterdir())  # what the tasks gave each other
+
+
+def test_tasks_side_by_side_resume_and_may_have_no_rows(spark, loans, monkeypatch, tmp_path):
+    side_by_side(monkeypatch)
+    monkeypatch.setattr(B, "STAGE", 4)
+    whole = B.fit_boosted(loans, FEATURES, params={"n_estimators": 10}, store=str(tmp_path / "whole"))
+    B.fit_boosted(loans, FEATURES, params={"n_estimators": 10}, store=str(tmp_path / "parts"), stop_after=4)
+    again = B.fit_boosted(loans, FEATURES, params={"n_estimators": 10}, store=str(tmp_path / "parts"))
+    assert len(again.trees) == 10 and same(whole.trees, again.trees)
+    two = spark.createDataFrame([(i % 2, float(i % 2), 1.0, "A") for i in range(800)], "default int, dti double, int_rate double, grade string")
+    tree = B.fit_boosted(two, FEATURES, params={"n_estimators": 1, "subsample": 1.0, "colsample_bytree": 1.0}).trees[0]  # all rows in two partitions
+    assert tree.feature[0] == 0 and (tree.feature[1:] < 0).all() and tree.value[1] < 0 < tree.value[2]
+
+
+def test_level_job_where_tasks_cannot_meet(spark, loans, monkeypatch):
+    one = B.fit_boosted(loans, FEATURES, params={"n_estimators": 2}).trees
+    side_by_side(monkeypatch)
+    monkeypatch.setattr(B, "slots", lambda sc: 1)
+    monkeypatch.setattr(B, "stage_together", None)
+    assert same(one, B.fit_boosted(loans, FEATURES, params={"n_estimators": 2}).trees)
+    monkeypatch.setattr(B, "slots", lambda sc: 4)
+    monkeypatch.setattr(B, "local_path", lambda spark, path: None)
+    assert same(one, B.fit_boosted(loans, FEATURES, params={"n_estimators": 2}).trees)
+
+
+def test_sums_do_not_depend_on_the_dealing():
+    """Sums in units are exact: those of a node's child by subtraction are those that its rows add up to."""
+    rng = np.random.default_rng(8)
+    n = 500
+    block = {"codes": rng.integers(0, 6, (n, 3)).astype(np.uint8), "y": rng.integers(0, 2, n).astype(float), "w": rng.random(n) * 3,
+             "key": rng.integers(0, 2**60, n), "margin": rng.normal(size=n)}
+    unit, features = B.unit_of(n, 3.0), [0, 2]
+
+    def levels(chunks):
+        got = []
+        for c in chunks:
+            c.begin(1, 0, 0.8, unit)
+        sums_at = B.level_by_level(chunks, features, lambda own, level: own, unit)
+        tree = B.grown(lambda t, level: got.append(sums_at(t, level)) or got[-1], features, {**B.DEFAULT_PARAMS, "min_child_weight": 0.5})
+        return got, tree
+
+    (got, tree), (again, other) = (levels([B.Chunk(block, slice(i, i + k)) for i in range(0, n, k)]) for k in (n, 37))
+    assert len(got) == 6 and all((a == b).all() for a, b in zip(got, again)) and same([tree], [other])
+    codes, g, h = B.gradients(block, 1, 0, 0.8)
+    for level, sums in enumerate(got):
+        upper = B.Tree.empty(6)
+        for name in ("feature", "bin", "missing_left"):
+            getattr(upper, name)[:2 ** level - 1] = getattr(tree, name)[:2 ** level - 1]
+        plain = B.node_sums(codes, g, h, upper.nodes(codes), level, features, B.BINS + 1)
+        assert np.allclose(sums, plain, rtol=0, atol=1e-9)
+        assert (sums[plain == 0] == 0).all()  # no rest where no rows are
+
+
+def test_nodes_row_by_row(spark, loans):
+    model = B.fit_boosted(loans, FEATURES, params={"n_estimators": 3, "max_depth": 4})
+    codes = np.random.default_rng(2).integers(0, B.BINS + 1, (300, 3)).astype(np.uint8)
+    margin = np.zeros(len(codes))
+    for t in model.trees:
+        for i, row in enumerate(codes):
+            at = 0
+            while t.feature[at] >= 0:
+                b = row[t.feature[at]]
+                at = 2 * at + 2 - int(t.missing_left[at] if b == 0 else b <= t.bin[at])
+            margin[i] += t.value[at]
+    assert (model.margins(codes) == margin).all()
+
+
 def test_fit_resumes_where_it_stopped(spark, loans, tmp_path, monkeypatch):
     monkeypatch.setattr(B, "STAGE", 4)
     whole = B.fit_boosted(loans, FEATURES, params={"n_estimators": 10}, store=str(tmp_path / "whole"))
