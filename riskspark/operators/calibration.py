@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskspark.operators.boosting import BoostedTrees, exists
+from riskspark.operators.ordered import materialize
 
 
 @dataclass
@@ -51,7 +52,8 @@ def fit_isotonic(df: DataFrame, score_col: str = "p_default", label_col: str = "
             .groupBy(F.col(score_col).cast("double").alias("_x"))
             .agg(F.avg(F.col(label_col).cast("double")).alias("_y"), F.count(F.lit(1)).cast("double").alias("_w")))
     iso = IsotonicRegression(featuresCol="_x", labelCol="_y", weightCol="_w", predictionCol=output_col, isotonic=True)
-    return IsotonicCalibrator(iso.fit(data), score_col, output_col)
+    # written first: the fit reads its points twice, for ranges of scores and for the fit itself
+    return IsotonicCalibrator(iso.fit(materialize(data)), score_col, output_col)
 
 
 @dataclass

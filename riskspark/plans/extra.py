@@ -34,16 +34,16 @@ def _scratch(spark, name: str) -> str:
 
 
 def _splits(spark, d):
-    s = TB.scored_table(spark, d)
+    """The columns that models and their reports read, written once a query: all, base, calibration and test years."""
+    s = TB.scored_table(spark, d, *dict.fromkeys([*CLEAN_FEATURES_V2, "default", "issue_year", "application_id"]))
     y = F.col("issue_year")
     return s, s.filter(y <= TB.BASE_MAX), s.filter(y == TB.CALIB), s.filter(y >= TB.TEST_MIN)
 
 
-def calibrated_gbt(spark, d) -> CalibratedModel:
+def calibrated_gbt(spark, base, calib) -> CalibratedModel:
     """Boosted trees on base years + isotonic on the calibration year. The model, and the stages of a fit
     that has not ended, stand in a folder named by the rows they are fitted on, so that a later query or session with
     the same checkpoint folder loads or resumes them, and changed tables get a model of their own."""
-    _, base, calib, _ = _splits(spark, d)
     rows = F.bit_xor(F.xxhash64(*base.columns))
     both = base.unionByName(calib).agg(F.count(F.lit(1)).alias("n"), rows.alias("x")).first()
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/model-gbt-{both['n']}-{(both['x'] or 0) & (2**64 - 1):016x}"
@@ -68,21 +68,22 @@ def q_lr_test_metrics(spark, d):
 
 @register("gbt_calibrated_metrics", None)
 def q_gbt_calibrated_metrics(spark, d):
-    _, _, _, test = _splits(spark, d)
-    return _metric_row(calibrated_gbt(spark, d).score(test))
+    _, base, calib, test = _splits(spark, d)
+    return _metric_row(calibrated_gbt(spark, base, calib).score(test))
 
 
 @register("gbt_feature_importance", None)
 def q_gbt_feature_importance(spark, d):
-    return calibrated_gbt(spark, d).base.importance(spark).limit(15)
+    _, base, calib, _ = _splits(spark, d)
+    return calibrated_gbt(spark, base, calib).base.importance(spark).limit(15)
 
 
 @register("recalibration_report", None)
 def q_recalibration_report(spark, d):
     """Frozen base, isotonic refit on the most recent labelled year before the
     evaluation year; calibration summary before and after."""
-    s, _, _, _ = _splits(spark, d)
-    model = calibrated_gbt(spark, d)
+    s, base, calib, _ = _splits(spark, d)
+    model = calibrated_gbt(spark, base, calib)
     window = recent_years(s.filter(F.col("issue_year") <= TB.TEST_MIN), years=1, max_year=TB.TEST_MIN)
     new = recalibrate(model, window)
     ev = s.filter(F.col("issue_year") > TB.TEST_MIN)
@@ -95,12 +96,12 @@ def q_recalibration_report(spark, d):
 def q_gbt_batch_scoring(spark, d):
     """Batch path: write the test slice as CSV, read it back by suffix, check
     columns, derive interactions, pin levels, score, decide, write Parquet."""
-    _, _, _, test = _splits(spark, d)
+    _, base, calib, test = _splits(spark, d)
     src = _scratch(spark, "batch-in") + ".csv"
     batch = test.select(*[c for c in CLEAN_FEATURES_V2 if c not in ("loan_to_income",)], "application_id")
     write_any(batch, src)
     df = read_any(spark, src, schema=batch.schema)
-    out = score_batch(df, calibrated_gbt(spark, d), threshold=0.13)
+    out = score_batch(df, calibrated_gbt(spark, base, calib), threshold=0.13)
     dst = _scratch(spark, "batch-out") + ".parquet"
     write_any(out.select("application_id", "p_default", "decision"), dst)
     return MON.batch_summary(read_any(spark, dst))

@@ -252,3 +252,32 @@ def test_resumed_search_reads_its_folds(spark, tmp_path, monkeypatch):
     for fold in (0, 1):
         train, test = T.fold_frames(folds, fold, starts)
         assert train.agg(F.max("pos")).first()[0] + 1 == starts[fold] == test.agg(F.min("pos")).first()[0]
+
+
+@pytest.mark.parametrize("name", ["gbt_calibrated_metrics", "gbt_feature_importance", "recalibration_report", "gbt_batch_scoring"])
+def test_queries_write_their_loans_once(spark, monkeypatch, name):
+    from riskspark.plans import extra as X
+    from riskspark.plans.catalog import queries
+    from riskspark.schema import CATEGORICAL_COLS, CLEAN_FEATURES_V2
+    rng = np.random.default_rng(6)
+    n, made = 400, []
+    pdf = pd.DataFrame({c: rng.choice(list("ABCD"), n) if c in CATEGORICAL_COLS else rng.random(n).round(2) + 1 for c in CLEAN_FEATURES_V2})
+    pdf = pdf.assign(default=rng.integers(0, 2, n), issue_year=1997 + np.arange(n) % 5, application_id=[str(i) for i in range(n)], not_read=1)
+    whole = spark.createDataFrame(pdf)
+
+    def table(spark, d, *cols):
+        made.append(cols)
+        return whole.select(*cols) if cols else whole
+
+    monkeypatch.setattr(X.TB, "scored_table", table)
+    monkeypatch.setattr(X, "fit_boosted", lambda df, features, store: B.fit_boosted(df, features, params={"n_estimators": 2}, store=store))
+    rows = queries()[name](spark, "")
+    assert len(made) == 1 and made[0] and "not_read" not in made[0]  # before: twice, with all columns
+    got = rows.collect()
+    tested = int((pdf["issue_year"] >= 2000).sum())
+    if name == "gbt_batch_scoring":
+        assert got[0]["n_rows"] == tested
+    elif name == "recalibration_report":
+        assert [r["n"] for r in got] == [int((pdf["issue_year"] > 2000).sum())] * 2
+    else:
+        assert got

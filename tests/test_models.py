@@ -137,3 +137,16 @@ def test_json_safe_of_every_type(spark):
                                "a double, b int, c string, d boolean, e date")
     got = [tuple(r) for r in df.select(*[json_safe(df, c) for c in df.columns]).collect()]
     assert got == [(None, "3.0", "x", "true", "2026-01-02"), (None, None, None, None, None), ("1.5", "4.0", "y", "false", None)]
+
+
+def test_isotonic_fit_reads_its_rows_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for pdf in batches:
+            seen.add(len(pdf))
+            yield pdf
+
+    df = spark.createDataFrame([(i / 100, int(i % 3 == 0)) for i in range(100)], "p_default double, default int")
+    fit_isotonic(df.mapInPandas(count, df.schema))
+    assert seen.value == 100  # before: once for the ranges of scores, once for the fit
