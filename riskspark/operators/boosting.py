@@ -28,6 +28,7 @@ the next round; the trees are the same as those of a fit that ran through.
 from __future__ import annotations
 
 import hashlib
+import itertools
 import json
 import math
 import os
@@ -58,7 +59,7 @@ LEAST_ROWS = 25_000
 #: Partitions beyond which the sums are merged in two steps, and tasks at most that give each other their sums.
 FLAT_MERGE = 16
 #: Rows of a table from which, and of a task up to which, tasks stay for a whole stage.
-TOGETHER_LEAST, TOGETHER_ROWS = 100_000, 2_000_000
+TOGETHER_LEAST, TOGETHER_ROWS = 100_000, 1_500_000
 #: Seconds that such a task waits for the sums of another one.
 PATIENCE = 900
 #: Rows that such a task works on at a time, few enough for a core's cache.
@@ -346,11 +347,13 @@ def fit_boosted(train: DataFrame, features: list[str], y: str = TARGET, params:
     known = spark.sparkContext.broadcast(trees[:])
 
     def block(part):
-        part = list(part)
-        if part:
-            codes = np.frombuffer(b"".join(bytes(r[3]) for r in part), np.uint8).reshape(len(part), width)
-            yield moved({"codes": codes, "y": np.array([r[0] for r in part]), "w": np.array([r[1] for r in part]),
-                         "key": np.array([r[2] for r in part], np.int64), "margin": np.zeros(len(part))}, known.value)
+        got = []
+        while some := list(itertools.islice(part, CHUNK)):  # a row as Python objects is many times as large
+            codes = np.frombuffer(b"".join(bytes(r[3]) for r in some), np.uint8).reshape(len(some), width)
+            got.append({"codes": codes, "y": np.array([r[0] for r in some]), "w": np.array([r[1] for r in some]),
+                        "key": np.array([r[2] for r in some], np.int64), "margin": np.zeros(len(some))})
+        if got:
+            yield moved({c: np.concatenate([g.pop(c) for g in got]) for c in [*got[0]]}, known.value)
 
     packed = rows.select("y", "w", "key", "codes")
     blocks = packed.repartition(n_parts, "key").rdd.mapPartitions(block).persist(StorageLevel.MEMORY_AND_DISK)
